@@ -13,25 +13,27 @@ from reportmill.functions import column
 RANK = "__version_rank"
 
 
+def sortable(df: DataFrame, name: str) -> Column:
+    """The column itself, or its JSON text where Spark cannot order the type."""
+    if isinstance(df.schema[name].dataType, T.AtomicType):
+        return column(name)
+    return F.to_json(F.struct(column(name)))
+
+
 def keep_latest(
-    df: DataFrame, key: Iterable[str], version: str, prefer: Iterable[Column] = ()
+    df: DataFrame, key: Iterable[str], version: str, prefer: Iterable[str] = ()
 ) -> DataFrame:
     """One row per key, the one with the greatest version; a null version loses.
 
-    Null key parts count as equal. Equal versions are settled by ``prefer`` and then by the
-    remaining columns, so the result never depends on row order. The ``== 1`` filter lets Spark
-    cut every map task down to one row per key before the shuffle, which keeps a hot key small.
+    Null key parts count as equal. Equal versions are settled by the ``prefer`` columns and then
+    by the remaining ones, greatest value first, so the result never depends on row order. The
+    ``== 1`` filter lets Spark cut every map task down to one row per key before the shuffle,
+    which keeps a hot key small.
     """
-    key = list(key)
-    rest = [
-        column(f.name) if isinstance(f.dataType, T.AtomicType) else F.to_json(F.struct(column(f.name)))
-        for f in df.schema.fields
-        if f.name not in key and f.name != version
-    ]
+    key, prefer = list(key), list(prefer)
+    rest = [name for name in df.columns if name not in {*key, version, *prefer}]
     newest_first = [
-        column(version).desc_nulls_last(),
-        *prefer,
-        *[value.desc_nulls_last() for value in rest],
+        sortable(df, name).desc_nulls_last() for name in [version, *prefer, *rest]
     ]
     versions = Window.partitionBy(*[column(name) for name in key]).orderBy(*newest_first)
     return (

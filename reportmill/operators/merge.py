@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reportmill.functions import column
 from reportmill.operators.dedup import keep_latest
 from reportmill.operators.shape import project, with_partitions
+from reportmill.sinks.catalog import register_table
 from reportmill.sinks.partitioned import write_partitions
 from reportmill.sources.curated import scan_curated
 from reportmill.spec import PARTITIONS, ReportSpec
@@ -87,32 +88,54 @@ def merge_versions(incoming: DataFrame, stored: DataFrame, spec: ReportSpec) ->
         stored.withColumn(ORIGIN, F.lit(0)),
         [*spec.columns, ORIGIN],
     )
-    return keep_latest(both, spec.key, spec.version, [F.col(ORIGIN).desc()]).drop(ORIGIN)
+    return keep_latest(both, spec.key, spec.version, [ORIGIN]).drop(ORIGIN)
 
 
 def upsert(
-    incoming: DataFrame, spec: ReportSpec, target: str, max_listed: int = MAX_LISTED
+    incoming: DataFrame,
+    spec: ReportSpec,
+    target: str,
+    table: str | None = None,
+    max_listed: int = MAX_LISTED,
 ) -> UpsertResult:
     """Merge clean, typed rows into the curated table at ``target``.
 
     Only partitions with incoming rows are read and replaced. Running it again with the same
-    rows changes nothing, so a replayed batch is safe. The first load needs no listing and
-    reads the input once.
+    rows changes nothing, so a replayed batch is safe. The first load reads the input once; a
+    later one reads it a second time for the account and date columns alone.
+
+    With ``table``, the catalog table of that name is kept up to date and, once it exists, used
+    to find the stored files, so that the directory tree is not listed on every load.
     """
+    spark = incoming.sparkSession
+    registered = table is not None and spark.catalog.tableExists(table)
+    stored = None if registered else scan_curated(spark, spec, target)
+    if not registered and stored is None and incoming.isEmpty():
+        return UpsertResult(0, 0, [])
+
     read, written = Observation(), Observation()
-    counted = incoming.observe(read, F.count(F.lit(1)).alias("n"))
-    stored = scan_curated(incoming.sparkSession, spec, target)
+    counted = project(incoming, spec.columns).observe(read, F.count(F.lit(1)).alias("n"))
+    touched = touched_partitions(incoming, spec).persist()
     listed = None
-    if stored is None:
-        if incoming.isEmpty():
-            return UpsertResult(0, 0, [])
-        merged = keep_latest(project(counted, spec.columns), spec.key, spec.version)
-    else:
-        touched = touched_partitions(incoming, spec)
-        listed = list_partitions(touched, max_listed)
-        if listed == []:
-            return UpsertResult(0, 0, [])
-        merged = merge_versions(counted, only_touched(stored, touched, listed, max_listed), spec)
-    merged = merged.observe(written, F.count(F.lit(1)).alias("n"))
-    write_partitions(with_partitions(merged, spec), target, PARTITIONS)
+    try:
+        if registered or stored is not None:
+            listed = list_partitions(touched, max_listed)
+            if listed == []:
+                return UpsertResult(0, 0, [])
+            if registered:
+                # Before the read: a directory left by a run that failed halfway must be seen.
+                register_table(spark, table, target, spec.curated_schema, PARTITIONS, listed)
+                stored = spark.table(table)
+            affected = only_touched(stored, touched, listed, max_listed)
+            merged = merge_versions(counted, affected, spec)
+        else:
+            merged = keep_latest(counted, spec.key, spec.version)
+        merged = merged.observe(written, F.count(F.lit(1)).alias("n"))
+        write_partitions(with_partitions(merged, spec), target, PARTITIONS)
+    finally:
+        touched.unpersist()
+    if registered:
+        spark.catalog.refreshTable(table)
+    elif table is not None:
+        register_table(spark, table, target, spec.curated_schema, PARTITIONS)
     return UpsertResult(read.get["n"], written.get["n"], listed)

@@ -12,14 +12,24 @@ from reportmill.spec import ReportSpec
 
 
 def curate_frame(
-    raw: DataFrame, spec: ReportSpec, target: str, max_listed: int = MAX_LISTED
+    raw: DataFrame,
+    spec: ReportSpec,
+    target: str,
+    table: str | None = None,
+    max_listed: int = MAX_LISTED,
 ) -> UpsertResult:
     """Type, clean and upsert raw rows."""
-    return upsert(drop_dirty(conform(raw, spec), spec), spec, target, max_listed)
+    clean = drop_dirty(conform(raw, spec), spec)
+    return upsert(clean, spec, target, table, max_listed)
 
 
 def curate_report(
-    spark: SparkSession, spec: ReportSpec, source: str, target: str, **read_options: object
+    spark: SparkSession,
+    spec: ReportSpec,
+    source: str,
+    target: str,
+    table: str | None = None,
+    **read_options: object,
 ) -> UpsertResult:
     """Curate all files under ``source`` into the partitioned table at ``target``."""
-    return curate_frame(scan_delimited(spark, source, **read_options), spec, target)
+    return curate_frame(scan_delimited(spark, source, **read_options), spec, target, table)

@@ -9,17 +9,21 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 from reportmill.operators.marts import build_mart, build_monitoring
+from reportmill.operators.merge import UpsertResult
 from reportmill.plans.curate import curate_report
-from reportmill.sinks.catalog import publish, register_table
+from reportmill.sinks.catalog import publish
 from reportmill.sources import report_path
-from reportmill.spec import PARTITIONS, REPORTS, ReportSpec
+from reportmill.spec import REPORTS, ReportSpec
 
 
 @dataclass(frozen=True)
 class ReportRun:
+    """What one report produced; without any data so far there are no tables."""
+
     report_type: str
-    table: str
-    monitoring: str
+    curated: UpsertResult
+    table: str | None
+    monitoring: str | None
     marts: list[str]
 
 
@@ -34,9 +38,10 @@ def run_report(
     environments: tuple[str, ...] = ("dev", "prd"),
 ) -> ReportRun:
     """One report end to end. Marts and monitoring both read the registered table."""
-    result = curate_report(spark, spec, source, target)
     table = f"{curated_db}.{platform}_{spec.report_type}_report"
-    register_table(spark, table, target, spec.curated_schema, PARTITIONS, result.partitions)
+    result = curate_report(spark, spec, source, target, table)
+    if not spark.catalog.tableExists(table):
+        return ReportRun(spec.report_type, result, None, None, [])
     curated = spark.table(table)
     monitoring = publish(
         build_monitoring(curated, spec),
@@ -48,7 +53,7 @@ def run_report(
     if spec.mart:
         model = f"{platform}_{spec.report_type}_report"
         marts = publish(build_mart(curated, spec), model, marts_root, environments)
-    return ReportRun(spec.report_type, table, monitoring[0], marts)
+    return ReportRun(spec.report_type, result, table, monitoring[0], marts)
 
 
 def run_family(

@@ -15,6 +15,7 @@ def curate_new_files(
     source: str,
     target: str,
     checkpoint: str,
+    table: str | None = None,
     **read_options: object,
 ) -> None:
     """Upsert every file under ``source`` that ``checkpoint`` does not list yet, then stop.
@@ -27,7 +28,7 @@ def curate_new_files(
     files = stream_delimited(spark, source, schema, **read_options)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        curate_frame(batch, spec, target)
+        curate_frame(batch, spec, target, table)
 
     query = (
         files.writeStream.foreachBatch(merge)

@@ -134,10 +134,8 @@ def scan_header_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_latest_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    newest = [F.col(name).desc() for name in ("l_partkey", "l_suppkey")]
-    return keep_latest(
-        table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate", newest
-    )
+    key, prefer = ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"]
+    return keep_latest(table(spark, sf_dir, "lineitem"), key, "l_shipdate", prefer)
 
 
 def latest_document_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
