@@ -10,9 +10,7 @@ from reportmill.functions import column
 
 def scan_payloads(spark: SparkSession, path: str) -> DataFrame:
     """One row per file with the whole text in ``value``."""
-    return (
-        spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
-    )
+    return spark.read.text(path, wholetext=True, recursiveFileLookup=True)
 
 
 def checked_payload(text: Column, keys: list[str]) -> Column:
