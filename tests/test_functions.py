@@ -28,6 +28,12 @@ def ansi(request, spark):
         ("int", " 7 ", 7),
         ("int", "1e3", None),
         ("int", "12.x", None),
+        ("int", "-.5", 0),
+        ("int", "5.", 5),
+        ("int", "12.99999999999", 12),
+        ("int", "2147483647.9", 2147483647),
+        ("int", "\t+7\n", 7),
+        ("int", "n/a", None),
         ("int", "", None),
         ("int", "3000000000", None),
         ("int", "3000000000.5", None),
@@ -47,6 +53,21 @@ def test_bad_text_is_null(spark, ansi, kind, text, expected):
     assert df.first().v == expected
 
 
+def test_integers_follow_the_lenient_cast(spark):
+    """The same result as Spark's non-ANSI cast of text to int."""
+    texts = [
+        ".5", "+.", ".", "-", "--5", "5.5.5", "1 2", "1_0", "12d", "7\xa0", "-0", "",
+        "-2147483648.9", "0" * 40 + "12", "9" * 40 + ".5", "1.5e3", "\uff11", None,
+    ]
+    df = spark.createDataFrame([(text,) for text in texts], "v string")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        rows = df.select("v", F.col("v").cast("int").alias("a"), typed(F.col("v"), "int").alias("b")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert [(r.v, r.a) for r in rows] == [(r.v, r.b) for r in rows]
+
+
 @pytest.mark.parametrize(
     "day", ["2024-02-07", "2024-01-01", "2023-12-31", "2024-02-29", "2024-03-03"]
 )
