@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 from reportmill.operators.marts import build_mart, build_monitoring
 from reportmill.operators.merge import UpsertResult
 from reportmill.plans.curate import curate_report
-from reportmill.sinks.catalog import publish
+from reportmill.sinks.catalog import create_database, publish
 from reportmill.sources import report_path
 from reportmill.spec import REPORTS, ReportSpec
 
@@ -69,8 +69,9 @@ def run_family(
     at_once: int = 4,
 ) -> list[ReportRun]:
     """All reports; they do not depend on each other, so a few are submitted side by side."""
-    for database in (curated_db, *environments):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    create_database(spark, curated_db, target_root)
+    for environment in environments:
+        create_database(spark, environment, marts_root)
 
     def run(spec: ReportSpec) -> ReportRun:
         source = source_of(spec) if source_of else report_path(source_root, platform, spec.report_type)

@@ -19,6 +19,12 @@ def table_name(*parts: str) -> str:
     return ".".join(quote(part) for part in parts)
 
 
+def create_database(spark: SparkSession, name: str, root: str) -> None:
+    """A database whose own folder lies on the same storage as its tables."""
+    location = literal(f"{root.rstrip('/')}/{name}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(name)} LOCATION {location}")
+
+
 def register_table(
     spark: SparkSession,
     table: str,
@@ -38,7 +44,7 @@ def register_table(
         keys = ", ".join(quote(key) for key in partitions)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-            f"PARTITIONED BY ({keys}) LOCATION '{path}'"
+            f"PARTITIONED BY ({keys}) LOCATION {literal(path)}"
         )
         spark.sql(f"MSCK REPAIR TABLE {name}")
     for start in range(0, len(added or ()), ADD_BATCH):
@@ -71,7 +77,7 @@ def publish(
     spark = df.sparkSession
     published: list[str] = []
     for environment in environments:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(environment)}")
+        create_database(spark, environment, root)
         table = f"{environment}.{model}"
         rows = spark.table(published[-1]) if published else df
         (

@@ -5,18 +5,25 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from reportmill.functions import column, date_parts
 
 
+ARRIVAL = "__arrival"
+
+
 def export_sorted(df: DataFrame, path: str, by: str) -> None:
     """CSV with a header, sorted ascending with nulls last.
 
     The files follow the sort order by name. Adaptive execution merges a small result into one
-    file; a large one stays spread over the cluster.
+    file; a large one stays spread over the cluster. Rows are numbered behind the sort column,
+    so that a value shared by very many rows is spread over several tasks as well.
     """
-    ordered = df.orderBy(column(by).asc_nulls_last())
-    ordered.write.mode("overwrite").option("header", True).csv(path)
+    ordered = df.withColumn(ARRIVAL, F.monotonically_increasing_id()).orderBy(
+        column(by).asc_nulls_last(), ARRIVAL
+    )
+    ordered.drop(ARRIVAL).write.mode("overwrite").option("header", True).csv(path)
 
 
 def landing_dir(root: str, source: str, report: str, day: dt.date) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from reportmill.plans.curate import curate_frame
 from reportmill.sources import scan_delimited, stream_delimited
@@ -16,16 +17,18 @@ def curate_new_files(
     target: str,
     checkpoint: str,
     table: str | None = None,
+    schema: T.StructType | None = None,
     **read_options: object,
 ) -> None:
     """Upsert every file under ``source`` that ``checkpoint`` does not list yet, then stop.
 
     ``checkpoint`` must be on shared storage. Limit the size of one upsert with
     ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``; late rows with an older version never win,
-    and a batch replayed after a failure gives the same table.
+    and a batch replayed after a failure gives the same table. Give the ``schema`` of the files
+    to save looking up their header.
     """
-    schema = scan_delimited(spark, source).schema
-    files = stream_delimited(spark, source, schema, **read_options)
+    header = schema or scan_delimited(spark, source).schema
+    files = stream_delimited(spark, source, header, **read_options)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         curate_frame(batch, spec, target, table)

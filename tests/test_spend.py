@@ -9,6 +9,7 @@ import os
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from reportmill.operators.media import outer_join_on
 from reportmill.plans.spend import spend_summary, summarize_spend
@@ -128,6 +129,22 @@ def test_export_is_sorted_with_nulls_last_in_one_small_file(spark):
     assert len(glob.glob(f"{local(path)}/*.csv")) == 1
 
 
+def test_export_spreads_a_hot_value(spark):
+    """Two thirds of the rows share a date and are equal; no file may hold them all."""
+    path = f"{work_dir(spark)}/hot"
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        day = F.when(F.col("id") % 3 == 0, F.col("id").cast("string")).otherwise("5")
+        export_sorted(spark.range(0, 30_000, 1, 8).select(day.alias("Date")), path, "Date")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    rows = csv_rows(path)[1:]
+    assert rows == sorted(rows) and len(rows) == 30_000
+    sizes = [sum(1 for _ in open(name)) for name in glob.glob(f"{local(path)}/*.csv")]
+    assert max(sizes) < 10_000
+
+
 def test_landing_directories_are_padded(spark):
     path = f"{work_dir(spark)}/landing"
     rows = spark.createDataFrame([(dt.date(2024, 1, 3), 1), (dt.date(2024, 11, 12), 2)], "d date, n int")

@@ -132,6 +132,18 @@ MONDAY = "CAST(date_trunc('week', {0}) AS DATE)".format
 
 ORACLE = {
     "curate_events": CURATED,
+    "curation_counts": """
+        WITH keyed AS (
+            SELECT event_type, user_id, CAST(ts AS DATE) AS d, hour(ts) < 12 AS early FROM events
+        )
+        SELECT 'am' AS delivery, COUNT(*) AS rows_read,
+            COUNT(DISTINCT (event_type, user_id, d)) AS rows_written
+        FROM keyed WHERE early
+        UNION ALL
+        SELECT 'pm', (SELECT COUNT(*) FROM keyed WHERE NOT early),
+            COUNT(DISTINCT (event_type, user_id, d))
+        FROM keyed WHERE (event_type, d) IN (SELECT (event_type, d) FROM keyed WHERE NOT early)
+    """,
     "upsert_out_of_order": CURATED,
     "upsert_idempotent": CURATED,
     "incremental_files": CURATED,

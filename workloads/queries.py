@@ -93,6 +93,15 @@ def curate_events(spark: SparkSession, sf_dir: str, order: tuple[str, ...] = ("a
     return curated_rows(spark, f"{root}/curated")
 
 
+def curation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read and written per delivery, as observed by the write itself."""
+    root = work_dir(spark)
+    landed = deliveries(spark, sf_dir, root)
+    results = {n: curate_report(spark, EVENTS, path, f"{root}/curated") for n, path in landed.items()}
+    counts = [(name, r.rows_read, r.rows_written) for name, r in results.items()]
+    return spark.createDataFrame(counts, "delivery string, rows_read long, rows_written long")
+
+
 def upsert_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curate_events(spark, sf_dir, ("pm", "am"))
 
@@ -471,6 +480,7 @@ def region_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "curate_events": curate_events,
+    "curation_counts": curation_counts,
     "upsert_out_of_order": upsert_out_of_order,
     "upsert_idempotent": upsert_idempotent,
     "incremental_files": incremental_files,
