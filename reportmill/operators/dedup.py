@@ -28,14 +28,16 @@ def keep_latest(
     Null key parts count as equal. Equal versions are settled by the ``prefer`` columns and then
     by the remaining ones, greatest value first, so the result never depends on row order. The
     ``== 1`` filter lets Spark cut every map task down to one row per key before the shuffle,
-    which keeps a hot key small.
+    which keeps a hot key small. A hash leads the window keys so that sorting compares numbers
+    and looks at the keys, which may be long and alike, only when the hashes are equal.
     """
     key, prefer = list(key), list(prefer)
     rest = [name for name in df.columns if name not in {*key, version, *prefer}]
     newest_first = [
         sortable(df, name).desc_nulls_last() for name in [version, *prefer, *rest]
     ]
-    versions = Window.partitionBy(*[column(name) for name in key]).orderBy(*newest_first)
+    keys = [column(name) for name in key]
+    versions = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*newest_first)
     return (
         df.withColumn(RANK, F.row_number().over(versions)).where(F.col(RANK) == 1).drop(RANK)
     )
