@@ -57,6 +57,19 @@ def list_partitions(touched: DataFrame, limit: int = MAX_LISTED) -> list[Row] |
     return rows if len(rows) <= limit else None
 
 
+def in_partitions(stored: DataFrame, rows: list[Row], names: tuple[str, ...], label: Column) -> DataFrame:
+    """Rows in the listed partitions, or in the listed days when the rows hold no account.
+
+    The label decides. The lists per column let a metastore, which cannot evaluate the label,
+    narrow down the partitions that it returns.
+    """
+    for name in names:
+        values = {row[name] for row in rows}
+        if None not in values:
+            stored = stored.where(F.col(name).isin(sorted(values)))
+    return stored.where(label.isin([row.label for row in rows]))
+
+
 def only_touched(
     stored: DataFrame,
     touched: DataFrame,
@@ -70,10 +83,11 @@ def only_touched(
     Spark broadcasts only if the measured size allows it.
     """
     if listed is not None:
-        return stored.where(partition_label().isin([row.label for row in listed]))
-    days = touched.select(day_label().alias("label")).distinct().limit(limit + 1).collect()
+        return in_partitions(stored, listed, PARTITIONS, partition_label())
+    dated = touched.select(*PARTITIONS[1:], day_label().alias("label")).distinct()
+    days = dated.limit(limit + 1).collect()
     if len(days) <= limit:
-        stored = stored.where(day_label().isin([row.label for row in days]))
+        stored = in_partitions(stored, days, PARTITIONS[1:], day_label())
     same = [stored[name].eqNullSafe(touched[name]) for name in PARTITIONS]
     return stored.join(touched, same, "left_semi")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import SparkSession
 
 MIB = 1 << 20
@@ -59,10 +60,20 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[context.applicationId]
 
 
+def hadoop_path(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    """The Hadoop path object for ``path`` and the file system it lies on."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location, location.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    location, files = hadoop_path(spark, path)
+    return files.exists(location)
+
+
 def work_dir(spark: SparkSession) -> str:
     """A new folder under :func:`shared_dir`, removed when the Spark application ends."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/run-{uuid.uuid4().hex}")
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.mkdirs(path)
-    files.deleteOnExit(path)
-    return path.toString()
+    location, files = hadoop_path(spark, f"{shared_dir(spark)}/run-{uuid.uuid4().hex}")
+    files.mkdirs(location)
+    files.deleteOnExit(location)
+    return location.toString()

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from reportmill.session import path_exists
 from reportmill.spec import ReportSpec
 
 
@@ -14,9 +14,6 @@ def scan_curated(spark: SparkSession, spec: ReportSpec, path: str) -> DataFrame
     The schema is given, so no footers are read for inference and account ids keep their
     leading zeros.
     """
-    try:
-        return spark.read.schema(spec.curated_schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    if not path_exists(spark, path):
+        return None
+    return spark.read.schema(spec.curated_schema).parquet(path)

@@ -101,47 +101,90 @@ def is_morning() -> Column:
     return F.hour("ts") < 12
 
 
-def daily_media(events: DataFrame) -> DataFrame:
+def daily_events(events: DataFrame) -> DataFrame:
     """Spend per day and event type, with days as text and the Monday of their week."""
     daily = daily_spend(events, F.to_date("ts"), "event_type", F.col("value").cast(MONEY))
     return daily.select(
-        iso_day(F.date_trunc("week", F.col("day"))).alias("week"),
+        iso_day(F.date_trunc("week", F.col("day"))).alias("document"),
         iso_day(F.col("day")).alias("day"),
         "medium",
         "spend",
     )
 
 
-def media_documents(events: DataFrame) -> DataFrame:
-    """One JSON document per week: medium, then day, then spend.
+def daily_user_events(events: DataFrame) -> DataFrame:
+    """Spend per user, day and event type; a document is one day of one user."""
+    day = iso_day(F.col("ts"))
+    document = F.concat_ws("/", F.col("user_id").cast("string"), day)
+    return events.groupBy(document.alias("document"), day.alias("day"), F.col("event_type").alias("medium")).agg(
+        F.sum(F.col("value").cast(MONEY)).alias("spend")
+    )
+
+
+def daily_trade(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Ordered value per order day and shipped value per ship day; a document is one month."""
+    parts = []
+    for rows, day, amount, medium in (
+        (orders, "o_orderdate", "o_totalprice", "streaming"),
+        (lineitem, "l_shipdate", "l_extendedprice", "audio"),
+    ):
+        totals = rows.groupBy(F.to_date(day).alias("day")).agg(
+            F.sum(F.col(amount).cast(MONEY)).alias("spend")
+        )
+        parts.append(
+            totals.select(
+                F.date_format("day", "yyyy-MM").alias("document"),
+                iso_day(F.col("day")).alias("day"),
+                F.lit(medium).alias("medium"),
+                "spend",
+            )
+        )
+    return parts[0].unionByName(parts[1])
+
+
+def media_documents(daily: DataFrame) -> DataFrame:
+    """JSON documents of medium, day and spend, with the media that occur in each.
 
-    The lists hold at most seven days of a week and one entry per medium.
+    The rows are daily totals, so a list holds the days of one document and no more.
     """
-    days = daily_media(events).groupBy("week", "medium").agg(
-        F.map_from_entries(
-            F.collect_list(F.struct("day", F.struct("spend").alias("entry")))
-        ).alias("days")
+    days = daily.groupBy("document", "medium").agg(
+        F.map_from_entries(F.collect_list(day_entry())).alias("days")
     )
-    return days.groupBy("week").agg(
+    return days.groupBy("document").agg(
         F.to_json(F.map_from_entries(F.collect_list(F.struct("medium", "days")))).alias("value")
     )
 
 
+def streaming_documents(daily: DataFrame) -> DataFrame:
+    """JSON documents with both media, either of which may be empty."""
+    media = [
+        F.map_from_entries(
+            F.collect_list(F.when(F.col("medium") == medium, day_entry()))
+        ).alias(medium)
+        for medium in ("audio", "streaming")
+    ]
+    return daily.groupBy("document").agg(F.to_json(F.struct(*media)).alias("value"))
+
+
+def day_entry() -> Column:
+    return F.struct("day", F.struct("spend").alias("entry"))
+
+
 def linear_documents(events: DataFrame) -> DataFrame:
     """One JSON document per week with an array of daily spend over all media."""
     days = (
-        daily_media(events)
-        .groupBy("week", "day")
+        daily_events(events)
+        .groupBy("document", "day")
         .agg(F.sum("spend").cast("decimal(28,5)").alias("electronic"))
-        .groupBy("week")
+        .groupBy("document")
         .agg(F.collect_list(F.struct("day", "electronic")).alias("weekSummary"))
     )
-    return days.select("week", F.to_json(F.struct("weekSummary")).alias("value"))
+    return days.select("document", F.to_json(F.struct("weekSummary")).alias("value"))
 
 
 def land_documents(documents: DataFrame, path: str) -> str:
     """One file per document."""
-    documents.write.mode("overwrite").partitionBy("week").text(path)
+    documents.write.mode("overwrite").partitionBy("document").text(path)
     return path
 
 

@@ -67,13 +67,22 @@ AFFILIATE = f"""
 """
 
 
-def medium(name: str, label: str, condition: str = LARGE) -> str:
+def daily(day: str, amount: str, source: str, label: str) -> str:
     return f"""
-        SELECT {ISO("ts")} AS day, CAST(SUM(CAST(value AS {MONEY})) AS {SUM}) AS {label}
-        FROM events WHERE event_type = '{name}' AND {condition} GROUP BY 1
+        SELECT {ISO(day)} AS day, CAST(SUM(CAST({amount} AS {MONEY})) AS {SUM}) AS {label}
+        FROM {source} GROUP BY 1
     """
 
 
+VIDEO = daily("o_orderdate", "o_totalprice", "orders", "video")
+AUDIO = daily("l_shipdate", "l_extendedprice", "lineitem", "audio")
+LINEAR = daily("ts", "value", "events", "linear")
+MEDIA = f"""
+    SELECT COALESCE(v.day, a.day) AS day, video, audio
+    FROM ({VIDEO}) v FULL JOIN ({AUDIO}) a ON v.day = a.day
+"""
+
+
 # Breakdown columns per report, over events joined with their user and nation.
 BREAKDOWNS = {
     "country": "n_name",
@@ -172,9 +181,9 @@ ORACLE = {
     """,
     "typed_metrics": f"""
         SELECT event_id,
-            CASE WHEN {COUNTER} >= 90 THEN NULL
+            CASE WHEN {COUNTER} >= 90 THEN -1
                  WHEN {COUNTER} BETWEEN 70 AND 79
-                 THEN TRY_CAST({COUNTER} || '000000000' AS INTEGER)
+                 THEN COALESCE(TRY_CAST({COUNTER} || '000000000' AS INTEGER), -1)
                  ELSE {COUNTER} END AS clicks,
             CASE WHEN hour(ts) IN (0, 1) THEN NULL ELSE CAST(value AS {MONEY}) END AS spend,
             CASE WHEN hour(ts) <> 2 THEN ts END AS execution_date
@@ -218,22 +227,15 @@ ORACLE = {
     """,
     "props_flatten": f"SELECT event_id, 'k' AS name, {COUNTER} AS number FROM events",
     "completeness": f"""
-        SELECT {ISO("date_trunc('week', ts)")} AS week,
+        SELECT user_id || '/' || {ISO("ts")} AS document,
             CAST(COUNT(DISTINCT event_type) AS INTEGER) AS keys_found,
             COUNT(DISTINCT event_type) = 5 AS complete
-        FROM events WHERE {LARGE} GROUP BY 1
-    """,
-    "media_outer_join": f"""
-        SELECT COALESCE(v.day, a.day) AS day, video, audio
-        FROM ({medium("view", "video")}) v FULL JOIN ({medium("click", "audio")}) a ON v.day = a.day
+        FROM events GROUP BY 1
     """,
+    "media_outer_join": MEDIA,
     "spend_summary": f"""
         SELECT COALESCE(s.day, l.day) AS day, video, audio, linear
-        FROM (
-            SELECT COALESCE(v.day, a.day) AS day, video, audio
-            FROM ({medium("view", "video")}) v
-            FULL JOIN ({medium("click", "audio")}) a ON v.day = a.day
-        ) s FULL JOIN ({medium("purchase", "linear", "true")}) l ON s.day = l.day
+        FROM ({MEDIA}) s FULL JOIN ({LINEAR}) l ON s.day = l.day
     """,
     "sorted_export": f"""
         SELECT {ISO("o_orderdate")} AS day,
@@ -277,4 +279,12 @@ ORACLE = {
     "report_family": " UNION ALL ".join(
         monitoring(report, f"({newest(breakdown)})") for report, breakdown in BREAKDOWNS.items()
     ),
+    "family_marts": " UNION ALL ".join(
+        f"""SELECT '{report}' AS report, * FROM ({mart(f'{group} AS "group"', f"({newest(BREAKDOWNS[report])})", group)})"""
+        for report, group in (
+            ("age_gender", "breakdown"),
+            ("region", "breakdown"),
+            ("adset", "'set-' || event_type"),
+        )
+    ),
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportmill.functions import (
@@ -39,7 +39,7 @@ from reportmill.operators.shape import (
     with_partitions,
 )
 from reportmill.plans.curate import curate_report
-from reportmill.plans.family import run_family
+from reportmill.plans.family import ReportRun, run_family
 from reportmill.plans.spend import spend_summary
 from reportmill.plans.warehouse import load_report
 from reportmill.session import work_dir
@@ -54,13 +54,13 @@ from reportmill.sources import (
     scan_delimited_groups,
     scan_payloads,
 )
-from reportmill.spec import AFFILIATE_MAPPING, PARTITIONS, ReportSpec
+from reportmill.spec import AFFILIATE_MAPPING, PARTITIONS, REPORTS, ReportSpec
 from reportmill.streaming.incremental import curate_new_files
 from workloads import inputs
 from workloads.inputs import CUSTOM, HIGH_SPEND, MEDIA, MONEY, PURCHASE, table
 
 EVENTS = ReportSpec("events")
-SUMMARY_TYPES = "decimal(28,5)"
+TOTAL = "decimal(28,5)"
 
 
 def suffix(path: str) -> str:
@@ -216,7 +216,9 @@ def typed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("spend"),
         F.when(hour == 2, "2024-13-45").otherwise(F.col("ts").cast("string")).alias("execution_date"),
     )
-    return cast_all(texts, {"clicks": "int", "spend": MONEY, "execution_date": "timestamp"})
+    typed = cast_all(texts, {"clicks": "int", "spend": MONEY, "execution_date": "timestamp"})
+    # Some comparisons read a nullable integer as a float, so -1 stands for null here.
+    return typed.withColumn("clicks", F.coalesce("clicks", F.lit(-1)))
 
 
 def mapping_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,11 +282,11 @@ def daily_media_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def media_schema() -> str:
-    return ", ".join(f"`{name}` map<string, struct<spend: {SUMMARY_TYPES}>>" for name in MEDIA)
+    return ", ".join(f"`{name}` map<string, struct<spend: {TOTAL}>>" for name in MEDIA)
 
 
 def map_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = inputs.media_documents(table(spark, sf_dir, "events"))
+    documents = inputs.media_documents(inputs.daily_events(table(spark, sf_dir, "events")))
     parsed = parse_payloads(documents, media_schema())
     flat = [
         with_constants(flatten_map(parsed, name, "spend", "day", "spend"), medium=name)
@@ -295,7 +297,7 @@ def map_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def array_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = inputs.linear_documents(table(spark, sf_dir, "events"))
-    schema = f"weekSummary array<struct<day: string, electronic: {SUMMARY_TYPES}>>"
+    schema = f"weekSummary array<struct<day: string, electronic: {TOTAL}>>"
     parsed = parse_payloads(documents, schema, ["weekSummary"])
     return flatten_array(parsed, "weekSummary", {"day": "day", "electronic": "spend"})
 
@@ -306,44 +308,31 @@ def props_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    large = table(spark, sf_dir, "events").where(F.col("value") >= HIGH_SPEND)
+    documents = inputs.media_documents(inputs.daily_user_events(table(spark, sf_dir, "events")))
     found = F.size(F.json_object_keys("value"))
-    return inputs.media_documents(large).select(
-        "week", found.alias("keys_found"), (found == len(MEDIA)).alias("complete")
+    return documents.select(
+        "document", found.alias("keys_found"), (found == len(MEDIA)).alias("complete")
     )
 
 
-def large_spend(daily: DataFrame, medium: str, label: str) -> DataFrame:
-    return daily.where(F.col("medium") == medium).select("day", F.col("spend").alias(label))
-
-
 def media_outer_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    large = table(spark, sf_dir, "events").where(F.col("value") >= HIGH_SPEND)
-    daily = inputs.daily_media(large)
-    return outer_join_on(
-        large_spend(daily, "view", "video"), large_spend(daily, "click", "audio"), "day"
+    daily = inputs.daily_trade(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
+    sides = {"streaming": "video", "audio": "audio"}
+    video, audio = (
+        daily.where(F.col("medium") == medium).select("day", F.col("spend").alias(label))
+        for medium, label in sides.items()
     )
+    return outer_join_on(video, audio, "day")
 
 
 def spend_summary_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark)
-    events = table(spark, sf_dir, "events")
-    large = events.where(F.col("value") >= HIGH_SPEND)
-    schema = f"audio map<string, struct<spend: {SUMMARY_TYPES}>>, streaming map<string, struct<spend: {SUMMARY_TYPES}>>"
-    media = parse_payloads(inputs.media_documents(large), media_schema()).select(
-        F.coalesce("click", F.create_map().cast("map<string, struct<spend: decimal(28,5)>>")).alias("audio"),
-        F.coalesce("view", F.create_map().cast("map<string, struct<spend: decimal(28,5)>>")).alias("streaming"),
-    )
-    weekly = media.select(
-        F.to_json(F.struct("audio", "streaming")).alias("value"),
-        F.coalesce(
-            F.array_min(F.map_keys("audio")), F.array_min(F.map_keys("streaming")), F.lit("none")
-        ).alias("week"),
-    )
-    streaming = inputs.land_documents(weekly, f"{root}/streaming")
+    daily = inputs.daily_trade(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
+    streaming = inputs.land_documents(inputs.streaming_documents(daily), f"{root}/streaming")
     linear = inputs.land_documents(
-        inputs.linear_documents(events.where(F.col("event_type") == "purchase")), f"{root}/linear"
+        inputs.linear_documents(table(spark, sf_dir, "events")), f"{root}/linear"
     )
+    days = f"map<string, struct<spend: {TOTAL}>>"
     landed = spend_summary(
         spark,
         streaming,
@@ -351,26 +340,26 @@ def spend_summary_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{root}/landing",
         "media",
         dt.date(2024, 2, 7),
-        streaming_schema=schema,
-        linear_schema=f"weekSummary array<struct<day: string, electronic: {SUMMARY_TYPES}>>",
+        streaming_schema=f"audio {days}, streaming {days}",
+        linear_schema=f"weekSummary array<struct<day: string, electronic: {TOTAL}>>",
     )
     summary = scan_delimited(spark, landed)
     return summary.select(
         F.col("Date").alias("day"),
-        F.col("Streaming Video").try_cast(SUMMARY_TYPES).alias("video"),
-        F.col("Streaming Audio").try_cast(SUMMARY_TYPES).alias("audio"),
-        F.col("Linear TV").try_cast(SUMMARY_TYPES).alias("linear"),
+        F.col("Streaming Video").try_cast(TOTAL).alias("video"),
+        F.col("Streaming Audio").try_cast(TOTAL).alias("audio"),
+        F.col("Linear TV").try_cast(TOTAL).alias("linear"),
     )
 
 
 def sorted_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{work_dir(spark)}/export"
     totals = table(spark, sf_dir, "orders").groupBy(iso_day(F.col("o_orderdate")).alias("Date")).agg(
-        F.sum(F.col("o_totalprice").cast(MONEY)).cast(SUMMARY_TYPES).alias("total")
+        F.sum(F.col("o_totalprice").cast(MONEY)).cast(TOTAL).alias("total")
     )
     export_sorted(totals, path, "Date")
     return scan_delimited(spark, path).select(
-        F.col("Date").alias("day"), F.col("total").try_cast(SUMMARY_TYPES).alias("total")
+        F.col("Date").alias("day"), F.col("total").try_cast(TOTAL).alias("total")
     )
 
 
@@ -420,7 +409,7 @@ def mart_by_type_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = conform(inputs.raw_report(table(spark, sf_dir, "events")), EVENTS)
     root = work_dir(spark)
     mart = build_mart(rows, EVENTS).withColumns(
-        {name: F.col(name).cast(SUMMARY_TYPES) for name in ("spend", "impressions")}
+        {name: F.col(name).cast(TOTAL) for name in ("spend", "impressions")}
     )
     tables = publish(plain_metrics(mart), f"events_mart_{suffix(root)}", f"{root}/marts")
     return spark.table(tables[-1]).select(
@@ -447,7 +436,7 @@ def monitoring_by_account_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitoring_columns(build_monitoring(with_partitions(rows, EVENTS), EVENTS))
 
 
-def family_runs(spark: SparkSession, sf_dir: str) -> list:
+def family_runs(spark: SparkSession, sf_dir: str, specs: tuple[ReportSpec, ...]) -> list[ReportRun]:
     root = work_dir(spark)
     landed = inputs.land_csv(inputs.raw_family(spark, sf_dir), f"{root}/raw")
     tag = suffix(root)
@@ -457,6 +446,7 @@ def family_runs(spark: SparkSession, sf_dir: str) -> list:
         root,
         f"{root}/curated",
         f"{root}/marts",
+        specs,
         source_of=lambda spec: landed,
         curated_db=f"curated_{tag}",
         environments=(f"dev_{tag}", f"prd_{tag}"),
@@ -464,12 +454,37 @@ def family_runs(spark: SparkSession, sf_dir: str) -> list:
 
 
 def report_family(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = family_runs(spark, sf_dir)
+    runs = family_runs(spark, sf_dir, REPORTS)
     return reduce(
         DataFrame.unionByName, [monitoring_columns(spark.table(run.monitoring)) for run in runs]
     )
 
 
+def family_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three marts as published to the last environment."""
+    marts = {
+        run.report_type: plain_metrics(spark.table(run.marts[-1]))
+        for run in family_runs(spark, sf_dir, tuple(spec for spec in REPORTS if spec.mart))
+    }
+    groups = {"age_gender": "age", "region": "region", "adset": "adset_id"}
+    return reduce(
+        DataFrame.unionByName,
+        [
+            marts[report].select(
+                F.lit(report).alias("report"),
+                F.col(group).alias("group"),
+                "date_start",
+                "clicks",
+                "impressions",
+                "purchases",
+                "custom_value",
+                "spend",
+            )
+            for report, group in groups.items()
+        ],
+    )
+
+
 def region_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = ReportSpec("region", breakdowns=("region",))
     rows = keep_latest(
@@ -517,4 +532,5 @@ QUERIES = {
     "region_mart": region_mart,
     "monitoring_by_account_day": monitoring_by_account_day,
     "report_family": report_family,
+    "family_marts": family_marts,
 }
