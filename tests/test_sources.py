@@ -102,6 +102,29 @@ def test_each_file_is_curated_once(spark):
     assert os.listdir(f"{paths[2].removeprefix('file:')}/commits") == offsets
 
 
+def test_new_files_go_into_the_catalog_table(spark):
+    root = work_dir(spark)
+    paths = [f"{root}/{name}" for name in ("raw", "curated", "checkpoint")]
+    spark.sql("DROP TABLE IF EXISTS arrivals")
+    for name, rows in {"first": STORED, "second": INCOMING}.items():
+        raw_rows(spark, rows).coalesce(1).write.option("header", True).csv(f"{paths[0]}/{name}")
+        schema = raw_rows(spark, rows).schema
+        curate_new_files(spark, SPEC, *paths, table="arrivals", schema=schema)
+    assert short(spark.table("arrivals")) == EXPECTED
+
+
+def test_listing_partitions_reads_two_columns(spark):
+    from reportmill.operators.filters import drop_dirty
+    from reportmill.operators.merge import touched_partitions
+    from reportmill.operators.shape import conform
+
+    root = work_dir(spark)
+    raw_rows(spark, STORED).write.option("header", True).csv(f"{root}/raw")
+    clean = drop_dirty(conform(scan_delimited(spark, f"{root}/raw"), SPEC), SPEC)
+    plan = touched_partitions(clean, SPEC)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<account_id:string,date_start:string>" in plan
+
+
 def test_session_settings_follow_the_data():
     small, large = session_conf(1 << 20, 8), session_conf(100 * TIB, 8000)
     assert small["spark.sql.shuffle.partitions"] == "8"

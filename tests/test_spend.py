@@ -105,12 +105,14 @@ def test_empty_medium_gives_no_rows(spark):
     assert [tuple(r) for r in result.collect()] == [GOLDEN[2]]
 
 
-def test_outer_join_against_brute_force(spark):
+@pytest.mark.parametrize("hot_keys", [False, True])
+def test_outer_join_against_brute_force(spark, hot_keys):
     """Duplicate keys multiply, null keys match, absent sides are null."""
     left = [("a", 1), ("a", 2), (None, 3), ("b", 4)]
     right = [("a", 5), ("a", 6), (None, 7), ("c", 8)]
     result = outer_join_on(
-        spark.createDataFrame(left, "k string, `x 1` int"), spark.createDataFrame(right, "k string, y int"), "k"
+        spark.createDataFrame(left, "k string, `x 1` int"), spark.createDataFrame(right, "k string, y int"),
+        "k", hot_keys,
     )
     expected = [(lk, lv, rv) for (lk, lv), (rk, rv) in itertools.product(left, right) if lk == rk]
     expected += [(k, v, None) for k, v in left if k not in [r[0] for r in right]]
@@ -121,6 +123,35 @@ def test_outer_join_against_brute_force(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_hot_key_of_an_outer_join_is_split(spark):
+    """Half of the left rows share a date; adaptive execution splits their partition."""
+    hot = F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string"))
+    left = spark.range(0, 200_000, 1, 8).select(hot.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    right = spark.range(0, 200_000, 1, 8).select(
+        F.when(F.col("id") == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("w")
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "262144",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1048576",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        result = outer_join_on(left, right, "k", hot_keys=True)
+        rows = result.collect()
+        plan = result._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    # 100,000 hot and 100,000 odd left rows all match; the even right keys but 0 do not.
+    assert len(rows) == 200_000 + 99_999
+    assert sum(row.k == "hot" for row in rows) == 100_000
+    assert "SortMergeJoin(skew=true)" in plan
+
+
 def test_export_is_sorted_with_nulls_last_in_one_small_file(spark):
     path = f"{work_dir(spark)}/export"
     rows = spark.createDataFrame([("b", 1), (None, 2), ("a", 3)], "Date string, n int").repartition(3)

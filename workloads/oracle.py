@@ -233,6 +233,7 @@ ORACLE = {
         FROM events GROUP BY 1
     """,
     "media_outer_join": MEDIA,
+    "media_outer_join_hot": MEDIA,
     "spend_summary": f"""
         SELECT COALESCE(s.day, l.day) AS day, video, audio, linear
         FROM ({MEDIA}) s FULL JOIN ({LINEAR}) l ON s.day = l.day

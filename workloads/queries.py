@@ -315,14 +315,18 @@ def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def media_outer_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+def media_outer_join(spark: SparkSession, sf_dir: str, hot_keys: bool = False) -> DataFrame:
     daily = inputs.daily_trade(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
     sides = {"streaming": "video", "audio": "audio"}
     video, audio = (
         daily.where(F.col("medium") == medium).select("day", F.col("spend").alias(label))
         for medium, label in sides.items()
     )
-    return outer_join_on(video, audio, "day")
+    return outer_join_on(video, audio, "day", hot_keys)
+
+
+def media_outer_join_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_outer_join(spark, sf_dir, hot_keys=True)
 
 
 def spend_summary_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -520,6 +524,7 @@ QUERIES = {
     "props_flatten": props_flatten,
     "completeness": completeness,
     "media_outer_join": media_outer_join,
+    "media_outer_join_hot": media_outer_join_hot,
     "spend_summary": spend_summary_csv,
     "sorted_export": sorted_export,
     "landing_layout": landing_layout,
