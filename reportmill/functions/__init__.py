@@ -7,7 +7,7 @@ from reportmill.functions.dates import (
     month_window,
     week_start,
 )
-from reportmill.functions.names import base_name, column, landing_name, plain
+from reportmill.functions.names import base_name, column, landing_name, literal, plain, quote
 
 __all__ = [
     "as_date",
@@ -16,9 +16,11 @@ __all__ = [
     "date_parts",
     "iso_day",
     "landing_name",
+    "literal",
     "monday_of",
     "month_window",
     "plain",
+    "quote",
     "to_integer",
     "typed",
     "week_start",

@@ -12,10 +12,22 @@ def plain(name: str) -> str:
     return name.strip("`")
 
 
+def quote(name: str) -> str:
+    """``name`` as one SQL identifier, also when it holds dots."""
+    return "`" + plain(name).replace("`", "``") + "`"
+
+
+def literal(value: object) -> str:
+    """``value`` as a SQL string literal, or ``NULL``."""
+    if value is None:
+        return "NULL"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
 def column(name: str) -> Column:
-    """The top-level column called ``name``, also when the name holds dots."""
-    escaped = plain(name).replace("`", "``")
-    return F.col(f"`{escaped}`")
+    """The top-level column called ``name``."""
+    return F.col(quote(name))
 
 
 def base_name(path: Column) -> Column:

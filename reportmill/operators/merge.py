@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, Row
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
-from reportmill.functions import column
+from reportmill.functions import column, literal
 from reportmill.operators.dedup import keep_latest
 from reportmill.operators.shape import project, with_partitions
 from reportmill.sinks.catalog import register_table
@@ -18,6 +18,9 @@ from reportmill.spec import PARTITIONS, ReportSpec
 ORIGIN = "__is_incoming"
 # Partitions named one by one in the scan filter; beyond it the semi join takes over.
 MAX_LISTED = 5_000
+# One text per day, and per partition; the account comes last because it may hold slashes.
+DAY_LABEL = "concat_ws('/', year, month, day)"
+PARTITION_LABEL = "concat_ws('/', year, month, day, coalesce(account, ''))"
 
 
 @dataclass(frozen=True)
@@ -43,21 +46,18 @@ def touched_partitions(rows: DataFrame, spec: ReportSpec) -> DataFrame:
     ).distinct()
 
 
-def day_label() -> Column:
-    return F.concat_ws("/", "year", "month", "day")
-
-
-def partition_label() -> Column:
-    return F.concat_ws("/", "year", "month", "day", F.coalesce("account", F.lit("")))
-
-
 def list_partitions(touched: DataFrame, limit: int = MAX_LISTED) -> list[Row] | None:
     """The touched partitions on the driver, or ``None`` when there are more than ``limit``."""
-    rows = touched.withColumn("label", partition_label()).limit(limit + 1).collect()
+    rows = touched.withColumn("label", F.expr(PARTITION_LABEL)).limit(limit + 1).collect()
     return rows if len(rows) <= limit else None
 
 
-def in_partitions(stored: DataFrame, rows: list[Row], names: tuple[str, ...], label: Column) -> DataFrame:
+def one_of(expression: str, values: set[str]) -> str:
+    """A SQL list condition: one text for Spark to parse, however long the list is."""
+    return f"{expression} IN ({', '.join(literal(value) for value in sorted(values))})"
+
+
+def in_partitions(stored: DataFrame, rows: list[Row], names: tuple[str, ...], label: str) -> DataFrame:
     """Rows in the listed partitions, or in the listed days when the rows hold no account.
 
     The label decides. The lists per column let a metastore, which cannot evaluate the label,
@@ -66,8 +66,8 @@ def in_partitions(stored: DataFrame, rows: list[Row], names: tuple[str, ...], la
     for name in names:
         values = {row[name] for row in rows}
         if None not in values:
-            stored = stored.where(F.col(name).isin(sorted(values)))
-    return stored.where(label.isin([row.label for row in rows]))
+            stored = stored.where(one_of(name, values))
+    return stored.where(one_of(label, {row.label for row in rows}))
 
 
 def only_touched(
@@ -83,11 +83,11 @@ def only_touched(
     Spark broadcasts only if the measured size allows it.
     """
     if listed is not None:
-        return in_partitions(stored, listed, PARTITIONS, partition_label())
-    dated = touched.select(*PARTITIONS[1:], day_label().alias("label")).distinct()
+        return in_partitions(stored, listed, PARTITIONS, PARTITION_LABEL)
+    dated = touched.select(*PARTITIONS[1:], F.expr(DAY_LABEL).alias("label")).distinct()
     days = dated.limit(limit + 1).collect()
     if len(days) <= limit:
-        stored = in_partitions(stored, days, PARTITIONS[1:], day_label())
+        stored = in_partitions(stored, days, PARTITIONS[1:], DAY_LABEL)
     same = [stored[name].eqNullSafe(touched[name]) for name in PARTITIONS]
     return stored.join(touched, same, "left_semi")
 

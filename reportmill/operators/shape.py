@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reportmill.functions import column, date_parts, plain, typed
+from reportmill.functions import column, date_parts, quote, typed
 from reportmill.spec import PARTITIONS, ReportSpec
 
 
@@ -22,7 +22,7 @@ def with_copies(df: DataFrame, **sources: str) -> DataFrame:
 
 def project(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """The named columns in the given order; back-ticks around a name are dropped."""
-    return df.select(*[column(name).alias(plain(name)) for name in names])
+    return df.selectExpr(*[quote(name) for name in names])
 
 
 def rename_all(df: DataFrame, names: Mapping[str, str]) -> DataFrame:

@@ -7,14 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import types as T
 
+from reportmill.functions import literal, quote
+
 ENVIRONMENTS = ("dev", "prd")
 ADD_BATCH = 500
 
 
-def quote(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def table_name(*parts: str) -> str:
     return ".".join(quote(part) for part in parts)
 
@@ -60,13 +58,6 @@ def partition_spec(row: Row, partitions: Sequence[str]) -> str:
     )
 
 
-def literal(value: object) -> str:
-    if value is None:
-        return "NULL"
-    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{text}'"
-
-
 def publish(
     df: DataFrame, model: str, root: str, environments: Sequence[str] = ENVIRONMENTS
 ) -> list[str]:
