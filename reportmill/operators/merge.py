@@ -116,7 +116,8 @@ def upsert(
 
     Only partitions with incoming rows are read and replaced. Running it again with the same
     rows changes nothing, so a replayed batch is safe. The first load reads the input once; a
-    later one reads it a second time for the account and date columns alone.
+    later one reads it a second time for the account and date columns alone, so ``incoming``
+    must give the same rows each time.
 
     With ``table``, the catalog table of that name is kept up to date and, once it exists, used
     to find the stored files, so that the directory tree is not listed on every load.

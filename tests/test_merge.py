@@ -82,6 +82,41 @@ def test_order_does_not_matter(spark):
     }
 
 
+def test_random_batches_match_brute_force(spark, target):
+    """Three deliveries with late rows, ties, missing versions and missing key parts."""
+    rng = random.Random(11)
+    lowest = ""
+    state: dict[tuple, tuple] = {}
+    for _ in range(3):
+        rows = [
+            {
+                "account_id": rng.choice("AB"),
+                "ad_id": rng.choice([None, *"123456789"]),
+                "ad_name": rng.choice([None, "n"]),
+                "date_start": f"2024-01-0{rng.randint(1, 3)}",
+                "execution_date": rng.choice([None, *[f"2024-02-0{d}" for d in range(1, 5)]]),
+                "spend": str(rng.randint(10, 99)),
+            }
+            for _ in range(150)
+        ]
+        best: dict[tuple, tuple] = {}
+        for row in rows:
+            key = (row["account_id"], row["ad_id"], row["ad_name"], row["date_start"])
+            best[key] = max(best.get(key, (lowest, "")), (row["execution_date"] or lowest, row["spend"]))
+        for key, (version, spend) in best.items():
+            if key not in state or version >= state[key][0]:
+                state[key] = (version, spend)
+        curate_frame(raw_rows(spark, rows), SPEC, target)
+    stored = scan_curated(spark, SPEC, target).collect()
+    found = {
+        (r.account_id, r.ad_id, r.ad_name, str(r.date_start)[:10]): (
+            str(r.execution_date)[:10] if r.execution_date else lowest, str(int(r.spend))
+        )
+        for r in stored
+    }
+    assert len(stored) == len(found) and found == state
+
+
 def test_versions_compare_as_times_not_text(spark, target):
     first = {"ad_id": "1", "execution_date": "2024-01-02 23:00:00", "spend": "1"}
     older = {"ad_id": "1", "execution_date": "2024-01-02T03:04:05", "spend": "2"}
