@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +20,22 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 4 << 20
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, unless ``PYTHONPATH`` already leads to it."""
+    context, package = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if context.applicationId in _shipped or str(package.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="reportmill-"), "reportmill.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for source in package.rglob("*.py"):
+            archive.write(source, source.relative_to(package.parent))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -66,6 +86,7 @@ def map_slices(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.R
             for part in slices(batch, column):
                 yield work(part)
 
+    ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -97,14 +97,13 @@ def host_verdicts(measured: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataF
     for name in RULES:
         f = F.col(f"failed_{name}")
         sums += [F.sum(f).alias(f"f_{name}"), F.sum(f.cast("double") * f / F.col("docs")).alias(f"q_{name}")]
-    prior = F.broadcast(hosts.agg(*sums).withColumnRenamed("docs", "all_docs"))  # one row
-    out = hosts.withColumn("one", F.lit(1)).join(prior.withColumn("one", F.lit(1)), "one")
+    out = hosts.withColumn("all", hosts.agg(F.struct(*sums)).scalar())
     for name in RULES:
-        mean = F.col(f"f_{name}") / F.col("all_docs")
-        spread = F.col(f"q_{name}") / F.col("all_docs") - mean * mean
+        mean = F.col(f"all.f_{name}") / F.col("all.docs")
+        spread = F.col(f"all.q_{name}") / F.col("all.docs") - mean * mean
         strength = F.when(spread > 0, F.greatest(F.lit(MIN_PRIOR), F.least(F.lit(MAX_PRIOR), mean * (1 - mean) / spread - 1))).otherwise(F.lit(MAX_PRIOR))
         out = out.withColumn(f"rate_{name}", (F.col(f"failed_{name}") + mean * strength) / (F.col("docs") + strength))
-    return out.select("host", "docs", *[f"rate_{n}" for n in RULES], F.greatest(*[F.col(f"rate_{n}") for n in RULES]).__gt__(max_rate).alias("rejected"))
+    return out.select("host", "docs", *[f"rate_{n}" for n in RULES], (F.greatest(*[F.col(f"rate_{n}") for n in RULES]) > max_rate).alias("rejected"))
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", max_rate: float = MAX_HOST_RATE) -> DataFrame:

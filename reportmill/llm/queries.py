@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportmill.llm import quality_rules, secret_scan
+from reportmill.llm import bpe, quality_rules, secret_scan, sharding
 from reportmill.llm.common import read_table
 from reportmill.llm.sql import SQL
 
+SHARDS = 8
+
+
+def tokenizer_path(name: str) -> str:
+    """Where the public vocabulary files lie; ``TOKENIZER_DIR`` names another folder."""
+    folder = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+    return os.path.join(folder, name)
+
 
 def op8_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, sf_dir, "documents")).select(
@@ -32,7 +41,20 @@ def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_bpe_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), ("ids_sha256", "decoded_sha256"))
+    return coded.select(F.col("row_id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def op6_bounded_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(read_table(spark, sf_dir, "documents"), SHARDS).select(
+        F.col("row_id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bpe_merge_rounds": op2_bpe_merge_rounds,
+    "op6_bounded_ring_shards": op6_bounded_ring_shards,
     "op8_host_quality_rules": op8_host_quality_rules,
     "op10_secret_ownership": op10_secret_ownership,
 }
