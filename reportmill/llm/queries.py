@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportmill.llm import bpe, quality_rules, secret_scan, sharding
+from reportmill.llm import bpe, jaccard, quality_rules, secret_scan, sharding
 from reportmill.llm.common import read_table
 from reportmill.llm.sql import SQL
 
@@ -21,6 +21,11 @@ def tokenizer_path(name: str) -> str:
     return os.path.join(folder, name)
 
 
+def op7_count_tree_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.similar_components(read_table(spark, sf_dir, "documents"), width=3, num=90, den=100)
+    return found.select(F.col("row_id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 def op8_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, sf_dir, "documents")).select(
         F.col("row_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -55,6 +60,7 @@ def op6_bounded_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe_merge_rounds": op2_bpe_merge_rounds,
     "op6_bounded_ring_shards": op6_bounded_ring_shards,
+    "op7_count_tree_jaccard": op7_count_tree_jaccard,
     "op8_host_quality_rules": op8_host_quality_rules,
     "op10_secret_ownership": op10_secret_ownership,
 }
