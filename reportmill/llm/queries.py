@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportmill.llm import bpe, jaccard, quality_rules, secret_scan, sharding
+from reportmill.llm import bpe, decontaminate, jaccard, quality_rules, secret_scan, sharding
 from reportmill.llm.common import read_table
 from reportmill.llm.sql import SQL
 
@@ -46,6 +46,14 @@ def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_pigeonhole_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    ids = F.transform("leaks", lambda leak: leak["item_id"])
+    return found.select(
+        F.col("row_id").alias("doc_id"), F.lit(True).alias("contaminated"), F.size("leaks").cast("bigint").alias("n_items"), ids.alias("item_ids")
+    )
+
+
 def op2_bpe_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), ("ids_sha256", "decoded_sha256"))
     return coded.select(F.col("row_id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
@@ -58,6 +66,7 @@ def op6_bounded_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pigeonhole_leaks": op1_pigeonhole_leaks,
     "op2_bpe_merge_rounds": op2_bpe_merge_rounds,
     "op6_bounded_ring_shards": op6_bounded_ring_shards,
     "op7_count_tree_jaccard": op7_count_tree_jaccard,
