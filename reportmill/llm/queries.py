@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportmill.llm import bpe, decontaminate, jaccard, quality_rules, secret_scan, sharding
+from reportmill.llm import bpe, decontaminate, jaccard, quality_rules, secret_scan, sharding, toxicity
 from reportmill.llm.common import read_table
 from reportmill.llm.sql import SQL
 
@@ -59,6 +59,13 @@ def op2_bpe_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select(F.col("row_id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op4_bigru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")) % 4 == 2
+    labels = read_table(spark, sf_dir, "labels").where(~held_out)
+    scored = toxicity.score(read_table(spark, sf_dir, "documents"), labels).withColumnRenamed("row_id", "doc_id")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op6_bounded_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(read_table(spark, sf_dir, "documents"), SHARDS).select(
         F.col("row_id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
@@ -68,6 +75,7 @@ def op6_bounded_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pigeonhole_leaks": op1_pigeonhole_leaks,
     "op2_bpe_merge_rounds": op2_bpe_merge_rounds,
+    "op4_bigru_toxicity": op4_bigru_toxicity,
     "op6_bounded_ring_shards": op6_bounded_ring_shards,
     "op7_count_tree_jaccard": op7_count_tree_jaccard,
     "op8_host_quality_rules": op8_host_quality_rules,
