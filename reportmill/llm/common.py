@@ -52,6 +52,15 @@ def text_of(docs: DataFrame, text_col: str = "text") -> Column:
     return F.coalesce(docs[text_col].cast("string"), F.lit(""))
 
 
+#: A stored table with at most so many short rows is broadcast; a larger one is shuffled.
+BROADCAST_ROWS = 200_000
+
+
+def hinted(rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``rows``, which are stored and short, with a broadcast hint if they are few."""
+    return F.broadcast(rows) if rows.limit(limit + 1).count() <= limit else rows
+
+
 def row_hash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Column:
     """Tells rows with the same id and different texts apart."""
     return F.xxhash64(docs[id_col], text_of(docs, text_col))

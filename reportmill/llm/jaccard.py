@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reportmill.llm.common import map_slices, ship_package, stored, text_of
+from reportmill.llm.common import hinted, map_slices, ship_package, stored, text_of
 from reportmill.llm.components import connected
 
 GROUPS = 64
@@ -207,12 +207,15 @@ def spanning_links(sets: list[np.ndarray], probes: list[int], rule: Threshold, p
 
 
 def link_chunks(rows: DataFrame, width: int, rule: Threshold) -> DataFrame:
-    """``rows``: chunk, node, part, probe, text, sorted by chunk. Returns links (src, dst) between nodes."""
+    """``rows``: chunk, node, d1, part, probe, text, sorted by chunk. Returns links (src, dst) between nodes.
+
+    Texts that are not of the set with digest ``d1`` are left out: ids can repeat with other texts.
+    """
     schema = "src bigint, dst bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(width)
-        chunk, nodes, parts, probes, sets = None, [], [], [], []
+        chunk, nodes, parts, probes, sets, known = None, [], [], [], [], set()
 
         def links() -> pa.RecordBatch:
             found = spanning_links(sets, [i for i, p in enumerate(probes) if p], rule, parts) if len(sets) > 1 else []
@@ -221,16 +224,22 @@ def link_chunks(rows: DataFrame, width: int, rule: Threshold) -> DataFrame:
             )
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("chunk", "node", "part", "probe", "text")]
-            for key, node, part, probe, text in zip(*columns, strict=True):
+            columns = [batch.column(c).to_pylist() for c in ("chunk", "node", "d1", "part", "probe", "text")]
+            for key, node, d1, part, probe, text in zip(*columns, strict=True):
                 if key != chunk:
                     if sets:
                         yield links()
-                    chunk, nodes, parts, probes, sets = key, [], [], [], []
+                    chunk, nodes, parts, probes, sets, known = key, [], [], [], [], set()
+                if (node, d1) in known:
+                    continue
+                found = shingle(text)
+                if digest(found) != d1:
+                    continue
+                known.add((node, d1))
                 nodes.append(node)
                 parts.append(part)
                 probes.append(probe)
-                sets.append(shingle(text))
+                sets.append(found)
         if sets:
             yield links()
 
@@ -238,6 +247,10 @@ def link_chunks(rows: DataFrame, width: int, rule: Threshold) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def digest(shingles: np.ndarray) -> int:
+    return int(np.add.reduce(mix(shingles + U(7))).view(np.int64)) if len(shingles) else 0
+
+
 def features(docs: DataFrame, width: int, rule: Threshold, id_col: str, text_col: str) -> DataFrame:
     """Per row: ``row_id``, set size ``n``, two 64-bit digests of the set, and its ``cells``."""
     rows = docs.select(docs[id_col].alias("row_id"), text_of(docs, text_col).alias("text"))
@@ -256,7 +269,7 @@ def features(docs: DataFrame, width: int, rule: Threshold, id_col: str, text_col
                     starts = rule.classes(2 * len(s))
                     layouts = rule.layouts(starts)
                 n.append(len(s))
-                d1.append(int(np.add.reduce(mix(s + U(7))).view(np.int64)) if len(s) else 0)
+                d1.append(digest(s))
                 d2.append(int(np.bitwise_xor.reduce(mix(s ^ U(0x5851F42D4C957F2D))).view(np.int64)) if len(s) else 0)
                 cells.append(signatures(s, rule, starts, layouts) if len(s) else np.zeros(0, np.int64))
             arrays = [batch.column("row_id"), *[pa.array(v, pa.int64()) for v in (n, d1, d2)], pa.array(cells, pa.list_(pa.int64()))]
@@ -278,29 +291,29 @@ def similar_components(
     cells = signed.groupBy("cell").agg(F.min("d1").alias("first"), F.max("d1").alias("last")).where("first <> last").select("cell", "first")
     pairs = signed.join(cells, "cell").where("first <> d1").select("first", "d1").distinct()
     # Nodes that meet: all that share a cell with the first of it. The first one is in every chunk.
-    met = pairs.join(classes.select("d1", "node"), "d1").where("node IS NOT NULL").select("first", "node")
-    met = stored(met)
+    met = stored(pairs.join(classes.select("d1", "node"), "d1").where("node IS NOT NULL").select("first", "node", "d1"))
     sizes = met.groupBy("first").agg(F.count("*").alias("members"))
     spread = F.expr(f"cast(ceil(members / {chunk}) as bigint)")
-    members = met.join(sizes, "first").select("first", "node", F.pmod(F.xxhash64("node"), spread).alias("chunk_no"), "members")
+    members = met.join(sizes, "first").select("first", "node", "d1", F.pmod(F.xxhash64("node"), spread).alias("chunk_no"), "members")
     heads = (
         sizes.withColumn("chunk_no", F.explode(F.sequence(F.lit(0).cast("bigint"), spread - 1)))
-        .join(classes.select(F.col("d1").alias("first"), "node"), "first")
-        .select("first", "node", "chunk_no", "members")
+        .join(classes.select(F.col("d1").alias("first"), "node", "d1"), "first")
+        .where("node IS NOT NULL")
+        .select("first", "node", "d1", "chunk_no", "members")
     )
     texts = docs.select(docs[id_col].cast("bigint").alias("node"), text_of(docs, text_col).alias("text")).where("node IS NOT NULL")
     with_head = members.unionByName(heads)
 
     def chunks(rows: DataFrame, key: list[str]) -> DataFrame:
-        rows = rows.withColumn("chunk", F.concat_ws("/", *key))
-        rows = rows.join(texts, "node").dropDuplicates(["chunk", "node"])
-        return rows.repartition("chunk").sortWithinPartitions("chunk", F.desc("head"), "node").select("chunk", "node", "part", "probe", "text")
+        rows = stored(rows.select("node", "d1", "part", "probe", "head", F.concat_ws("/", *key).alias("chunk")))
+        rows = texts.join(hinted(rows), "node").repartition("chunk").sortWithinPartitions("chunk", F.desc("head"), "node")
+        return rows.select("chunk", "node", "d1", "part", "probe", "text")
 
-    first_round = with_head.select("first", "node", "chunk_no", F.col("node").alias("part"), F.lit(True).alias("probe"), F.lit(False).alias("head"))
+    first_round = with_head.select("first", "node", "d1", "chunk_no", F.col("node").alias("part"), F.lit(True).alias("probe"), (F.col("d1") == F.col("first")).alias("head"))
     links = stored(link_chunks(chunks(first_round, ["first", "chunk_no"]), width, rule))
     labels = connected(links)
     large = members.where(f"members > {chunk}").join(labels, "node", "left").select(
-        "first", "node", "chunk_no", F.coalesce("label", "node").alias("part")
+        "first", "node", "d1", "chunk_no", F.coalesce("label", "node").alias("part")
     )
     large = stored(large)
     counted = large.groupBy("first", "part").agg(F.count("*").alias("k"))
@@ -311,9 +324,9 @@ def similar_components(
         probe_chunks = others.select("first", "probe_no").distinct()
         all_chunks = open_.select("first", "chunk_no").distinct()
         grid = probe_chunks.join(all_chunks, "first")
-        asked = grid.join(others.select("first", "probe_no", "node", "part"), ["first", "probe_no"]).withColumn("probe", F.lit(True))
-        held = grid.join(open_.select("first", "chunk_no", "node", "part"), ["first", "chunk_no"]).withColumn("probe", F.lit(False))
-        both = asked.unionByName(held).groupBy("first", "probe_no", "chunk_no", "node").agg(F.max("probe").alias("probe"), F.first("part").alias("part"))
+        asked = grid.join(others.select("first", "probe_no", "node", "d1", "part"), ["first", "probe_no"]).withColumn("probe", F.lit(True))
+        held = grid.join(open_.select("first", "chunk_no", "node", "d1", "part"), ["first", "chunk_no"]).withColumn("probe", F.lit(False))
+        both = asked.unionByName(held).groupBy("first", "probe_no", "chunk_no", "node", "d1").agg(F.max("probe").alias("probe"), F.first("part").alias("part"))
         more = link_chunks(chunks(both.withColumn("head", F.col("probe")), ["first", "probe_no", "chunk_no"]), width, rule)
         labels = connected(stored(links.unionByName(more)))
     named = classes.join(labels, "node", "left").select(
