@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportmill.llm import bpe, decontaminate, jaccard, quality_rules, secret_scan, sharding, toxicity
+from reportmill.llm import bpe, decontaminate, jaccard, quality_rules, secret_scan, sharding, substrings, toxicity
 from reportmill.llm.common import read_table
 from reportmill.llm.sql import SQL
 
@@ -59,6 +59,11 @@ def op2_bpe_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select(F.col("row_id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op3_lyndon_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(read_table(spark, sf_dir, "documents"), keep_text=False)
+    return found.select(F.col("row_id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
 def op4_bigru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")) % 4 == 2
     labels = read_table(spark, sf_dir, "labels").where(~held_out)
@@ -75,6 +80,7 @@ def op6_bounded_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pigeonhole_leaks": op1_pigeonhole_leaks,
     "op2_bpe_merge_rounds": op2_bpe_merge_rounds,
+    "op3_lyndon_suffix_dedup": op3_lyndon_suffix_dedup,
     "op4_bigru_toxicity": op4_bigru_toxicity,
     "op6_bounded_ring_shards": op6_bounded_ring_shards,
     "op7_count_tree_jaccard": op7_count_tree_jaccard,
