@@ -66,10 +66,10 @@ def row_hash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return F.xxhash64(docs[id_col], text_of(docs, text_col))
 
 
-def rows_where(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", text_col: str = "text", how: str = "left_semi") -> DataFrame:
-    """The rows of ``docs`` that ``decided`` (``row_id``, ``row_hash``) lists, or with ``left_anti`` the others."""
-    keys = decided.select("row_id", "row_hash")
-    return docs.join(keys, docs[id_col].eqNullSafe(keys.row_id) & (row_hash(docs, id_col, text_col) == keys.row_hash), how)
+def rows_without(docs: DataFrame, rejected: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``rejected`` (``row_id``, ``row_hash``) does not list."""
+    keys = hinted(stored(rejected.select("row_id", "row_hash").distinct()))
+    return docs.join(keys, docs[id_col].eqNullSafe(keys["row_id"]) & (row_hash(docs, id_col, text_col) == keys["row_hash"]), "left_anti")
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -334,3 +334,14 @@ def similar_components(
     )
     same = (rows.n == named.n_) & (rows.d1 == named.d1_) & (rows.d2 == named.d2_)
     return rows.join(named, same, "left").select("row_id", "n", F.coalesce("component", F.col("row_id").cast("bigint")).alias("component"))
+
+
+def keep_one(docs: DataFrame, width: int = 5, num: int = 8, den: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents whose id is the smallest of their component, of repeated rows one. Rows without an id stay."""
+    found = stored(similar_components(docs, width, num, den, id_col, text_col))
+    dropped = found.where("row_id IS NOT NULL AND component <> row_id").select("row_id").distinct()
+    dropped = hinted(stored(dropped))
+    kept = docs.join(dropped, docs[id_col] == dropped["row_id"], "left_anti")
+    if found.where("row_id IS NOT NULL").groupBy("row_id").count().where("count > 1").isEmpty():
+        return kept
+    return kept.where(docs[id_col].isNotNull()).dropDuplicates([id_col]).union(kept.where(docs[id_col].isNull()))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportmill.llm import bpe, decontaminate, jaccard, quality_rules, secret_scan, sharding, substrings, toxicity
+from reportmill.llm import bpe, decontaminate, jaccard, license_scan, quality_rules, secret_scan, sharding, substrings, token_counts, toxicity
 from reportmill.llm.common import read_table
 from reportmill.llm.sql import SQL
 
@@ -32,6 +32,11 @@ def op8_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(read_table(spark, sf_dir, "documents"))
+    return found.select(F.col("row_id").alias("doc_id"), "license", "matched", "template_words", "first_word", "end_word")
+
+
 def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint")
     return secret_scan.scan(read_table(spark, sf_dir, "documents")).select(
@@ -71,6 +76,11 @@ def op4_bigru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op5_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    return counted.select(F.col("row_id").alias("doc_id"), "n_words", "n_tokens")
+
+
 def op6_bounded_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(read_table(spark, sf_dir, "documents"), SHARDS).select(
         F.col("row_id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
@@ -82,9 +92,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe_merge_rounds": op2_bpe_merge_rounds,
     "op3_lyndon_suffix_dedup": op3_lyndon_suffix_dedup,
     "op4_bigru_toxicity": op4_bigru_toxicity,
+    "op5_trie_token_counts": op5_trie_token_counts,
     "op6_bounded_ring_shards": op6_bounded_ring_shards,
     "op7_count_tree_jaccard": op7_count_tree_jaccard,
     "op8_host_quality_rules": op8_host_quality_rules,
+    "op9_patience_licenses": op9_patience_licenses,
     "op10_secret_ownership": op10_secret_ownership,
 }
 ORACLE: dict[str, str] = {name: sql for name, sql in SQL.items() if name in QUERIES}

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reportmill.llm.common import row_hash, rows_where, stored, text_of
+from reportmill.llm.common import hinted, row_hash, stored, text_of
 
 #: Kind, pattern, group that holds the secret, smallest length of that group. In the order of the kinds.
 KINDS: tuple[tuple[str, str, int, int], ...] = (
@@ -138,8 +138,8 @@ def named(spans: Column | str) -> Column:
 def redact(docs: DataFrame, id_col: str = "doc_id", owner_col: str = "source", repo_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """``docs`` with every span replaced by ``[SECRET]``, and the length of changed texts set anew."""
     spans = scan(docs, id_col, owner_col, repo_col, text_col).where(F.size("spans") > 0)
-    spans = spans.groupBy("row_id", "row_hash").agg(F.first("spans").alias("spans_"))
-    hit = docs.join(spans, docs[id_col].eqNullSafe(spans.row_id) & (row_hash(docs, id_col, text_col) == spans.row_hash), "left")
+    spans = hinted(stored(spans.groupBy("row_id", "row_hash").agg(F.first("spans").alias("spans_"))))
+    hit = docs.join(spans, docs[id_col].eqNullSafe(spans["row_id"]) & (row_hash(docs, id_col, text_col) == spans["row_hash"]), "left")
     text = docs[text_col]
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
 
@@ -158,5 +158,3 @@ def redact(docs: DataFrame, id_col: str = "doc_id", owner_col: str = "source", r
         columns[length_col] = F.when(changed, F.length(cut).cast(docs.schema[length_col].dataType)).otherwise(docs[length_col])
     return hit.select(*[columns[c].alias(c) if c in columns else docs[c] for c in docs.columns])
 
-
-__all__ = ["KINDS", "find_spans", "named", "ownership", "redact", "rows_where", "scan", "spans_of"]
