@@ -48,6 +48,10 @@ def spans_of(text: Column, pattern: str, group: int, kind: int) -> Column:
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(SPAN))
 
 
+def long_enough(spans: Column, least: int) -> Column:
+    return F.filter(spans, lambda s: F.length(s["value"]) >= least)
+
+
 def mixed(value: Column) -> Column:
     return value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (F.size(F.array_distinct(F.split(value, ""))) >= MIN_DISTINCT)
 
@@ -62,10 +66,7 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", owner_col: str = "source
         text_of(docs, text_col).alias("text"),
     )
     text = F.col("text")
-    kinds = [
-        F.filter(spans_of(text, pattern, group, kind), lambda s, least=least: F.length(s["value"]) >= least)
-        for kind, (_, pattern, group, least) in enumerate(KINDS)
-    ]
+    kinds = [long_enough(spans_of(text, pattern, group, kind), least) for kind, (_, pattern, group, least) in enumerate(KINDS)]
     found = read.select(
         "row_id",
         "row_hash",
