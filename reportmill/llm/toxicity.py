@@ -29,7 +29,7 @@ CHAR_ROWS, CHAR_DIM, CHAR_HIDDEN = 512, 8, 8
 WORD_ROWS, WORD_DIM, HIDDEN = 4096, 8, 8
 #: At most so many labelled documents of each kind, and windows of each, are used for training.
 MAX_TOXIC, MAX_CLEAN, MAX_WINDOWS = 2000, 3000, 12
-EPOCHS, BATCH, RATE = 7, 48, 0.01
+STEPS, BATCH, RATE = 1000, 48, 0.01
 #: In training, this share of the words is known by characters only, so that rare words are not learned by heart.
 UNKNOWN = 0.5
 CACHE_WORDS = 150_000
@@ -291,15 +291,15 @@ class Adam:
             p[k] = p[k] - np.float32(self.rate) * mean / (np.sqrt(square) + np.float32(1e-6))
 
 
-def fit(examples: Sequence[tuple[int, list[list[str]]]], epochs: int = EPOCHS, seed: int = 7) -> Params | None:
+def fit(examples: Sequence[tuple[int, list[list[str]]]], steps: int = STEPS, seed: int = 7) -> Params | None:
     """``examples``: label and windows of each document. None where a label is missing."""
     if len({label for label, _ in examples}) < 2:
         return None
     rng, p, adam = np.random.default_rng(seed), init(seed), Adam(RATE)
     share = sum(label for label, _ in examples) / len(examples)
-    for epoch in range(epochs):
+    while adam.step < steps:
         chosen: list[tuple[int, list[str]]] = []
-        if epoch < 2:
+        if adam.step < steps // 6:
             few = [e for e in examples if len(e[1]) <= 3] if any(label and len(w) <= 3 for label, w in examples) else examples
             chosen = [(label, w) for label, windows in few for w in windows]
         else:
@@ -312,9 +312,11 @@ def fit(examples: Sequence[tuple[int, list[list[str]]]], epochs: int = EPOCHS, s
                 chosen.append((label, windows[int(mine.argmax())]))
                 if not label and len(windows) > 1:
                     chosen.append((label, windows[int(rng.integers(len(windows)))]))
-        adam.rate = RATE * (1 if epoch < epochs - 2 else 0.3)
         order = rng.permutation(len(chosen))
         for at in range(0, len(order), BATCH):
+            if adam.step == steps:
+                break
+            adam.rate = RATE * (1 if adam.step < 0.75 * steps else 0.25)
             part = [chosen[k] for k in order[at : at + BATCH]]
             labels = np.array([label for label, _ in part], np.float32)
             weights = np.where(labels > 0, np.float32(1), np.float32(min(1.0, 2.5 * share / (1 - share)))) / len(part)
