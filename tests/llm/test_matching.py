@@ -1,0 +1,292 @@
+"""Decontamination, the Jaccard join, substring removal and the pipeline against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from edges import TOKENIZER_DIR, edge_docs, no_docs, text_rows
+from reportmill.llm import decontaminate, jaccard, substrings, suffixes
+from reportmill.llm.components import connected
+
+
+def edit_distance_inside(pattern: str, text: str) -> int:
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(pattern):
+        new = [i + 1]
+        for j, d in enumerate(text):
+            new.append(min(row[j] + (c != d), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
+def edited(text: str, edits: int, rng: random.Random, letters: str) -> str:
+    chars = list(text)
+    for _ in range(edits):
+        at = rng.randrange(len(chars) + 1)
+        kind = rng.randrange(3)
+        if kind == 0:
+            chars.insert(at, rng.choice(letters))
+        elif at < len(chars):
+            if kind == 1:
+                chars.pop(at)
+            else:
+                chars[at] = rng.choice(letters)
+    return "".join(chars)
+
+
+def test_myers_is_the_edit_distance():
+    rng = random.Random(3)
+    patterns = ["".join(rng.choice("abcé") for _ in range(rng.randint(1, 150))) for _ in range(150)]
+    texts = ["".join(rng.choice("abc") for _ in range(rng.randint(0, 9))) + edited(p, rng.randint(0, 20), rng, "abx") or "x" for p in patterns]
+    assert decontaminate.myers(patterns, texts).tolist() == [edit_distance_inside(p, t) for p, t in zip(patterns, texts)]
+
+
+@pytest.mark.parametrize("block_chars", [10_000_000, 700])
+def test_leaks_match_brute_force(spark, block_chars):
+    rng = random.Random(5)
+    letters = "abcdefghij  klmn"
+    items = [(k, "".join(rng.choice(letters) for _ in range(rng.randint(30, 260)))) for k in range(12)] + [(50, None), (51, "short"), (None, "x" * 40)]
+    items.append((99, items[0][1]))
+    docs = []
+    for k in range(60):
+        item = rng.choice(items[:12])[1]
+        body = edited(item.upper() if k % 3 else item.replace(" ", "\n "), rng.randint(0, 24), rng, letters)
+        docs.append((k, "".join(rng.choice(letters) for _ in range(rng.randint(0, 80))) + body + rng.choice(letters) * rng.randint(0, 30)))
+    docs += [(100, None), (101, ""), (102, items[3][1]), (102, items[3][1]), (None, items[4][1])]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = decontaminate.find_leaks(frame, spark.createDataFrame(items, "item_id long, text string"), block_chars=block_chars).collect()
+    want = Counter()
+    for i, text in docs:
+        hit = set()
+        for n, item in items:
+            item = decontaminate.normal(item or "")
+            if n is not None and len(item) >= decontaminate.MIN_CHARS:
+                parts = decontaminate.segments(item)
+                if any(edit_distance_inside(p, decontaminate.normal(text or "")) <= len(p) // decontaminate.CHARS_PER_EDIT for p in parts):
+                    hit.add(n)
+        if hit:
+            want[i, frozenset(hit)] += 1
+    got = Counter((r["row_id"], frozenset(x["item_id"] for x in r["leaks"])) for r in found)
+    if block_chars < 1000:  # several blocks give one row for repeated rows
+        got, want = Counter(set(got)), Counter(set(want))
+    assert got == want and len(want) > 10
+
+
+def test_leaks_of_edges(spark):
+    items = spark.createDataFrame([(1, "lorem ipsum lorem ipsum lorem ipsum")], "item_id long, text string")
+    assert {r["row_id"] for r in decontaminate.find_leaks(edge_docs(spark), items).collect()} == {11}
+    assert decontaminate.find_leaks(no_docs(spark), items).count() == 0
+    assert decontaminate.find_leaks(edge_docs(spark), items.limit(0)).count() == 0
+
+
+def shingles(text: str, width: int) -> frozenset:
+    words = text.encode().lower().split()
+    if not words:
+        return frozenset()
+    n = min(width, len(words))
+    return frozenset(tuple(words[k : k + n]) for k in range(len(words) - n + 1))
+
+
+def brute_components(rows: list[tuple[int, str]], width: int, num: int, den: int) -> dict[int, int]:
+    sets = {i: shingles(t, width) for i, t in rows}
+    parent = {i: i for i in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for a in ids:
+        for b in ids:
+            both = len(sets[a] & sets[b])
+            if a < b and both and den * both >= num * (len(sets[a]) + len(sets[b]) - both):
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+    return {i: root(i) for i in sets}
+
+
+@pytest.mark.parametrize(("width", "num", "den", "chunk"), [(3, 90, 100, 256), (5, 8, 10, 4), (1, 5, 10, 3)])
+def test_components_match_brute_force(spark, width, num, den, chunk):
+    rng = random.Random(width)
+    rows, at = [], 0
+    common = [f"c{k}" for k in range(40)]
+    for size in (3, 8, 12, 20, 45, 120, 400):
+        for _ in range(3):
+            base = [rng.choice("abcdefgh") + str(rng.randrange(300)) for _ in range(size)]
+            for copy in range(9):
+                words = list(base)
+                for _ in range(rng.randint(0, max(1, size // 12))):
+                    words[rng.randrange(len(words))] = f"n{rng.randrange(9)}"
+                if copy % 4 == 3:
+                    words = common + words
+                rows.append((at, " ".join(words).upper() if copy % 2 else "  ".join(words)))
+                at += 1
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["row_id"]: r["component"] for r in jaccard.similar_components(frame, width, num, den, chunk=chunk).collect()}
+    assert got == brute_components(rows, width, num, den)
+
+
+def test_components_of_edges(spark):
+    rows = jaccard.similar_components(edge_docs(spark), 3, 90, 100).collect()
+    assert Counter((r["row_id"], r["n"]) for r in rows) == Counter((i, len(shingles(t, 3))) for i, t in text_rows())
+    got = {r["row_id"]: r["component"] for r in rows if r["row_id"] is not None}
+    assert got == {**{i: i for i, _ in text_rows() if i is not None}, 2: 1, 3: 1, 13: 12}
+    kept = Counter(r["doc_id"] for r in jaccard.keep_one(edge_docs(spark)).collect())
+    assert kept == Counter({None: 2, **{i: 1 for i in (1, 4, 5, 6, 7, 8, 9, 10, 11, 12)}})
+    assert jaccard.similar_components(no_docs(spark)).count() == 0 and jaccard.keep_one(no_docs(spark)).count() == 0
+
+
+def test_signatures_meet_for_all_linked_sets():
+    rng = np.random.default_rng(2)
+    for num, den in ((9, 10), (8, 10), (5, 10)):
+        rule = jaccard.Threshold(num, den)
+        starts = rule.classes(4000)
+        layouts = rule.layouts(starts)
+        for _ in range(300):
+            n = int(rng.integers(1, 300))
+            a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+            drop = int(rng.integers(0, max(1, n // 5) + 1))
+            b = np.unique(np.r_[a[drop:], rng.integers(0, 1 << 63, int(rng.integers(0, max(1, n // 8) + 1)), dtype=np.uint64)])
+            both = len(np.intersect1d(a, b))
+            if rule.linked(both, len(a), len(b)) and len(np.union1d(a, b)) > both:
+                assert len(np.intersect1d(*(jaccard.signatures(s, rule, starts, layouts) for s in (a, b))))
+
+
+def test_tree_bound_excludes_no_linked_set():
+    rng = np.random.default_rng(4)
+    rule = jaccard.Threshold(8, 10)
+    base = [np.unique(rng.integers(0, 1 << 63, int(rng.integers(5, 60)), dtype=np.uint64)) for _ in range(40)]
+    sets = [s[: max(1, len(s) - int(rng.integers(0, 4)))] for s in base for _ in range(4)]
+    tree = jaccard.CountTree(np.stack([jaccard.group_counts(s) for s in sets]))
+    for a in sets:
+        near = set(tree.search(jaccard.group_counts(a), rule).tolist())
+        assert near >= {k for k, b in enumerate(sets) if rule.linked(len(np.intersect1d(a, b)), len(a), len(b))}
+
+
+def test_connected_components_of_chains_and_stars(spark):
+    links = [(k, k + 1) for k in range(100, 140)] + [(7, k) for k in range(200, 260)] + [(5, 5), (3, 2)]
+    got = {r["node"]: r["label"] for r in connected(spark.createDataFrame(links, "src long, dst long")).collect()}
+    assert got == {**{k: 100 for k in range(100, 141)}, **{k: 7 for k in (7, *range(200, 260))}, 3: 2, 2: 2}
+    assert connected(spark.createDataFrame([], "src long, dst long")).count() == 0
+
+
+def test_suffix_arrays():
+    rng = random.Random(2)
+    for _ in range(500):
+        symbols = [rng.randint(1, rng.choice([1, 2, 3, 9])) for _ in range(rng.randint(0, 40))] + [0]
+        assert suffixes.suffix_array(symbols) == sorted(range(len(symbols)), key=lambda i: symbols[i:])
+
+
+def test_repeated_windows():
+    rng = random.Random(6)
+    for _ in range(400):
+        length, letters = rng.choice([3, 8, 20, 50]), rng.choice([b"ab", b"ab ", b"abcdefgh   \n"])
+        base = bytes(rng.choice(letters) for _ in range(rng.randint(0, 300)))
+        strings = []
+        for _ in range(rng.randint(1, 6)):
+            a = rng.randint(0, len(base))
+            ends = [bytes(rng.choice(letters) for _ in range(rng.randint(0, 30))) for _ in range(2)]
+            strings.append(ends[0] + base[a : rng.randint(a, len(base))] + ends[1])
+        seen = Counter(s[i : i + length] for s in strings for i in range(len(s) - length + 1))
+        want = [[i for i in range(len(s) - length + 1) if seen[s[i : i + length]] > 1] for s in strings]
+        assert [x.tolist() for x in suffixes.repeated_starts(strings, length)] == want
+
+
+def brute_kept(rows: list[tuple[int | None, bytes]], length: int) -> Counter:
+    seen = Counter(t[k : k + length] for _, t in rows for k in range(len(t) - length + 1))
+    out = Counter()
+    for i, text in rows:
+        marks = np.zeros(len(text) + 1, np.int64)
+        for k in range(len(text) - length + 1):
+            if seen[text[k : k + length]] > 1:
+                marks[k] += 1
+                marks[k + length] -= 1
+        gone = np.cumsum(marks)[:-1] > 0
+        kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
+        spans = int((np.diff(np.r_[0, gone.astype(np.int64)]) == 1).sum())
+        out[i, len(text), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()] += 1
+    return out
+
+
+@pytest.mark.parametrize("limit", [4000, 2])
+def test_removal_matches_brute_force(spark, monkeypatch, limit):
+    monkeypatch.setattr(substrings, "MAX_CONTEXTS", limit)
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdeéß") for _ in range(rng.randint(1, 9))) for _ in range(400)]
+    make = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    passages = [make(60) for _ in range(4)] + ["q" * 500, "ab" * 300]
+    rows = [(i, t or "") for i, t in text_rows() if i != 11]
+    for k in range(40):
+        rows.append((100 + k, make(rng.randint(0, 50)) + " " + rng.choice(passages)[rng.randint(0, 80) :] + " " + make(rng.randint(0, 90))))
+    rows += [(200, rows[-1][1]), (201, passages[0] + passages[0]), (202, "\u6f22" * 300 + make(9) + "\u6f22" * 120)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = substrings.remove_repeats(frame).collect()
+    want = brute_kept([(i, t.encode()) for i, t in rows], 200)
+    assert Counter((r["row_id"], r["n_bytes"], r["n_removed"], len(r["spans"]), r["kept_sha256"]) for r in got) == want
+    assert all(hashlib.sha256(r["kept"]).hexdigest() == r["kept_sha256"] for r in got)
+
+
+def test_removal_of_edges(spark):
+    rows = substrings.remove_repeats(edge_docs(spark)).collect()
+    assert {r["row_id"]: len(r["kept"]) for r in rows if r["row_id"] in (4, 5, 7, 10)} == {4: 0, 5: 0, 7: 1, 10: 0}
+    assert Counter(r["row_id"] for r in rows) == Counter(i for i, _ in text_rows())
+    assert substrings.remove_repeats(no_docs(spark)).count() == 0
+
+
+def test_long_texts_are_hashed_in_overlapping_parts(monkeypatch, spark):
+    monkeypatch.setattr(substrings, "PART", 700)
+    rng = random.Random(9)
+    text = " ".join(str(rng.randrange(10_000)) for _ in range(900))
+    rows = [(1, text), (2, text[500:3000] + " end"), (3, "start " + text[2000:2300])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substrings.remove_repeats(frame).collect()
+    assert Counter((r["row_id"], r["n_bytes"], r["n_removed"], len(r["spans"]), r["kept_sha256"]) for r in got) == brute_kept([(i, t.encode()) for i, t in rows], 200)
+
+
+def test_pipeline_matches_plain_python(spark):
+    from test_rules_and_secrets import brute_spans, measures
+
+    sf_dir = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    items = [decontaminate.normal(r["text"]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    kept = []
+    for i, text in rows:
+        n, _, _, _, _, repeated = measures(text)
+        if n >= 50 and 100 * repeated <= 50 * n:
+            kept.append((i, text))
+    component = brute_components(kept, 5, 8, 10)
+    kept = [(i, t) for i, t in kept if component[i] == i]
+    kept = [(i, t) for i, t in kept if not any(p in decontaminate.normal(t) for item in items for p in decontaminate.segments(item))]
+    reference = Tokenizer.from_file(f"{TOKENIZER_DIR}/byte_bpe_50k.json")
+    want = set()
+    for i, text in kept:
+        out, at = "", 0
+        for start, _, end in brute_spans(text):
+            if start >= at:
+                out += text[at:start] + "[SECRET]"
+            at = max(at, end)
+        out += text[at:]
+        ids = reference.encode(out, add_special_tokens=False).ids
+        want.add((i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(out.encode()).hexdigest()))
+    got = [tuple(r) for r in corpus_pipeline.run(spark, sf_dir).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_stages_take_odd_and_empty_tables(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    for name, stage in corpus_pipeline.STAGES:
+        docs = edge_docs(spark)
+        out = stage(spark, docs, sf_dir)
+        assert out.count() <= docs.count()
+        if name != "tokens":
+            assert out.columns == docs.columns
+            assert stage(spark, no_docs(spark), sf_dir).columns == docs.columns
+        assert stage(spark, no_docs(spark), sf_dir).count() == 0
