@@ -11,6 +11,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reportmill.session import work_dir
 
@@ -52,13 +53,21 @@ def text_of(docs: DataFrame, text_col: str = "text") -> Column:
     return F.coalesce(docs[text_col].cast("string"), F.lit(""))
 
 
-#: A stored table with at most so many short rows is broadcast; a larger one is shuffled.
-BROADCAST_ROWS = 200_000
+#: A stored table with at most so many rows and bytes is broadcast; a larger one is shuffled.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 
 
 def hinted(rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``rows``, which are stored and short, with a broadcast hint if they are few."""
-    return F.broadcast(rows) if rows.limit(limit + 1).count() <= limit else rows
+    """``rows``, which are stored, with a broadcast hint if they are few and their values short.
+
+    Rows of numbers only have a fixed width, so their number is enough.
+    """
+    if rows.limit(limit + 1).count() > limit:
+        return rows
+    if all(isinstance(f.dataType, T.NumericType) for f in rows.schema):
+        return F.broadcast(rows) if limit * 8 * len(rows.schema) <= BROADCAST_BYTES else rows
+    size = rows.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(rows) if size <= BROADCAST_BYTES else rows
 
 
 def row_hash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Column:

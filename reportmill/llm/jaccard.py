@@ -36,6 +36,8 @@ LEAF = 16
 #: Members of a cell that meet in one task; a task holds the sets of so many, and the first member's.
 CHUNK = 256
 CACHE_WORDS = 300_000
+#: So many shared cells, two numbers each, are broadcast; more are joined by a shuffle.
+MAX_CELLS = 4_000_000
 U = np.uint64
 _M1, _M2 = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
 
@@ -289,7 +291,7 @@ def similar_components(
     classes = stored(rows.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("row_id").cast("bigint").alias("node")))
     signed = rows.select("d1", F.explode("cells").alias("cell"))
     cells = signed.groupBy("cell").agg(F.min("d1").alias("first"), F.max("d1").alias("last")).where("first <> last").select("cell", "first")
-    pairs = signed.join(cells, "cell").where("first <> d1").select("first", "d1").distinct()
+    pairs = signed.join(hinted(stored(cells), MAX_CELLS), "cell").where("first <> d1").select("first", "d1").distinct()
     # Nodes that meet: all that share a cell with the first of it. The first one is in every chunk.
     met = stored(pairs.join(classes.select("d1", "node"), "d1").where("node IS NOT NULL").select("first", "node", "d1"))
     sizes = met.groupBy("first").agg(F.count("*").alias("members"))
