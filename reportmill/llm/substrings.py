@@ -106,7 +106,7 @@ def with_parts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """``wanted`` (row_id, row_hash, first, last, ...) with ``part``, the context's bytes."""
     each = wanted.groupBy("row_id", "row_hash").agg(F.collect_set(F.struct("anchor", "whole", "first", "last", "settled")).alias("contexts"))
     each = stored(each.withColumnsRenamed({"row_id": "id_", "row_hash": "hash_"}))
-    joined = docs.join(hinted(each), same_row(docs, each)).select("row_id", "row_hash", "text", F.explode("contexts").alias("c"))
+    joined = docs.join(each, same_row(docs, each)).select("row_id", "row_hash", "text", F.explode("contexts").alias("c"))
     # Positions count bytes, and so does substring on binary data.
     part = F.substring(F.col("text"), (F.col("c.first") + 1).cast("int"), (F.col("c.last") - F.col("c.first") + length).cast("int"))
     return joined.select("row_id", "row_hash", "c.anchor", "c.whole", "c.first", "c.settled", part.alias("part"))
