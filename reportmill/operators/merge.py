@@ -1,4 +1,4 @@
-"""Union by name, restriction to touched partitions, and the partition-scoped upsert."""
+"""Union by name, touched partitions, and the partition-scoped upsert."""
 
 from __future__ import annotations
 
@@ -7,29 +7,27 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
-from reportmill.functions import column, literal
 from reportmill.operators.dedup import keep_latest
 from reportmill.operators.shape import project, with_partitions
-from reportmill.sinks.catalog import register_table
+from reportmill.sinks.catalog import check_location, register_table
 from reportmill.sinks.partitioned import write_partitions
-from reportmill.sources.curated import scan_curated
+from reportmill.sources.curated import scan_partitions
 from reportmill.spec import PARTITIONS, ReportSpec
 
 ORIGIN = "__is_incoming"
-# Partitions named one by one in the scan filter; beyond it the semi join takes over.
-MAX_LISTED = 5_000
-# One text per day, and per partition; the account comes last because it may hold slashes.
-DAY_LABEL = "concat_ws('/', year, month, day)"
-PARTITION_LABEL = "concat_ws('/', year, month, day, coalesce(account, ''))"
 
 
 @dataclass(frozen=True)
 class UpsertResult:
-    """Row counts for the log, and the partitions written when they were few enough to list."""
+    """Row counts for the log, and the partitions written.
+
+    The counts are observed while the data is written; after a retry of a stage they may be too
+    high. Count the stored partitions where exact numbers matter.
+    """
 
     rows_read: int
     rows_written: int
-    partitions: list[Row] | None
+    partitions: list[Row]
 
 
 def union_by_name(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
@@ -46,50 +44,9 @@ def touched_partitions(rows: DataFrame, spec: ReportSpec) -> DataFrame:
     ).distinct()
 
 
-def list_partitions(touched: DataFrame, limit: int = MAX_LISTED) -> list[Row] | None:
-    """The touched partitions on the driver, or ``None`` when there are more than ``limit``."""
-    rows = touched.withColumn("label", F.expr(PARTITION_LABEL)).limit(limit + 1).collect()
-    return rows if len(rows) <= limit else None
-
-
-def one_of(expression: str, values: set[str]) -> str:
-    """A SQL list condition: one text for Spark to parse, however long the list is."""
-    return f"{expression} IN ({', '.join(literal(value) for value in sorted(values))})"
-
-
-def in_partitions(stored: DataFrame, rows: list[Row], names: tuple[str, ...], label: str) -> DataFrame:
-    """Rows in the listed partitions, or in the listed days when the rows hold no account.
-
-    The label decides. The lists per column let a metastore, which cannot evaluate the label,
-    narrow down the partitions that it returns.
-    """
-    for name in names:
-        values = {row[name] for row in rows}
-        if None not in values:
-            stored = stored.where(one_of(name, values))
-    return stored.where(one_of(label, {row.label for row in rows}))
-
-
-def only_touched(
-    stored: DataFrame,
-    touched: DataFrame,
-    listed: list[Row] | None,
-    limit: int = MAX_LISTED,
-) -> DataFrame:
-    """Rows of ``stored`` that lie in touched partitions.
-
-    A short list becomes a partition filter, so other directories are never opened. A long one
-    is cut to its days by a partition filter first and then matched with a semi join, which
-    Spark broadcasts only if the measured size allows it.
-    """
-    if listed is not None:
-        return in_partitions(stored, listed, PARTITIONS, PARTITION_LABEL)
-    dated = touched.select(*PARTITIONS[1:], F.expr(DAY_LABEL).alias("label")).distinct()
-    days = dated.limit(limit + 1).collect()
-    if len(days) <= limit:
-        stored = in_partitions(stored, days, PARTITIONS[1:], DAY_LABEL)
-    same = [stored[name].eqNullSafe(touched[name]) for name in PARTITIONS]
-    return stored.join(touched, same, "left_semi")
+def list_partitions(touched: DataFrame) -> list[Row]:
+    """The touched partitions on the driver, which handles each of their directories anyway."""
+    return touched.collect()
 
 
 def merge_versions(incoming: DataFrame, stored: DataFrame, spec: ReportSpec) -> DataFrame:
@@ -106,51 +63,33 @@ def merge_versions(incoming: DataFrame, stored: DataFrame, spec: ReportSpec) ->
 
 
 def upsert(
-    incoming: DataFrame,
-    spec: ReportSpec,
-    target: str,
-    table: str | None = None,
-    max_listed: int = MAX_LISTED,
+    incoming: DataFrame, spec: ReportSpec, target: str, table: str | None = None
 ) -> UpsertResult:
     """Merge clean, typed rows into the curated table at ``target``.
 
-    Only partitions with incoming rows are read and replaced. Running it again with the same
-    rows changes nothing, so a replayed batch is safe. The first load reads the input once; a
-    later one reads it a second time for the account and date columns alone, so ``incoming``
-    must give the same rows each time.
+    Only partitions with incoming rows are read and replaced: their directories are looked up
+    one by one, so the tree is never listed, at any number of them. Running it again with the
+    same rows changes nothing, so a replayed batch is safe. The input is read a second time for
+    its account and date columns, so ``incoming`` must give the same rows each time.
 
-    With ``table``, the catalog table of that name is kept up to date and, once it exists, used
-    to find the stored files, so that the directory tree is not listed on every load.
+    With ``table``, the partitions written are added to the catalog table of that name, which
+    must lie at ``target``; a new table gets all the partitions that are stored.
     """
     spark = incoming.sparkSession
-    registered = table is not None and spark.catalog.tableExists(table)
-    stored = None if registered else scan_curated(spark, spec, target)
-    if not registered and stored is None and incoming.isEmpty():
+    if table is not None:
+        check_location(spark, table, target)
+    partitions = list_partitions(touched_partitions(incoming, spec))
+    if not partitions:
         return UpsertResult(0, 0, [])
-
     read, written = Observation(), Observation()
-    counted = project(incoming, spec.columns).observe(read, F.count(F.lit(1)).alias("n"))
-    touched = touched_partitions(incoming, spec).persist()
-    listed = None
-    try:
-        if registered or stored is not None:
-            listed = list_partitions(touched, max_listed)
-            if listed == []:
-                return UpsertResult(0, 0, [])
-            if registered:
-                # Before the read: a directory left by a run that failed halfway must be seen.
-                register_table(spark, table, target, spec.curated_schema, PARTITIONS, listed)
-                stored = spark.table(table)
-            affected = only_touched(stored, touched, listed, max_listed)
-            merged = merge_versions(counted, affected, spec)
-        else:
-            merged = keep_latest(counted, spec.key, spec.version)
-        merged = merged.observe(written, F.count(F.lit(1)).alias("n"))
-        write_partitions(with_partitions(merged, spec), target, PARTITIONS)
-    finally:
-        touched.unpersist()
-    if registered:
-        spark.catalog.refreshTable(table)
-    elif table is not None:
-        register_table(spark, table, target, spec.curated_schema, PARTITIONS)
-    return UpsertResult(read.get["n"], written.get["n"], listed)
+    merged = project(incoming, spec.columns).observe(read, F.count(F.lit(1)).alias("n"))
+    stored = scan_partitions(spark, spec, target, partitions)
+    if stored is None:
+        merged = keep_latest(merged, spec.key, spec.version)
+    else:
+        merged = merge_versions(merged, stored, spec)
+    merged = merged.observe(written, F.count(F.lit(1)).alias("n"))
+    write_partitions(with_partitions(merged, spec), target, PARTITIONS)
+    if table is not None:
+        register_table(spark, table, target, spec.curated_schema, PARTITIONS, partitions)
+    return UpsertResult(read.get["n"], written.get["n"], partitions)

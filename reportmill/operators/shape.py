@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reportmill.functions import column, date_parts, quote, typed
+from reportmill.functions import column, date_parts, plain, quote, typed
 from reportmill.spec import PARTITIONS, ReportSpec
 
 
@@ -30,21 +30,25 @@ def rename_all(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(names))
 
 
+def typed_column(df: DataFrame, name: str, kind: str) -> Column:
+    return typed(column(name), kind, df.schema[plain(name)].dataType)
+
+
 def cast_all(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    return df.withColumns({name: typed(column(name), kind) for name, kind in types.items()})
+    return df.withColumns({name: typed_column(df, name, kind) for name, kind in types.items()})
 
 
 def map_columns(df: DataFrame, mapping: Iterable[tuple[str, str, str]]) -> DataFrame:
     """Rename and cast by (source, target, type); columns without an entry are dropped."""
     return df.select(
-        *[typed(column(source), kind).alias(target) for source, target, kind in mapping]
+        *[typed_column(df, source, kind).alias(target) for source, target, kind in mapping]
     )
 
 
 def conform(raw: DataFrame, spec: ReportSpec) -> DataFrame:
     """Report columns only, in their fixed order and with their final types."""
     return raw.select(
-        *[typed(column(name), spec.types.get(name, "string")).alias(name) for name in spec.columns]
+        *[typed_column(raw, name, spec.types.get(name, "string")).alias(name) for name in spec.columns]
     )
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from reportmill.operators.filters import drop_dirty
-from reportmill.operators.merge import MAX_LISTED, UpsertResult, upsert
+from reportmill.operators.merge import UpsertResult, upsert
 from reportmill.operators.shape import conform
-from reportmill.sources import scan_delimited
+from reportmill.sources import first_file, scan_delimited
 from reportmill.spec import ReportSpec
 
 
@@ -16,11 +16,10 @@ def curate_frame(
     spec: ReportSpec,
     target: str,
     table: str | None = None,
-    max_listed: int = MAX_LISTED,
 ) -> UpsertResult:
     """Type, clean and upsert raw rows."""
     clean = drop_dirty(conform(raw, spec), spec)
-    return upsert(clean, spec, target, table, max_listed)
+    return upsert(clean, spec, target, table)
 
 
 def curate_report(
@@ -31,5 +30,10 @@ def curate_report(
     table: str | None = None,
     **read_options: object,
 ) -> UpsertResult:
-    """Curate all files under ``source`` into the partitioned table at ``target``."""
+    """Curate all files under ``source`` into the partitioned table at ``target``.
+
+    A source without files, or without its folder, changes nothing.
+    """
+    if first_file(spark, source) is None:
+        return UpsertResult(0, 0, [])
     return curate_frame(scan_delimited(spark, source, **read_options), spec, target, table)

@@ -9,25 +9,27 @@ from py4j.java_gateway import JavaObject
 from pyspark.sql import SparkSession
 
 MIB = 1 << 20
-MAX_REDUCERS = 20_000
 
 _local_dirs: dict[str, str] = {}
 
 
-def session_conf(data_bytes: int, cores: int) -> dict[str, str]:
+def session_conf(
+    data_bytes: int, cores: int, split_bytes: int | None = None, reducer_bytes: int = 256 * MIB
+) -> dict[str, str]:
     """Spark settings for an input of ``data_bytes`` on ``cores`` executor cores.
 
-    Input splits grow from 128 MiB to 1 GiB so that 100 TB stays near 100k map tasks. The
-    shuffle starts from one reducer per 256 MiB, at most ``MAX_REDUCERS``; adaptive execution
-    merges the small ones and splits the skewed ones.
+    Input splits grow with the data, from 128 MiB, so that there are at most 100,000 map tasks;
+    ``split_bytes`` sets another size. The shuffle starts from one reducer per ``reducer_bytes``
+    at any size of the data, so a reducer's share does not grow; adaptive execution merges the
+    small ones and splits the skewed ones.
     """
-    split = min(max(128 * MIB, data_bytes // 100_000), 1024 * MIB)
-    reducers = min(max(cores, -(-data_bytes // (256 * MIB))), MAX_REDUCERS)
+    split = split_bytes or max(128 * MIB, data_bytes // 100_000)
+    reducers = max(cores, -(-data_bytes // reducer_bytes))
     return {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MIB),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(reducer_bytes),
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.shuffle.partitions": str(reducers),
         "spark.sql.files.maxPartitionBytes": str(split),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import types as T
 
 from reportmill.functions import literal, quote
+from reportmill.session import hadoop_path
 
 ENVIRONMENTS = ("dev", "prd")
 ADD_BATCH = 500
@@ -23,6 +24,22 @@ def create_database(spark: SparkSession, name: str, root: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(name)} LOCATION {location}")
 
 
+def check_location(spark: SparkSession, table: str, path: str) -> None:
+    """A table that exists already must lie at ``path``."""
+    if not spark.catalog.tableExists(table):
+        return
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(*table.split('.'))}")
+    location = described.where("col_name = 'Location'").first()["data_type"]
+    there, here = (qualified(spark, p) for p in (location, path))
+    if there != here:
+        raise ValueError(f"table {table} lies at {there}, not at {here}")
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    location, files = hadoop_path(spark, path)
+    return files.makeQualified(location).toString().rstrip("/")
+
+
 def register_table(
     spark: SparkSession,
     table: str,

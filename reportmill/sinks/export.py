@@ -4,13 +4,23 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportmill.functions import column, date_parts
+from reportmill.session import hadoop_path
 
 
 ARRIVAL = "__arrival"
+# Everything that is written reads back as it was: quotes, blanks at the ends, microseconds.
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+}
 
 
 def export_sorted(df: DataFrame, path: str, by: str) -> None:
@@ -23,7 +33,35 @@ def export_sorted(df: DataFrame, path: str, by: str) -> None:
     ordered = df.withColumn(ARRIVAL, F.monotonically_increasing_id()).orderBy(
         column(by).asc_nulls_last(), ARRIVAL
     )
-    ordered.drop(ARRIVAL).write.mode("overwrite").option("header", True).csv(path)
+    ordered.drop(ARRIVAL).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+
+
+def name_files(spark: SparkSession, path: str, day: str) -> None:
+    """Give the files of a directory their dated object names, ``2024-01-03-00000.csv`` and so on.
+
+    The numbers follow the order of the parts, so a sorted export stays sorted by name.
+    """
+    location, files = hadoop_path(spark, path)
+    parts = sorted(s.getPath().getName() for s in files.listStatus(location) if s.getPath().getName().startswith("part-"))
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    for number, part in enumerate(parts):
+        if not files.rename(place(location, part), place(location, f"{day}-{number:05d}.csv")):
+            raise OSError(f"cannot rename {path}/{part}")
+
+
+def day_directories(spark: SparkSession, path: str) -> list[str]:
+    """The year/month/day directories that hold parts of the write just done."""
+    location, files = hadoop_path(spark, path)
+    found, listed = set(), files.listFiles(location, True)
+    while listed.hasNext():
+        file = listed.next().getPath()
+        if file.getName().startswith("part-"):
+            found.add(file.getParent().toString())
+    return sorted(found)
+
+
+def day_of(directory: str) -> str:
+    return "-".join(part.split("=", 1)[1] for part in directory.rsplit("/", 3)[1:])
 
 
 def landing_dir(root: str, source: str, report: str, day: dt.date) -> str:
@@ -34,6 +72,7 @@ def land_report(df: DataFrame, root: str, source: str, report: str, day: dt.date
     """Export into the directory of ``day``; another run on the same day replaces it."""
     path = landing_dir(root, source, report, day)
     export_sorted(df, path, by)
+    name_files(df.sparkSession, path, day.isoformat())
     return path
 
 
@@ -46,6 +85,8 @@ def land_by_day(df: DataFrame, path: str, name: str) -> None:
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts)
-        .option("header", True)
+        .options(**CSV_OPTIONS)
         .csv(path)
     )
+    for directory in day_directories(df.sparkSession, path):
+        name_files(df.sparkSession, directory, day_of(directory))

@@ -16,9 +16,13 @@ def append_jdbc(
     max_connections: int = 64,
     batch_rows: int = 10_000,
 ) -> None:
-    """Add rows to a database table, with a bound on the sessions opened at the same time."""
+    """Add rows to a database table, with a bound on the sessions opened at the same time.
+
+    The shuffle in front keeps the bound to the write; the scan and the casts keep their tasks.
+    """
     (
-        df.write.mode(mode)
+        df.repartition(max_connections)
+        .write.mode(mode)
         .options(numPartitions=max_connections, batchsize=batch_rows)
         .jdbc(url, table, properties=dict(properties or {}))
     )

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from reportmill.session import path_exists
-from reportmill.spec import ReportSpec
+from pyspark.sql import DataFrame, Row, SparkSession
+
+from reportmill.session import hadoop_path, path_exists
+from reportmill.spec import PARTITIONS, ReportSpec
+
+LOOKUPS = 16
 
 
 def scan_curated(spark: SparkSession, spec: ReportSpec, path: str) -> DataFrame | None:
@@ -17,3 +22,38 @@ def scan_curated(spark: SparkSession, spec: ReportSpec, path: str) -> DataFrame
     if not path_exists(spark, path):
         return None
     return spark.read.schema(spec.curated_schema).parquet(path)
+
+
+def partition_dir(spark: SparkSession, path: str, partition: Row) -> str:
+    """The directory that Spark's writer gives a partition; a blank value has a name of its own."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    parts = [names.getPartitionPathString(name, partition[name]) for name in PARTITIONS]
+    return "/".join([path.rstrip("/"), *parts])
+
+
+def scan_partitions(
+    spark: SparkSession, spec: ReportSpec, path: str, partitions: Sequence[Row]
+) -> DataFrame | None:
+    """The rows of some partitions, whatever their number; ``None`` when none of them is stored.
+
+    Only the directories of these partitions are looked up and listed, not the tree.
+    """
+    if not partitions or not path_exists(spark, path):
+        return None
+    paths = [partition_dir(spark, path, partition) for partition in partitions]
+    _, files = hadoop_path(spark, path)
+
+    def exists(directory: str) -> bool:
+        return files.exists(spark._jvm.org.apache.hadoop.fs.Path(directory))
+
+    with ThreadPoolExecutor(LOOKUPS) as pool:
+        found = [p for p, there in zip(paths, pool.map(exists, paths), strict=True) if there]
+    if not found:
+        return None
+    # The names of the directories are data, so their special characters are no patterns.
+    plain = [escape_glob(p) for p in found]
+    return spark.read.schema(spec.curated_schema).option("basePath", path).parquet(*plain)
+
+
+def escape_glob(path: str) -> str:
+    return "".join("\\" + c if c in "{}[]*?\\" else c for c in path)

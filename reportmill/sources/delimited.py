@@ -8,10 +8,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from reportmill.session import hadoop_path
+
+# A quote inside a quoted text is doubled, and a backslash is a character like any other.
 # A header that differs from the schema fails the read rather than shifting columns.
 CSV_OPTIONS = {
     "header": True,
     "sep": ",",
+    "escape": '"',
     "recursiveFileLookup": True,
     "enforceSchema": False,
 }
@@ -29,6 +33,19 @@ def scan_delimited(
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
+def first_file(spark: SparkSession, path: str) -> str | None:
+    """One data file under ``path``, or ``None`` if there is none (or no such folder)."""
+    location, files = hadoop_path(spark, path)
+    if not files.exists(location):
+        return None
+    found = files.listFiles(location, True)
+    while found.hasNext():
+        status = found.next()
+        if status.getPath().getName()[:1] not in ("_", ".") and status.getLen():
+            return status.getPath().toString()
+    return None
+
+
 def scan_delimited_groups(
     spark: SparkSession, paths: Iterable[str], **options: object
 ) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from reportmill.plans.curate import curate_frame
-from reportmill.sources import scan_delimited, stream_delimited
+from reportmill.sources import first_file, scan_delimited, stream_delimited
 from reportmill.spec import ReportSpec
 
 
@@ -24,10 +24,13 @@ def curate_new_files(
 
     ``checkpoint`` must be on shared storage. Limit the size of one upsert with
     ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``; late rows with an older version never win,
-    and a batch replayed after a failure gives the same table. Give the ``schema`` of the files
-    to save looking up their header.
+    and a batch replayed after a failure gives the same table. Without a ``schema``, the header
+    of one file gives the names. A source without files changes nothing.
     """
-    header = schema or scan_delimited(spark, source).schema
+    file = first_file(spark, source)
+    if file is None:
+        return
+    header = schema or scan_delimited(spark, file, **read_options).schema
     files = stream_delimited(spark, source, header, **read_options)
 
     def merge(batch: DataFrame, batch_id: int) -> None:

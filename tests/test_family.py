@@ -109,8 +109,18 @@ def test_jdbc_append_hands_over_url_table_and_limits():
     class Frame:
         write = Writer()
 
+        def repartition(self, tasks):
+            calls.update(tasks=tasks)
+            return self
+
     append_jdbc(Frame(), "jdbc:any", "t", {"user": "u"})
     assert calls == {
-        "mode": "append", "numPartitions": 64, "batchsize": 10_000,
+        "mode": "append", "tasks": 64, "numPartitions": 64, "batchsize": 10_000,
         "url": "jdbc:any", "table": "t", "properties": {"user": "u"},
     }
+
+
+def test_bounded_write_keeps_the_tasks_of_the_scan(spark):
+    rows = spark.range(0, 1000, 1, 100).repartition(4)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning(4)" in plan and "Coalesce" not in plan

@@ -129,3 +129,18 @@ def test_family_has_eight_reports_three_with_marts():
 def test_partition_sources_belong_to_the_key():
     with pytest.raises(ValueError):
         ReportSpec("bad", dimensions=("ad_id",))
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(12,3)", "bigint", "boolean", "float"])
+def test_numbers_to_integers_follow_the_plain_cast(spark, kind):
+    from reportmill.operators.shape import cast_all
+
+    values = ["12345678.0", "0.0005", "-7.9", "3", "0", "1", None, "99999999"]
+    numbers = spark.createDataFrame([(v,) for v in values], "v string").select(F.col("v").try_cast(kind).alias("v"))
+    ansi = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        plain = [r[0] for r in numbers.select(F.col("v").cast("int")).collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+    assert [r[0] for r in cast_all(numbers, {"v": "int"}).collect()] == plain

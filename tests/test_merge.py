@@ -8,15 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from reportmill.plans.curate import curate_frame
-from reportmill.operators.merge import (
-    list_partitions,
-    only_touched,
-    touched_partitions,
-    union_by_name,
-)
+from reportmill.operators.merge import list_partitions, touched_partitions, union_by_name
 from reportmill.operators.shape import conform
 from reportmill.session import work_dir
-from reportmill.sources import scan_curated
+from reportmill.sources import scan_curated, scan_partitions
 from reportmill.spec import PARTITIONS
 from rows import EXPECTED, INCOMING, SPEC, STORED, raw_rows, short
 
@@ -36,12 +31,11 @@ def target(spark):
     return f"{work_dir(spark)}/curated"
 
 
-@pytest.mark.parametrize("limit", [5_000, 1, 0])
-def test_golden_upsert(spark, target, limit):
+def test_golden_upsert(spark, target):
     curate_frame(raw_rows(spark, STORED), SPEC, target)
     untouched = {p: t for p, t in files_of(target).items() if "account=B" in p}
     for _ in range(2):
-        result = curate_frame(raw_rows(spark, INCOMING), SPEC, target, max_listed=limit)
+        result = curate_frame(raw_rows(spark, INCOMING), SPEC, target)
         assert short(scan_curated(spark, SPEC, target)) == EXPECTED
         assert (result.rows_read, result.rows_written) == (3, 3)
     after = files_of(target)
@@ -185,26 +179,58 @@ def test_union_keeps_duplicates(spark):
     assert union_by_name(a, b, ["n", "s"]).count() == 2
 
 
-@pytest.mark.parametrize("limit", [5_000, 1, 0])
-def test_touched_partitions_prune_the_scan(spark, target, limit):
-    days = [f"2024-01-{d:02d}" for d in range(1, 11)]
-    rows = [
+def daily_rows(accounts, days):
+    return [
         {"account_id": a, "ad_id": "1", "date_start": d, "execution_date": d, "spend": "1"}
-        for a in ("A", "B")
+        for a in accounts
         for d in days
     ]
+
+
+def test_only_touched_directories_are_opened(spark, target):
+    rows = daily_rows("AB", [f"2024-01-{d:02d}" for d in range(1, 11)])
     curate_frame(raw_rows(spark, rows), SPEC, target)
-    incoming = conform(raw_rows(spark, [rows[3], rows[13]]), SPEC)
-    touched = touched_partitions(incoming, SPEC)
-    listed = list_partitions(touched, limit)
-    result = only_touched(scan_curated(spark, SPEC, target), touched, listed, limit)
+    missing = {**rows[0], "date_start": "2031-01-01"}
+    incoming = conform(raw_rows(spark, [rows[3], rows[13], missing]), SPEC)
+    result = scan_partitions(spark, SPEC, target, list_partitions(touched_partitions(incoming, SPEC)))
     assert sorted((r.account, r.day) for r in result.collect()) == [("A", "4"), ("B", "4")]
+    opened = {name.rsplit("/account=", 1)[1].rsplit("/", 1)[0] for name in result.inputFiles()}
+    assert opened == {"A/year=2024/month=1/day=4", "B/year=2024/month=1/day=4"}
     plan = result._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
-    if limit:
-        scanned = [line for line in plan.splitlines() if "FileScan parquet" in line]
-        filters = scanned[0].split("PartitionFilters: ")[1].split("PushedFilters")[0]
-        assert "isnotnull(year" in filters and "isnotnull(day" in filters
+    assert "InMemoryFileIndex(2 paths)" in plan
+    only_missing = conform(raw_rows(spark, [missing]), SPEC)
+    assert scan_partitions(spark, SPEC, target, list_partitions(touched_partitions(only_missing, SPEC))) is None
+
+
+def test_touched_directories_with_odd_names(spark, target):
+    names = ["a/b", "a b", "x=1", "100%", "{c}", "[d]*?", "é", "q\"u'o", None, ""]
+    rows = daily_rows(names, ["2024-01-01"])
+    for _ in range(2):
+        curate_frame(raw_rows(spark, rows), SPEC, target)
+    stored = scan_curated(spark, SPEC, target)
+    # Rows without an account are dirty and never stored; a blank account is a value.
+    assert sorted(r.account_id for r in stored.collect()) == sorted(n for n in names if n is not None)
+    touched = list_partitions(touched_partitions(conform(raw_rows(spark, rows), SPEC), SPEC))
+    assert scan_partitions(spark, SPEC, target, touched).count() == stored.count()
+
+
+def test_table_and_files_agree_after_new_partitions(spark, target):
+    table = "agreeing"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    for days in (["2024-01-01"], [f"2024-02-{d:02d}" for d in range(1, 9)], ["2024-01-01", "2024-03-01"]):
+        result = curate_frame(raw_rows(spark, daily_rows("AB", days)), SPEC, target, table)
+        assert len(result.partitions) == 2 * len(days)
+        assert short(spark.table(table)) == short(scan_curated(spark, SPEC, target))
+    assert spark.table(table).count() == 20
+
+
+def test_a_table_elsewhere_is_refused(spark, target):
+    table = "elsewhere"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    curate_frame(raw_rows(spark, STORED), SPEC, target, table)
+    with pytest.raises(ValueError, match="lies at"):
+        curate_frame(raw_rows(spark, INCOMING), SPEC, f"{target}-other", table)
+    assert scan_curated(spark, SPEC, f"{target}-other") is None
 
 
 def test_upsert_writes_balanced_partitions(spark, target):

@@ -128,8 +128,11 @@ def test_listing_partitions_reads_two_columns(spark):
 def test_session_settings_follow_the_data():
     small, large = session_conf(1 << 20, 8), session_conf(100 * TIB, 8000)
     assert small["spark.sql.shuffle.partitions"] == "8"
-    assert int(large["spark.sql.shuffle.partitions"]) == 20_000
-    assert int(large["spark.sql.files.maxPartitionBytes"]) == 1 << 30
+    assert int(large["spark.sql.shuffle.partitions"]) == 100 * TIB // (256 << 20)
+    assert int(large["spark.sql.files.maxPartitionBytes"]) == 100 * TIB // 100_000
+    other = session_conf(100 * TIB, 8000, split_bytes=1 << 29, reducer_bytes=1 << 30)
+    assert int(other["spark.sql.shuffle.partitions"]) == 100 * TIB // (1 << 30)
+    assert int(other["spark.sql.files.maxPartitionBytes"]) == 1 << 29
 
 
 def test_work_dirs_are_new_and_shared(spark):
@@ -138,3 +141,39 @@ def test_work_dirs_are_new_and_shared(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark) in first
     assert spark.range(1).select(F.lit(first)).first()[0] == first
+
+
+def test_quoted_text_is_read_as_written(spark):
+    root = work_dir(spark)
+    os.makedirs(f"{root.removeprefix('file:')}/raw")
+    lines = ["id,text,n", '1,"a ""b"", c",9', '2,"say ""hi""",8', '3,"back\\",7', "4, plain ,6"]
+    with open(f"{root.removeprefix('file:')}/raw/a.csv", "w") as handle:
+        handle.write("\n".join(lines) + "\n")
+    rows = [tuple(r) for r in scan_delimited(spark, f"{root}/raw").collect()]
+    assert rows == [("1", 'a "b", c', "9"), ("2", 'say "hi"', "8"), ("3", "back\\", "7"), ("4", " plain ", "6")]
+
+
+def test_sources_without_files_change_nothing(spark):
+    from reportmill.plans.curate import curate_report
+
+    root = work_dir(spark)
+    paths = [f"{root}/{name}" for name in ("raw", "curated", "checkpoint")]
+    for _ in range(2):  # first without the folder, then with an empty one
+        result = curate_report(spark, SPEC, paths[0], paths[1])
+        assert (result.rows_read, result.rows_written, result.partitions) == (0, 0, [])
+        curate_new_files(spark, SPEC, *paths)
+        assert scan_curated(spark, SPEC, paths[1]) is None
+        os.makedirs(f"{paths[0].removeprefix('file:')}/sub", exist_ok=True)
+    raw_rows(spark, STORED).coalesce(1).write.option("header", True).csv(f"{paths[0]}/sub/first")
+    curate_new_files(spark, SPEC, *paths)
+    before = short(scan_curated(spark, SPEC, paths[1]))
+    curate_report(spark, SPEC, f"{root}/nothing", paths[1])
+    assert before and short(scan_curated(spark, SPEC, paths[1])) == before
+
+
+def test_format_options_hold_for_the_header_of_new_files(spark):
+    root = work_dir(spark)
+    paths = [f"{root}/{name}" for name in ("raw", "curated", "checkpoint")]
+    raw_rows(spark, STORED).coalesce(1).write.options(header=True, sep=";").csv(f"{paths[0]}/first")
+    curate_new_files(spark, SPEC, *paths, sep=";")
+    assert scan_curated(spark, SPEC, paths[1]).count() == 3

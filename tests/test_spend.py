@@ -185,3 +185,43 @@ def test_landing_directories_are_padded(spark):
     land_by_day(rows.limit(1).selectExpr("d", "n + 10 as n"), path, "d")
     read = spark.read.option("header", True).csv(path)
     assert sorted(int(r.n) for r in read.collect()) in ([2, 11], [1, 12])
+
+
+def test_newest_delivery_counts_per_medium_and_date(spark):
+    root = work_dir(spark)
+    deliveries = [
+        ({"streaming": {"2024-01-01": {"spend": 1.0}, "2024-01-02": {"spend": 2.0}}, "audio": {}}, [("2024-01-03", 3.0)]),
+        ({"streaming": {"2024-01-02": {"spend": 9.0}}, "audio": {"2024-01-01": {"spend": 4.0}}}, [("2024-01-03", 5.0), ("2024-01-03", 7.0)]),
+    ]
+    for number, (streaming, linear) in enumerate(deliveries):
+        weeks = {"weekSummary": [{"day": d, "electronic": v} for d, v in linear]}
+        for name, payload in (("streaming", streaming), ("linear", weeks)):
+            os.makedirs(f"{local(root)}/{name}", exist_ok=True)
+            path = f"{local(root)}/{name}/{9 - number}.json"
+            with open(path, "w") as handle:
+                json.dump(payload, handle)
+            os.utime(path, (1_700_000_000 + number, 1_700_000_000 + number))
+    landed = spend_summary(spark, f"{root}/streaming", f"{root}/linear", f"{root}/out", "media", dt.date(2024, 1, 9))
+    assert csv_rows(landed)[1:] == [["2024-01-01", "1.0", "4.0", ""], ["2024-01-02", "9.0", "", ""], ["2024-01-03", "", "", "7.0"]]
+    assert [os.path.basename(p) for p in glob.glob(f"{local(landed)}/*.csv")] == ["2024-01-09-00000.csv"]
+
+
+def test_last_value_of_a_repeated_key_counts(spark):
+    repeated = '{"streaming": {"2024-01-01": {"spend": 1.0}, "2024-01-02": {"spend": 2.0}, "2024-01-01": {"spend": 3.0}}, "audio": {}}'
+    rows = summary(spark, repeated, LINEAR).where("`Streaming Video` IS NOT NULL").collect()
+    assert sorted((r[0], r[1]) for r in rows) == [("2024-01-01", 3.0), ("2024-01-02", 2.0)]
+
+
+def test_exports_read_back_as_they_were(spark):
+    from reportmill.sources import scan_delimited
+
+    path = f"{work_dir(spark)}/exact"
+    rows = spark.sql("""SELECT * FROM VALUES (1, ' a "b", c ', timestamp'2024-01-02 03:04:05.123456'),
+        (2, 'back\\\\', timestamp'2024-01-02 00:00:00') AS t(id, text, ts)""")
+    export_sorted(rows, path, "id")
+    read = [tuple(r) for r in scan_delimited(spark, path).collect()]
+    assert read == [("1", ' a "b", c ', "2024-01-02 03:04:05.123456"), ("2", "back\\", "2024-01-02 00:00:00.000000")]
+    days = f"{work_dir(spark)}/days"
+    land_by_day(rows, days, "ts")
+    names = [os.path.basename(p) for p in glob.glob(f"{local(days)}/*/*/*/*.csv")]
+    assert names and all(n.startswith("2024-01-02-0000") for n in names)

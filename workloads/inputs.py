@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reportmill.functions import iso_day
 from reportmill.operators.media import daily_spend
+from reportmill.sinks.export import CSV_OPTIONS
 
 PURCHASE = "actions.offsite_conversion.fb_pixel_purchase"
 CUSTOM = "action_values.offsite_conversion.fb_pixel_custom"
@@ -75,13 +76,10 @@ def breakdown_columns() -> list[Column]:
 def raw_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows of all eight reports: every event with all breakdown columns.
 
-    Nation and region have 25 and 5 rows at every scale; the customer side is left to
-    adaptive execution.
+    Spark broadcasts what it measures as small.
     """
-    places = F.broadcast(
-        table(spark, sf_dir, "nation").join(
-            table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
-        )
+    places = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     events = (
@@ -93,7 +91,7 @@ def raw_family(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def land_csv(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     return path
 
 

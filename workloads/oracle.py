@@ -155,6 +155,7 @@ ORACLE = {
     """,
     "upsert_out_of_order": CURATED,
     "upsert_idempotent": CURATED,
+    "catalog_upsert": CURATED,
     "incremental_files": CURATED,
     "scan_recursive_csv": f"SELECT {EVENT_COLUMNS} FROM events",
     "scan_header_groups": """
@@ -162,6 +163,15 @@ ORACLE = {
             CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS o_orderpriority
         FROM orders
     """,
+    "scan_quoted_csv": r"""
+        SELECT source, id,
+            ' "' || replace(replace(regexp_replace(text, '[\r\n]', ' ', 'g'), 'e ', 'e", '), 'n ', 'n\ ') || '\" ' AS text,
+            9 AS "after"
+        FROM (
+            SELECT 'documents' AS source, CAST(doc_id AS VARCHAR) AS id, text FROM documents
+            UNION ALL SELECT 'conversations', CAST(conv_id AS VARCHAR), text FROM conversations
+        )
+    """,
     "keep_latest_lineitem": """
         SELECT * FROM lineitem QUALIFY row_number() OVER (
             PARTITION BY l_orderkey, l_linenumber
@@ -174,7 +184,6 @@ ORACLE = {
     """,
     "union_by_name_orders": f"SELECT {ORDER_COLUMNS} FROM orders",
     "touched_partitions": TOUCHED,
-    "touched_partitions_semi_join": TOUCHED,
     "partition_keys": f"SELECT DISTINCT {PARTITION} FROM events",
     "dirty_filter": f"""
         SELECT {REPORT} FROM events WHERE event_type <> 'error' AND hour(ts) <> 13
@@ -185,10 +194,18 @@ ORACLE = {
                  WHEN {COUNTER} BETWEEN 70 AND 79
                  THEN COALESCE(TRY_CAST({COUNTER} || '000000000' AS INTEGER), -1)
                  ELSE {COUNTER} END AS clicks,
+            {COUNTER} >= 90 OR ({COUNTER} BETWEEN 70 AND 79
+                AND TRY_CAST({COUNTER} || '000000000' AS INTEGER) IS NULL) OR {COUNTER} IS NULL AS clicks_missing,
             CASE WHEN hour(ts) IN (0, 1) THEN NULL ELSE CAST(value AS {MONEY}) END AS spend,
             CASE WHEN hour(ts) <> 2 THEN ts END AS execution_date
         FROM events
     """,
+    "cast_doubles": """
+        SELECT l_orderkey, l_linenumber,
+            CAST(trunc(CAST(o_totalprice AS DOUBLE) * 1000) AS INTEGER) AS large,
+            CAST(trunc(CAST(l_discount AS DOUBLE) / 1000) AS INTEGER) AS small
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    """,
     "mapping_lineitem": f"""
         SELECT CAST(l_orderkey AS VARCHAR) AS order_key,
             l_linenumber AS line_number,
@@ -238,6 +255,10 @@ ORACLE = {
         SELECT COALESCE(s.day, l.day) AS day, video, audio, linear
         FROM ({MEDIA}) s FULL JOIN ({LINEAR}) l ON s.day = l.day
     """,
+    "spend_summary_redelivered": f"""
+        SELECT COALESCE(s.day, l.day) AS day, video, audio, linear
+        FROM ({MEDIA}) s FULL JOIN ({LINEAR}) l ON s.day = l.day
+    """,
     "sorted_export": f"""
         SELECT {ISO("o_orderdate")} AS day,
             CAST(SUM(CAST(o_totalprice AS {MONEY})) AS {SUM}) AS total
@@ -252,7 +273,7 @@ ORACLE = {
         FROM orders
     """,
     "landing_roundtrip": """
-        SELECT event_id, event_type, date_trunc('millisecond', ts) AS ts,
+        SELECT event_id, event_type, ts,
             strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day
         FROM events
     """,
@@ -280,6 +301,9 @@ ORACLE = {
     "report_family": " UNION ALL ".join(
         monitoring(report, f"({newest(breakdown)})") for report, breakdown in BREAKDOWNS.items()
     ),
+    "family_with_gap": " UNION ALL ".join(
+        monitoring(report, f"({newest(breakdown)})") for report, breakdown in BREAKDOWNS.items() if report != "region"
+    ),
     "family_marts": " UNION ALL ".join(
         f"""SELECT '{report}' AS report, * FROM ({mart(f'{group} AS "group"', f"({newest(BREAKDOWNS[report])})", group)})"""
         for report, group in (

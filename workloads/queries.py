@@ -21,12 +21,7 @@ from reportmill.operators.dedup import keep_latest
 from reportmill.operators.filters import drop_dirty, in_month_window, in_week
 from reportmill.operators.marts import build_mart, build_monitoring
 from reportmill.operators.media import daily_spend, outer_join_on
-from reportmill.operators.merge import (
-    list_partitions,
-    only_touched,
-    touched_partitions,
-    union_by_name,
-)
+from reportmill.operators.merge import list_partitions, touched_partitions, union_by_name
 from reportmill.operators.nested import flatten_array, flatten_map
 from reportmill.operators.shape import (
     cast_all,
@@ -52,6 +47,7 @@ from reportmill.sources import (
     scan_curated,
     scan_delimited,
     scan_delimited_groups,
+    scan_partitions,
     scan_payloads,
 )
 from reportmill.spec import AFFILIATE_MAPPING, PARTITIONS, REPORTS, ReportSpec
@@ -61,6 +57,7 @@ from workloads.inputs import CUSTOM, HIGH_SPEND, MEDIA, MONEY, PURCHASE, table
 
 EVENTS = ReportSpec("events")
 TOTAL = "decimal(28,5)"
+GAP = "region"
 
 
 def suffix(path: str) -> str:
@@ -94,11 +91,15 @@ def curate_events(spark: SparkSession, sf_dir: str, order: tuple[str, ...] = ("a
 
 
 def curation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows read and written per delivery, as observed by the write itself."""
+    """Rows read and written per delivery: clean rows of its files, rows of the partitions it wrote."""
     root = work_dir(spark)
     landed = deliveries(spark, sf_dir, root)
-    results = {n: curate_report(spark, EVENTS, path, f"{root}/curated") for n, path in landed.items()}
-    counts = [(name, r.rows_read, r.rows_written) for name, r in results.items()]
+    counts = []
+    for name, path in landed.items():
+        result = curate_report(spark, EVENTS, path, f"{root}/curated")
+        clean = drop_dirty(conform(scan_delimited(spark, path), EVENTS), EVENTS)
+        written = scan_partitions(spark, EVENTS, f"{root}/curated", result.partitions)
+        counts.append((name, clean.count(), written.count()))
     return spark.createDataFrame(counts, "delivery string, rows_read long, rows_written long")
 
 
@@ -110,6 +111,19 @@ def upsert_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curate_events(spark, sf_dir, ("am", "pm", "am", "pm"))
 
 
+def catalog_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads into a catalog table, read from the table; the second one adds partitions."""
+    root = work_dir(spark)
+    events = table(spark, sf_dir, "events")
+    early = F.dayofmonth("ts") <= 15
+    loads = {"one": events.where(early & inputs.is_morning()), "two": events.where(~early | ~inputs.is_morning())}
+    name = f"curated_events_{suffix(root)}"
+    for load, rows in loads.items():
+        path = inputs.land_csv(inputs.raw_report(rows), f"{root}/raw/{load}")
+        curate_report(spark, EVENTS, path, f"{root}/curated", name)
+    return plain_metrics(spark.table(name))
+
+
 def incremental_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark)
     events = table(spark, sf_dir, "events")
@@ -130,6 +144,22 @@ def scan_recursive_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cast_all(scan_delimited(spark, f"{root}/raw"), types)
 
 
+def quoted_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with commas, quotes, backslashes and blanks at the ends; line breaks become blanks."""
+    texts = [
+        table(spark, sf_dir, name).select(F.lit(name).alias("source"), F.col(key).cast("string").alias("id"), "text")
+        for name, key in (("documents", "doc_id"), ("conversations", "conv_id"))
+    ]
+    flat = F.regexp_replace("text", "[\\r\\n]", " ")
+    quoted = F.concat(F.lit(' "'), F.replace(F.replace(flat, F.lit("e "), F.lit('e", ')), F.lit("n "), F.lit("n\\ ")), F.lit('\\" '))
+    return texts[0].unionByName(texts[1]).select("source", "id", quoted.alias("text"), F.lit(9).alias("after"))
+
+
+def scan_quoted_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = inputs.land_csv(quoted_texts(spark, sf_dir), f"{work_dir(spark)}/quoted")
+    return cast_all(scan_delimited(spark, path, maxCharsPerColumn=-1), {"after": "int"})
+
+
 def scan_header_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
@@ -166,20 +196,11 @@ def stored_events(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     return target, scan_curated(spark, EVENTS, target)
 
 
-def touched_rows(spark: SparkSession, sf_dir: str, limit: int) -> DataFrame:
-    _, stored = stored_events(spark, sf_dir)
+def touched_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, _ = stored_events(spark, sf_dir)
     large = table(spark, sf_dir, "events").where(F.col("value") >= HIGH_SPEND)
     touched = touched_partitions(conform(inputs.raw_report(large), EVENTS), EVENTS)
-    listed = list_partitions(touched, limit)
-    return plain_metrics(only_touched(stored, touched, listed, limit))
-
-
-def touched_by_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return touched_rows(spark, sf_dir, limit=5_000)
-
-
-def touched_by_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return touched_rows(spark, sf_dir, limit=1)
+    return plain_metrics(scan_partitions(spark, EVENTS, target, list_partitions(touched)))
 
 
 def partition_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,8 +238,22 @@ def typed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(hour == 2, "2024-13-45").otherwise(F.col("ts").cast("string")).alias("execution_date"),
     )
     typed = cast_all(texts, {"clicks": "int", "spend": MONEY, "execution_date": "timestamp"})
-    # Some comparisons read a nullable integer as a float, so -1 stands for null here.
-    return typed.withColumn("clicks", F.coalesce("clicks", F.lit(-1)))
+    # Some comparisons read a nullable integer as a float, so nulls are told in a column of their own.
+    return typed.withColumns({"clicks_missing": F.isnull("clicks"), "clicks": F.coalesce("clicks", F.lit(-1))})
+
+
+def cast_doubles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Doubles that print with exponents, as integers: the fraction is cut."""
+    joined = table(spark, sf_dir, "lineitem").join(
+        table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
+    )
+    numbers = joined.select(
+        "l_orderkey",
+        "l_linenumber",
+        (F.col("o_totalprice").cast("double") * 1000).alias("large"),
+        (F.col("l_discount").cast("double") / 1000).alias("small"),
+    )
+    return cast_all(numbers, {"large": "int", "small": "int"})
 
 
 def mapping_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -329,13 +364,18 @@ def media_outer_join_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_outer_join(spark, sf_dir, hot_keys=True)
 
 
-def spend_summary_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+def spend_summary_csv(spark: SparkSession, sf_dir: str, rounds: tuple[int, ...] = (1,)) -> DataFrame:
+    """The summary over landed documents; each round delivers all of them with its factor on the spend."""
     root = work_dir(spark)
     daily = inputs.daily_trade(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
-    streaming = inputs.land_documents(inputs.streaming_documents(daily), f"{root}/streaming")
-    linear = inputs.land_documents(
-        inputs.linear_documents(table(spark, sf_dir, "events")), f"{root}/linear"
-    )
+    events = table(spark, sf_dir, "events")
+    streaming, linear = f"{root}/streaming", f"{root}/linear"
+    for number, factor in enumerate(rounds):
+        scaled = daily.withColumn("spend", (F.col("spend") * factor).cast(TOTAL))
+        inputs.land_documents(inputs.streaming_documents(scaled), f"{streaming}/{number}")
+        inputs.land_documents(
+            inputs.linear_documents(events.withColumn("value", F.col("value") * factor)), f"{linear}/{number}"
+        )
     days = f"map<string, struct<spend: {TOTAL}>>"
     landed = spend_summary(
         spark,
@@ -356,6 +396,10 @@ def spend_summary_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spend_summary_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spend_summary_csv(spark, sf_dir, rounds=(3, 1))
+
+
 def sorted_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{work_dir(spark)}/export"
     totals = table(spark, sf_dir, "orders").groupBy(iso_day(F.col("o_orderdate")).alias("Date")).agg(
@@ -440,7 +484,9 @@ def monitoring_by_account_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitoring_columns(build_monitoring(with_partitions(rows, EVENTS), EVENTS))
 
 
-def family_runs(spark: SparkSession, sf_dir: str, specs: tuple[ReportSpec, ...]) -> list[ReportRun]:
+def family_runs(
+    spark: SparkSession, sf_dir: str, specs: tuple[ReportSpec, ...], without_files: tuple[str, ...] = ()
+) -> list[ReportRun]:
     root = work_dir(spark)
     landed = inputs.land_csv(inputs.raw_family(spark, sf_dir), f"{root}/raw")
     tag = suffix(root)
@@ -451,7 +497,7 @@ def family_runs(spark: SparkSession, sf_dir: str, specs: tuple[ReportSpec, ...])
         f"{root}/curated",
         f"{root}/marts",
         specs,
-        source_of=lambda spec: landed,
+        source_of=lambda spec: f"{root}/empty" if spec.report_type in without_files else landed,
         curated_db=f"curated_{tag}",
         environments=(f"dev_{tag}", f"prd_{tag}"),
     )
@@ -464,6 +510,15 @@ def report_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def family_with_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One report has no files today; the others come out in full."""
+    runs = family_runs(spark, sf_dir, REPORTS, without_files=(GAP,))
+    return reduce(
+        DataFrame.unionByName,
+        [monitoring_columns(spark.table(run.monitoring)) for run in runs if run.monitoring],
+    )
+
+
 def family_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three marts as published to the last environment."""
     marts = {
@@ -502,17 +557,19 @@ QUERIES = {
     "curation_counts": curation_counts,
     "upsert_out_of_order": upsert_out_of_order,
     "upsert_idempotent": upsert_idempotent,
+    "catalog_upsert": catalog_upsert,
     "incremental_files": incremental_files,
     "scan_recursive_csv": scan_recursive_csv,
     "scan_header_groups": scan_header_groups,
+    "scan_quoted_csv": scan_quoted_csv,
     "keep_latest_lineitem": keep_latest_lineitem,
     "latest_document_by_text": latest_document_by_text,
     "union_by_name_orders": union_by_name_orders,
-    "touched_partitions": touched_by_filter,
-    "touched_partitions_semi_join": touched_by_semi_join,
+    "touched_partitions": touched_rows,
     "partition_keys": partition_keys,
     "dirty_filter": dirty_filter,
     "typed_metrics": typed_metrics,
+    "cast_doubles": cast_doubles,
     "mapping_lineitem": mapping_lineitem,
     "rename_orders": rename_orders,
     "constants_and_copies": constants_and_copies,
@@ -526,6 +583,7 @@ QUERIES = {
     "media_outer_join": media_outer_join,
     "media_outer_join_hot": media_outer_join_hot,
     "spend_summary": spend_summary_csv,
+    "spend_summary_redelivered": spend_summary_redelivered,
     "sorted_export": sorted_export,
     "landing_layout": landing_layout,
     "landing_roundtrip": landing_roundtrip,
@@ -537,5 +595,6 @@ QUERIES = {
     "region_mart": region_mart,
     "monitoring_by_account_day": monitoring_by_account_day,
     "report_family": report_family,
+    "family_with_gap": family_with_gap,
     "family_marts": family_marts,
 }
