@@ -29,7 +29,7 @@ CHAR_ROWS, CHAR_DIM, CHAR_HIDDEN = 512, 8, 8
 WORD_ROWS, WORD_DIM, HIDDEN = 4096, 8, 8
 #: At most so many labelled documents of each kind, and windows of each, are used for training.
 MAX_TOXIC, MAX_CLEAN, MAX_WINDOWS = 2000, 3000, 12
-STEPS, BATCH, RATE = 1000, 48, 0.01
+STEPS, BATCH, RATE = 700, 48, 0.01
 #: In training, this share of the words is known by characters only, so that rare words are not learned by heart.
 UNKNOWN = 0.5
 CACHE_WORDS = 150_000
