@@ -54,7 +54,100 @@ q_hosts AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM q_measures
 )"""
 
+#: Spans of a pattern: positions follow from what stands between the matches.
+_PATTERNS = (
+    ("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", "AKIA[A-Z0-9]{16,}", 0, 20),
+    ("hex", "[0-9a-f]{24,}", 0, 24),
+    ("live", "[A-Za-z0-9+/_=-]{20,}", 0, 20),
+)
+
+
+def _spans(number: int, kind: str, pattern: str, group: int, least: int) -> str:
+    pattern = pattern.replace("'", "''")
+    return f"""
+    SELECT rid, {number} AS k, '{kind}' AS kind, begins AS s, begins + n AS e, value FROM (
+      SELECT rid, value, n, (sum(gap) OVER w + coalesce(sum(n) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS begins
+      FROM (SELECT rid, i, length(p[i]) AS gap, length(m[i]) AS n, v[i] AS value FROM (
+        SELECT rid, p, m, v, unnest(range(1, len(m) + 1)) AS i FROM (
+          SELECT rid, string_split_regex(t, '{pattern}') AS p, regexp_extract_all(t, '{pattern}', 0) AS m, regexp_extract_all(t, '{pattern}', {group}) AS v
+          FROM s_docs WHERE regexp_matches(t, '{pattern}'))))
+      WINDOW w AS (PARTITION BY rid ORDER BY i)
+    ) WHERE length(value) >= {least}"""
+
+
+SECRETS = f"""
+WITH s_docs AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents),
+s_base AS ({' UNION ALL '.join(_spans(k, *x) for k, x in enumerate(_PATTERNS[:3]))}),
+s_tokens AS (
+  SELECT * FROM ({_spans(3, *_PATTERNS[3])}) x
+  WHERE regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AND len(list_distinct(string_split(value, ''))) >= 10
+    AND NOT EXISTS (SELECT 1 FROM s_base b WHERE b.rid = x.rid AND b.s < x.e AND b.e > x.s)
+),
+s_all AS (SELECT * FROM s_base UNION ALL SELECT * FROM s_tokens),
+s_owned AS (
+  SELECT value, count(DISTINCT coalesce(source, chr(0))) <= 2 AS live FROM s_all JOIN s_docs USING (rid) GROUP BY value
+),
+s_marks AS (SELECT a.*, live, kind || ':' || s || ':' || e AS name FROM s_all a JOIN s_owned USING (value)),
+s_sums AS (
+  SELECT rid, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+    coalesce(string_agg(name, ',' ORDER BY s, k) FILTER (k < 3), '') AS base,
+    coalesce(string_agg(name, ',' ORDER BY s, k) FILTER (k < 3 OR live), '') AS spans,
+    count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_example
+  FROM s_marks GROUP BY rid
+)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+  coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_example, 0)::BIGINT AS n_example
+FROM s_docs LEFT JOIN s_sums USING (rid)"""
+
+JACCARD = rf"""
+WITH RECURSIVE j_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS ws
+  FROM documents
+), j_sets AS (
+  SELECT DISTINCT doc_id, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS gram
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM j_words WHERE len(ws) >= 3)
+  UNION ALL SELECT doc_id, array_to_string(ws, ' ') FROM j_words WHERE len(ws) IN (1, 2)
+), j_sizes AS (
+  SELECT doc_id, count(*) AS n FROM j_sets GROUP BY doc_id
+), j_links AS (
+  SELECT x.a, x.b FROM (
+    SELECT l.doc_id AS a, r.doc_id AS b, count(*) AS c FROM j_sets l JOIN j_sets r ON l.gram = r.gram AND l.doc_id <> r.doc_id GROUP BY 1, 2
+  ) x JOIN j_sizes p ON p.doc_id = a JOIN j_sizes q ON q.doc_id = b WHERE 100 * c >= 90 * (p.n + q.n - c)
+), j_reach AS (
+  SELECT doc_id, doc_id AS other FROM j_words UNION SELECT r.doc_id, l.b FROM j_reach r JOIN j_links l ON l.a = r.other
+)
+SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM j_words w LEFT JOIN j_sizes USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM j_reach GROUP BY doc_id) USING (doc_id)"""
+
+REPEATS = """
+WITH r_docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), r_bytes AS (
+  SELECT *, length(h) // 2 AS n FROM r_docs
+), r_windows AS (
+  SELECT rid, pos, md5(substr(h, 2 * pos + 1, 400)) AS window_hash FROM (SELECT rid, h, unnest(range(0, n - 199)) AS pos FROM r_bytes WHERE n >= 200)
+), r_twice AS (
+  SELECT window_hash FROM r_windows GROUP BY 1 HAVING count(*) > 1
+), r_starts AS (
+  SELECT rid, pos, pos - lag(pos) OVER (PARTITION BY rid ORDER BY pos) AS step FROM r_windows JOIN r_twice USING (window_hash)
+), r_numbered AS (
+  SELECT rid, pos, sum(CASE WHEN step <= 200 THEN 0 ELSE 1 END) OVER (PARTITION BY rid ORDER BY pos) AS span FROM r_starts
+), r_spans AS (
+  SELECT rid, min(pos) AS a, max(pos) + 200 AS z FROM r_numbered GROUP BY rid, span
+), r_pieces AS (
+  SELECT rid, a, z, lag(z, 1, 0) OVER (PARTITION BY rid ORDER BY a) AS since FROM r_spans
+), r_cut AS (
+  SELECT rid, count(*) AS n_spans, sum(z - a) AS n_removed, max(z) AS last, string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS head
+  FROM r_pieces JOIN r_bytes USING (rid) GROUP BY rid
+)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE head || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM r_bytes LEFT JOIN r_cut USING (rid)"""
+
 SQL: dict[str, str] = {
+    "op3_lyndon_suffix_dedup": REPEATS,
     "op8_host_quality_rules": f"""
 WITH numbered AS (SELECT row_number() OVER () AS rid, doc_id, source, text FROM documents),
 {MEASURES.format(docs='numbered')},
@@ -62,4 +155,6 @@ WITH numbered AS (SELECT row_number() OVER () AS rid, doc_id, source, text FROM
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND (source IS NULL OR source NOT IN (SELECT source FROM q_rejected)) AS kept
 FROM q_judged""",
+    "op7_count_tree_jaccard": JACCARD,
+    "op10_secret_ownership": SECRETS,
 }
