@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -26,15 +27,21 @@ def create_database(spark: SparkSession, name: str, root: str) -> None:
 
 def check_location(spark: SparkSession, table: str, path: str) -> None:
     """A table that exists already must lie at ``path``."""
-    if not spark.catalog.tableExists(table):
+    location = table_location(spark, table)
+    if location is None:
         return
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(*table.split('.'))}")
-    location = described.where("col_name = 'Location'").first()["data_type"]
     there, here = (qualified(spark, p) for p in (location, path))
     if there != here:
         raise ValueError(f"table {table} lies at {there}, not at {here}")
 
 
+def table_location(spark: SparkSession, table: str) -> str | None:
+    if not spark.catalog.tableExists(table):
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(*table.split('.'))}")
+    return described.where("col_name = 'Location'").first()["data_type"]
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     location, files = hadoop_path(spark, path)
     return files.makeQualified(location).toString().rstrip("/")
@@ -80,7 +87,9 @@ def publish(
 ) -> list[str]:
     """Write a mart to the first environment and copy it on to the next ones.
 
-    The mart is computed once: later environments read the table published just before.
+    The mart is computed once: later environments read the table published just before. Every
+    publication is written to a folder of its own and the table pointed to it afterwards, so a
+    write that fails leaves the last publication in place.
     """
     spark = df.sparkSession
     published: list[str] = []
@@ -88,11 +97,23 @@ def publish(
         create_database(spark, environment, root)
         table = f"{environment}.{model}"
         rows = spark.table(published[-1]) if published else df
-        (
-            rows.write.mode("overwrite")
-            .format("parquet")
-            .option("path", f"{root.rstrip('/')}/{environment}/{model}")
-            .saveAsTable(table)
-        )
+        path = f"{root.rstrip('/')}/{environment}/{model}/{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        point_table(spark, table, path, rows.schema)
         published.append(table)
     return published
+
+
+def point_table(spark: SparkSession, table: str, path: str, schema: T.StructType) -> None:
+    """Make ``table`` show the files at ``path``; the folder it showed before is removed."""
+    name, before = table_name(*table.split(".")), table_location(spark, table)
+    if before and spark.table(table).schema == schema:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {literal(path)}")
+    else:
+        columns = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION {literal(path)}")
+    spark.catalog.refreshTable(table)
+    if before and not qualified(spark, path).startswith(qualified(spark, before)):
+        location, files = hadoop_path(spark, before)
+        files.delete(location, True)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from reportmill.plans.family import run_family
@@ -124,3 +125,19 @@ def test_bounded_write_keeps_the_tasks_of_the_scan(spark):
     rows = spark.range(0, 1000, 1, 100).repartition(4)
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "RoundRobinPartitioning(4)" in plan and "Coalesce" not in plan
+
+
+def test_failed_publication_leaves_the_last_one(spark):
+    root = work_dir(spark)
+    tag = root[-6:]
+    environments = (f"dev_{tag}", f"prd_{tag}")
+    first = spark.range(3).toDF("n")
+    tables = publish(first, "kept", root, environments)
+    broken = spark.range(3).selectExpr("raise_error('no') AS n").selectExpr("cast(n AS bigint) AS n")
+    with pytest.raises(Exception, match="no"):
+        publish(broken, "kept", root, environments)
+    assert [spark.table(t).count() for t in tables] == [3, 3]
+    publish(spark.range(5).toDF("n"), "kept", root, environments)
+    publish(spark.range(6).toDF("other"), "kept", root, environments)
+    assert [spark.table(t).columns for t in tables] == [["other"], ["other"]]
+    assert [spark.table(t).count() for t in tables] == [6, 6]
