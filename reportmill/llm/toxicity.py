@@ -1,6 +1,6 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A word is its hashed embedding and what a small bidirectional network with attention reads from its characters; a second
+A word is the hashed embedding of its stem and what a small bidirectional network with attention reads from its characters; a second
 such network reads the words of a window. A text's score is the highest of its overlapping windows, which cover all of
 it. Words longer than ``WORD_CHARS`` are read as several. Labels are per document, so training picks the highest window
 of each document (first only documents of few windows) and learns from that.
@@ -27,11 +27,12 @@ WINDOW, STRIDE = 160, 120
 WORD_CHARS = 24
 CHAR_ROWS, CHAR_DIM, CHAR_HIDDEN = 512, 8, 8
 WORD_ROWS, WORD_DIM, HIDDEN = 4096, 8, 8
+STEM = 5
 #: At most so many labelled documents of each kind, and windows of each, are used for training.
 MAX_TOXIC, MAX_CLEAN, MAX_WINDOWS = 2000, 3000, 12
 STEPS, BATCH, RATE = 700, 48, 0.01
 #: In training, this share of the words is known by characters only, so that rare words are not learned by heart.
-UNKNOWN = 0.5
+UNKNOWN = 0.6
 CACHE_WORDS = 150_000
 GROUP = 1024
 Params = dict[str, np.ndarray]
@@ -165,7 +166,8 @@ def char_rows(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_rows(words: Sequence[str]) -> np.ndarray:
-    return np.fromiter((zlib.crc32(w.encode()) % WORD_ROWS for w in words), np.int64, len(words))
+    """Table rows by the first letters, a crude stem: inflected and compound words share what is learned."""
+    return np.fromiter((zlib.crc32(w[:STEM].encode()) % WORD_ROWS for w in words), np.int64, len(words))
 
 
 def gates_of(p: Params, level: str, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
