@@ -7,8 +7,9 @@ R-tree over their group counts: the sum of the coordinate minima of a point and
 overlap, and pairs that the bound lets through are verified on the shingle sets.
 
 Only components are wanted, so a pair that is already connected is not verified again and no group emits all its pairs.
-A cell with more members than a task holds is first connected through chunks that all hold its first member; members
-that this leaves in other components than the largest are then compared with all other chunks.
+In a first round a document meets the smallest first member of its cells, in chunks that all hold that member. In a
+second one the cells that still hold several components are gone through; of those with more members than a task holds,
+what is not in the largest component is compared with all the others, chunk by chunk.
 
 Sets: the distinct n-word shingles of the text with A-Z lower-cased; with fewer words the whole sequence as one
 shingle; null, empty and blank texts have an empty set, and are linked with nothing. Sets are compared through 64-bit
@@ -289,48 +290,54 @@ def similar_components(
     rule = Threshold(num, den)
     rows = stored(features(docs, width, rule, id_col, text_col))
     classes = stored(rows.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("row_id").cast("bigint").alias("node")))
+    nodes = classes.where("node IS NOT NULL").select("d1", "node")
+    texts = docs.select(docs[id_col].cast("bigint").alias("node"), text_of(docs, text_col).alias("text")).where("node IS NOT NULL")
     signed = rows.select("d1", F.explode("cells").alias("cell"))
     cells = signed.groupBy("cell").agg(F.min("d1").alias("first"), F.max("d1").alias("last")).where("first <> last").select("cell", "first")
-    pairs = signed.join(hinted(stored(cells), MAX_CELLS), "cell").where("first <> d1").select("first", "d1").distinct()
-    # Nodes that meet: all that share a cell with the first of it. The first one is in every chunk.
-    met = stored(pairs.join(classes.select("d1", "node"), "d1").where("node IS NOT NULL").select("first", "node", "d1"))
+    held = stored(signed.join(hinted(stored(cells), MAX_CELLS), "cell").select("cell", "first", "d1"))
+
+    def linked(rows: DataFrame, key: list[str]) -> DataFrame:
+        rows = stored(rows.select("node", "d1", "part", "probe", "head", F.concat_ws("/", *key).alias("chunk")))
+        rows = texts.join(hinted(rows), "node").repartition("chunk").sortWithinPartitions("chunk", F.desc("head"), "node")
+        return stored(link_chunks(rows.select("chunk", "node", "d1", "part", "probe", "text"), width, rule))
+
+    # Round one: a node meets the smallest first member of all its cells, and whoever else does.
+    met = held.groupBy("d1").agg(F.min("first").alias("first")).where("first <> d1").join(nodes, "d1")
+    met = stored(met.select("first", "node", "d1"))
     sizes = met.groupBy("first").agg(F.count("*").alias("members"))
     spread = F.expr(f"cast(ceil(members / {chunk}) as bigint)")
-    members = met.join(sizes, "first").select("first", "node", "d1", F.pmod(F.xxhash64("node"), spread).alias("chunk_no"), "members")
+    member = met.join(sizes, "first").select("first", "node", "d1", F.pmod(F.xxhash64("node"), spread).alias("chunk_no"), F.lit(False).alias("head"))
     heads = (
         sizes.withColumn("chunk_no", F.explode(F.sequence(F.lit(0).cast("bigint"), spread - 1)))
-        .join(classes.select(F.col("d1").alias("first"), "node", "d1"), "first")
-        .where("node IS NOT NULL")
-        .select("first", "node", "d1", "chunk_no", "members")
+        .join(nodes.withColumnRenamed("d1", "first"), "first")
+        .select("first", "node", F.col("first").alias("d1"), "chunk_no", F.lit(True).alias("head"))
     )
-    texts = docs.select(docs[id_col].cast("bigint").alias("node"), text_of(docs, text_col).alias("text")).where("node IS NOT NULL")
-    with_head = members.unionByName(heads)
-
-    def chunks(rows: DataFrame, key: list[str]) -> DataFrame:
-        rows = stored(rows.select("node", "d1", "part", "probe", "head", F.concat_ws("/", *key).alias("chunk")))
-        rows = texts.join(hinted(rows), "node").repartition("chunk").sortWithinPartitions("chunk", F.desc("head"), "node")
-        return rows.select("chunk", "node", "d1", "part", "probe", "text")
-
-    first_round = with_head.select("first", "node", "d1", "chunk_no", F.col("node").alias("part"), F.lit(True).alias("probe"), (F.col("d1") == F.col("first")).alias("head"))
-    links = stored(link_chunks(chunks(first_round, ["first", "chunk_no"]), width, rule))
+    both = member.unionByName(heads).withColumns({"part": F.col("node"), "probe": F.lit(True)})
+    links = linked(both, ["first", "chunk_no"])
     labels = connected(links)
-    large = members.where(f"members > {chunk}").join(labels, "node", "left").select(
-        "first", "node", "d1", "chunk_no", F.coalesce("label", "node").alias("part")
-    )
-    large = stored(large)
+    # Round two: the members of cells that still hold several components, each pair of components once more.
+    tagged = stored(labels.join(nodes, "node"))
+    tags = tagged.groupBy("label").agg(F.min("d1").alias("tag"))
+    tags = stored(tagged.join(tags, "label").select("d1", "tag").distinct())
+    marked = held.join(hinted(tags), "d1", "left").select("cell", F.coalesce("tag", "d1").alias("tag"))
+    open_cells = marked.groupBy("cell").agg(F.min("tag").alias("a"), F.max("tag").alias("b")).where("a <> b").select("cell")
+    again = held.join(hinted(stored(open_cells), MAX_CELLS), "cell").select("first", "d1").distinct().join(nodes, "d1")
+    again = stored(again.join(hinted(labels), "node", "left").select("first", "node", "d1", F.coalesce("label", "node").alias("part")))
+    sizes = again.groupBy("first").agg(F.count("*").alias("members"))
+    again = again.join(sizes, "first").withColumn("chunk_no", F.pmod(F.xxhash64("node"), spread))
+    small = again.where(f"members <= {chunk}").select("first", F.lit(-1).cast("bigint").alias("probe_no"), "chunk_no", "node", "d1", "part", F.lit(True).alias("probe"))
+    # In large groups what is not in the largest component is compared with all, chunk by chunk.
+    large = stored(again.where(f"members > {chunk}"))
     counted = large.groupBy("first", "part").agg(F.count("*").alias("k"))
-    main = counted.groupBy("first").agg(F.max(F.struct("k", "part")).getField("part").alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    open_ = large.join(main, "first")
-    others = open_.where("part <> main").withColumn("probe_no", F.col("chunk_no"))
-    if not others.isEmpty():
-        probe_chunks = others.select("first", "probe_no").distinct()
-        all_chunks = open_.select("first", "chunk_no").distinct()
-        grid = probe_chunks.join(all_chunks, "first")
-        asked = grid.join(others.select("first", "probe_no", "node", "d1", "part"), ["first", "probe_no"]).withColumn("probe", F.lit(True))
-        held = grid.join(open_.select("first", "chunk_no", "node", "d1", "part"), ["first", "chunk_no"]).withColumn("probe", F.lit(False))
-        both = asked.unionByName(held).groupBy("first", "probe_no", "chunk_no", "node", "d1").agg(F.max("probe").alias("probe"), F.first("part").alias("part"))
-        more = link_chunks(chunks(both.withColumn("head", F.col("probe")), ["first", "probe_no", "chunk_no"]), width, rule)
-        labels = connected(stored(links.unionByName(more)))
+    main = counted.groupBy("first").agg(F.max(F.struct("k", "part")).getField("part").alias("main"))
+    others = large.join(main, "first").where("part <> main").withColumn("probe_no", F.col("chunk_no")).drop("chunk_no")
+    grid = others.select("first", "probe_no").distinct().join(large.select("first", "chunk_no").distinct(), "first")
+    asked = grid.join(others.select("first", "probe_no", "node", "d1", "part"), ["first", "probe_no"]).withColumn("probe", F.lit(True))
+    stay = grid.join(large.select("first", "chunk_no", "node", "d1", "part"), ["first", "chunk_no"]).withColumn("probe", F.lit(False))
+    dealt = asked.unionByName(stay).groupBy("first", "probe_no", "chunk_no", "node", "d1").agg(F.max("probe").alias("probe"), F.first("part").alias("part"))
+    more = linked(small.unionByName(dealt).withColumn("head", F.col("probe")), ["first", "probe_no", "chunk_no"])
+    if not more.isEmpty():
+        labels = connected(links.unionByName(more))
     named = classes.join(labels, "node", "left").select(
         F.col("n").alias("n_"), F.col("d1").alias("d1_"), F.col("d2").alias("d2_"), F.coalesce("label", "node").alias("component")
     )
