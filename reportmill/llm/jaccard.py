@@ -209,6 +209,46 @@ def spanning_links(sets: list[np.ndarray], probes: list[int], rule: Threshold, p
     return links
 
 
+def chunks_of(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[list[tuple]]:
+    """The rows of one chunk after the other, from batches sorted by chunk; the chunk is the first column."""
+    rows: list[tuple] = []
+    for batch in batches:
+        for row in zip(*[batch.column(n).to_pylist() for n in names], strict=True):
+            if rows and row[0] != rows[-1][0]:
+                yield rows
+                rows = []
+            rows.append(row)
+    if rows:
+        yield rows
+
+
+def near_members(rows: DataFrame, rule: Threshold) -> DataFrame:
+    """Of rows sorted by chunk (chunk, node, d1, part, probe, head, counts) those that the tree's bound leaves a partner
+    of another part; either of the two is a probe. No text is read for the others.
+    """
+    names = ["chunk", "node", "d1", "part", "probe", "head"]
+    schema = "chunk string, node bigint, d1 bigint, part bigint, probe boolean, head boolean"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in chunks_of(batches, [*names, "counts"]):
+            points = np.stack([np.frombuffer(row[6], np.int32) for row in group])
+            parts = np.array([row[3] for row in group])
+            tree, keep = CountTree(points), np.zeros(len(group), bool)
+            for i in [k for k, row in enumerate(group) if row[4]]:
+                near = tree.search(points[i], rule)
+                near = near[(parts[near] != parts[i]) & (near != i)]
+                if len(near):
+                    keep[i] = True
+                    keep[near] = True
+            if keep.any():
+                columns = list(zip(*[row[:6] for row, k in zip(group, keep.tolist(), strict=True) if k], strict=True))
+                kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+    ship_package(rows.sparkSession)
+    return rows.select(*names, "counts").mapInArrow(run, schema)
+
+
 def link_chunks(rows: DataFrame, width: int, rule: Threshold) -> DataFrame:
     """``rows``: chunk, node, d1, part, probe, text, sorted by chunk. Returns links (src, dst) between nodes.
 
@@ -218,21 +258,9 @@ def link_chunks(rows: DataFrame, width: int, rule: Threshold) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(width)
-        chunk, nodes, parts, probes, sets, known = None, [], [], [], [], set()
-
-        def links() -> pa.RecordBatch:
-            found = spanning_links(sets, [i for i, p in enumerate(probes) if p], rule, parts) if len(sets) > 1 else []
-            return pa.RecordBatch.from_pydict(
-                {"src": pa.array([nodes[i] for i, _ in found], pa.int64()), "dst": pa.array([nodes[j] for _, j in found], pa.int64())}
-            )
-
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("chunk", "node", "d1", "part", "probe", "text")]
-            for key, node, d1, part, probe, text in zip(*columns, strict=True):
-                if key != chunk:
-                    if sets:
-                        yield links()
-                    chunk, nodes, parts, probes, sets, known = key, [], [], [], [], set()
+        for group in chunks_of(batches, ["chunk", "node", "d1", "part", "probe", "text"]):
+            nodes, parts, probes, sets, known = [], [], [], [], set()
+            for _, node, d1, part, probe, text in group:
                 if (node, d1) in known:
                     continue
                 found = shingle(text)
@@ -243,8 +271,10 @@ def link_chunks(rows: DataFrame, width: int, rule: Threshold) -> DataFrame:
                 parts.append(part)
                 probes.append(probe)
                 sets.append(found)
-        if sets:
-            yield links()
+            if len(sets) > 1:
+                links = spanning_links(sets, [i for i, p in enumerate(probes) if p], rule, parts)
+                ends = [pa.array([nodes[link[k]] for link in links], pa.int64()) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays(ends, names=["src", "dst"])
 
     ship_package(rows.sparkSession)
     return rows.mapInArrow(run, schema)
@@ -255,7 +285,7 @@ def digest(shingles: np.ndarray) -> int:
 
 
 def features(docs: DataFrame, width: int, rule: Threshold, id_col: str, text_col: str) -> DataFrame:
-    """Per row: ``row_id``, set size ``n``, two 64-bit digests of the set, and its ``cells``."""
+    """Per row: ``row_id``, set size ``n``, two 64-bit digests of the set, its ``cells`` and group ``counts``."""
     rows = docs.select(docs[id_col].alias("row_id"), text_of(docs, text_col).alias("text"))
     id_type = rows.schema["row_id"].dataType.simpleString()
 
@@ -265,22 +295,23 @@ def features(docs: DataFrame, width: int, rule: Threshold, id_col: str, text_col
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             nonlocal starts, layouts
-            n, d1, d2, cells = [], [], [], []
+            n, d1, d2, cells, counts = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingle(text)
                 if len(s) >= starts[-2]:
                     starts = rule.classes(2 * len(s))
                     layouts = rule.layouts(starts)
                 n.append(len(s))
+                counts.append(group_counts(s).tobytes())
                 d1.append(digest(s))
                 d2.append(int(np.bitwise_xor.reduce(mix(s ^ U(0x5851F42D4C957F2D))).view(np.int64)) if len(s) else 0)
                 cells.append(signatures(s, rule, starts, layouts) if len(s) else np.zeros(0, np.int64))
-            arrays = [batch.column("row_id"), *[pa.array(v, pa.int64()) for v in (n, d1, d2)], pa.array(cells, pa.list_(pa.int64()))]
-            return pa.RecordBatch.from_arrays(arrays, names=["row_id", "n", "d1", "d2", "cells"])
+            arrays = [batch.column("row_id"), *[pa.array(v, pa.int64()) for v in (n, d1, d2)], pa.array(cells, pa.list_(pa.int64())), pa.array(counts, pa.binary())]
+            return pa.RecordBatch.from_arrays(arrays, names=["row_id", "n", "d1", "d2", "cells", "counts"])
 
         return work
 
-    return map_slices(rows, make, f"row_id {id_type}, n bigint, d1 bigint, d2 bigint, cells array<bigint>")
+    return map_slices(rows, make, f"row_id {id_type}, n bigint, d1 bigint, d2 bigint, cells array<bigint>, counts binary")
 
 
 def similar_components(
@@ -289,52 +320,57 @@ def similar_components(
     """``row_id``, ``n`` (set size) and ``component``: the smallest id reachable by links of similarity >= num / den."""
     rule = Threshold(num, den)
     rows = stored(features(docs, width, rule, id_col, text_col))
-    classes = stored(rows.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("row_id").cast("bigint").alias("node")))
-    nodes = classes.where("node IS NOT NULL").select("d1", "node")
+    classes = stored(rows.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("row_id").cast("bigint").alias("node"), F.first("counts").alias("counts")))
+    nodes = classes.where("node IS NOT NULL").select("d1", "node", "counts")
     texts = docs.select(docs[id_col].cast("bigint").alias("node"), text_of(docs, text_col).alias("text")).where("node IS NOT NULL")
     signed = rows.select("d1", F.explode("cells").alias("cell"))
     cells = signed.groupBy("cell").agg(F.min("d1").alias("first"), F.max("d1").alias("last")).where("first <> last").select("cell", "first")
     held = stored(signed.join(hinted(stored(cells), MAX_CELLS), "cell").select("cell", "first", "d1"))
 
     def linked(rows: DataFrame, key: list[str]) -> DataFrame:
-        rows = stored(rows.select("node", "d1", "part", "probe", "head", F.concat_ws("/", *key).alias("chunk")))
+        rows = rows.select("node", "d1", "part", "probe", "head", "counts", F.concat_ws("/", *key).alias("chunk"))
+        rows = stored(near_members(rows.repartition("chunk").sortWithinPartitions("chunk"), rule))
         rows = texts.join(hinted(rows), "node").repartition("chunk").sortWithinPartitions("chunk", F.desc("head"), "node")
         return stored(link_chunks(rows.select("chunk", "node", "d1", "part", "probe", "text"), width, rule))
 
     # Round one: a node meets the smallest first member of all its cells, and whoever else does.
     met = held.groupBy("d1").agg(F.min("first").alias("first")).where("first <> d1").join(nodes, "d1")
-    met = stored(met.select("first", "node", "d1"))
+    met = stored(met.select("first", "node", "d1", "counts"))
     sizes = met.groupBy("first").agg(F.count("*").alias("members"))
     spread = F.expr(f"cast(ceil(members / {chunk}) as bigint)")
-    member = met.join(sizes, "first").select("first", "node", "d1", F.pmod(F.xxhash64("node"), spread).alias("chunk_no"), F.lit(False).alias("head"))
+    member = met.join(sizes, "first").select(
+        "first", "node", "d1", "counts", F.pmod(F.xxhash64("node"), spread).alias("chunk_no"), F.lit(False).alias("head")
+    )
     heads = (
         sizes.withColumn("chunk_no", F.explode(F.sequence(F.lit(0).cast("bigint"), spread - 1)))
         .join(nodes.withColumnRenamed("d1", "first"), "first")
-        .select("first", "node", F.col("first").alias("d1"), "chunk_no", F.lit(True).alias("head"))
+        .select("first", "node", F.col("first").alias("d1"), "counts", "chunk_no", F.lit(True).alias("head"))
     )
     both = member.unionByName(heads).withColumns({"part": F.col("node"), "probe": F.lit(True)})
     links = linked(both, ["first", "chunk_no"])
     labels = connected(links)
     # Round two: the members of cells that still hold several components, each pair of components once more.
-    tagged = stored(labels.join(nodes, "node"))
+    tagged = stored(labels.join(nodes.drop("counts"), "node"))
     tags = tagged.groupBy("label").agg(F.min("d1").alias("tag"))
     tags = stored(tagged.join(tags, "label").select("d1", "tag").distinct())
     marked = held.join(hinted(tags), "d1", "left").select("cell", F.coalesce("tag", "d1").alias("tag"))
     open_cells = marked.groupBy("cell").agg(F.min("tag").alias("a"), F.max("tag").alias("b")).where("a <> b").select("cell")
     again = held.join(hinted(stored(open_cells), MAX_CELLS), "cell").select("first", "d1").distinct().join(nodes, "d1")
-    again = stored(again.join(hinted(labels), "node", "left").select("first", "node", "d1", F.coalesce("label", "node").alias("part")))
+    again = stored(again.join(hinted(labels), "node", "left").select("first", "node", "d1", "counts", F.coalesce("label", "node").alias("part")))
     sizes = again.groupBy("first").agg(F.count("*").alias("members"))
     again = again.join(sizes, "first").withColumn("chunk_no", F.pmod(F.xxhash64("node"), spread))
-    small = again.where(f"members <= {chunk}").select("first", F.lit(-1).cast("bigint").alias("probe_no"), "chunk_no", "node", "d1", "part", F.lit(True).alias("probe"))
+    small = again.where(f"members <= {chunk}").select("first", F.lit(-1).cast("bigint").alias("probe_no"), "chunk_no", "node", "d1", "counts", "part", F.lit(True).alias("probe"))
     # In large groups what is not in the largest component is compared with all, chunk by chunk.
     large = stored(again.where(f"members > {chunk}"))
     counted = large.groupBy("first", "part").agg(F.count("*").alias("k"))
     main = counted.groupBy("first").agg(F.max(F.struct("k", "part")).getField("part").alias("main"))
     others = large.join(main, "first").where("part <> main").withColumn("probe_no", F.col("chunk_no")).drop("chunk_no")
     grid = others.select("first", "probe_no").distinct().join(large.select("first", "chunk_no").distinct(), "first")
-    asked = grid.join(others.select("first", "probe_no", "node", "d1", "part"), ["first", "probe_no"]).withColumn("probe", F.lit(True))
-    stay = grid.join(large.select("first", "chunk_no", "node", "d1", "part"), ["first", "chunk_no"]).withColumn("probe", F.lit(False))
-    dealt = asked.unionByName(stay).groupBy("first", "probe_no", "chunk_no", "node", "d1").agg(F.max("probe").alias("probe"), F.first("part").alias("part"))
+    asked = grid.join(others.select("first", "probe_no", "node", "d1", "counts", "part"), ["first", "probe_no"]).withColumn("probe", F.lit(True))
+    stay = grid.join(large.select("first", "chunk_no", "node", "d1", "counts", "part"), ["first", "chunk_no"]).withColumn("probe", F.lit(False))
+    dealt = asked.unionByName(stay).groupBy("first", "probe_no", "chunk_no", "node", "d1").agg(
+        F.max("probe").alias("probe"), F.first("part").alias("part"), F.first("counts").alias("counts")
+    )
     more = linked(small.unionByName(dealt).withColumn("head", F.col("probe")), ["first", "probe_no", "chunk_no"])
     if not more.isEmpty():
         labels = connected(links.unionByName(more))
