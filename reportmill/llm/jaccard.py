@@ -93,9 +93,10 @@ class Threshold:
         return n * self.den // self.num
 
     def classes(self, largest: int) -> np.ndarray:
+        """Where size classes start, each as wide as the reach of a size: a linked pair lies in one or in neighbours."""
         starts = [1]
         while starts[-1] <= largest:
-            starts.append(self.partner(self.partner(starts[-1])) + 1)
+            starts.append(self.partner(starts[-1]) + 1)
         return np.array(starts)
 
     def layouts(self, starts: np.ndarray) -> list[tuple[int, int]]:
