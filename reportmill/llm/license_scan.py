@@ -2,47 +2,40 @@
 
 Anchors are words that occur once in both the text window and the template; the longest increasing run of them is kept,
 and the gaps between anchors are aligned in the same way, with equal words at their ends matched. The aligned share of
-the template's words is the coverage. A text is aligned in overlapping windows of three template lengths, and only where
-enough of the template's words lie; a window without them cannot reach the coverage.
+the template's words is the coverage. Besides, the phrases that identify the license (name, version, clause) must be
+aligned word by word. So a text is aligned only around such a phrase, in windows of growing length that hold one copy.
+Every disjoint copy is found. Of templates that align the same words of a text the one with the most aligned words stays,
+so a three-clause text is not a two-clause text besides.
 
 Words are lower-cased and stripped of punctuation. Null and blank texts match nothing; repeated rows match alike; an
-empty table gives an empty result. Only the named columns of the input are read.
+empty table gives an empty result. Only the named columns of the input are read. The templates are a table that is read
+in blocks of bounded size; the result does not depend on the number of blocks.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from math import ceil
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reportmill.llm.common import map_slices, row_hash, text_of
+from reportmill.llm.common import map_slices, row_hash, stored, text_of
+from reportmill.llm.license_templates import Template, all_templates
 
 MIN_COVERAGE = 0.8
 CACHE_WORDS = 300_000
 STRIP = "\"'`.,;:!?()[]{}<>*#|&$%-_/\\"
-#: License notices and the parts of license texts that identify them.
-TEMPLATES: dict[str, str] = {
-    "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
-    "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
-    "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
-    "MIT-notice": "Released under the MIT License.",
-    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
-        compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
-        Unless required by applicable law or agreed to in writing, software distributed under the License is distributed
-        on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License
-        for the specific language governing permissions and limitations under the License.""",
-    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
-        documentation files (the "Software"), to deal in the Software without restriction, including without limitation
-        the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and
-        to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above
-        copyright notice and this permission notice shall be included in all copies or substantial portions of the
-        Software.""",
-    "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
-        hereby granted, provided that the above copyright notice and this permission notice appear in all copies.""",
-}
+#: Characters of templates that one pass over the documents handles.
+BLOCK_CHARS = 4_000_000
+#: The first text of each name.
+TEMPLATES: dict[str, str] = {name: text for name, text, _ in reversed(all_templates())}
+#: Name, aligned words, template words, the words' range in the text, and the aligned words.
+Match = tuple[str, int, int, int, int, list[int]]
+MATCH = "license string, matched bigint, template_words bigint, first_word bigint, end_word bigint"
 
 
 def plain(word: str) -> str:
@@ -94,16 +87,100 @@ def aligned_words(text: Sequence[int], template: Sequence[int]) -> list[tuple[in
     return sorted(pairs)
 
 
+def words_of(text: str) -> list[str]:
+    return [w for w in map(plain, text.split()) if w]
+
+
+def disjoint(matches: Iterable[Match]) -> list[Match]:
+    """Of matches that share more than half of their aligned words the largest; in the order of the text."""
+    taken: set[int] = set()
+    kept = []
+    for match in sorted(matches, key=lambda m: (-m[1], m[2], m[0], m[3], m[4])):
+        if 2 * sum(k in taken for k in match[5]) <= len(match[5]):
+            taken.update(match[5])
+            kept.append(match)
+    return sorted(kept, key=lambda m: (m[3], m[4], m[0]))
+
+
+class Pattern:
+    """A template with its phrases, and the phrase around which texts are aligned."""
+
+    def __init__(self, name: str, words: list[int], phrases: list[list[int]], coverage: float) -> None:
+        self.name, self.words, self.counts = name, words, Counter(words)
+        self.need = ceil(coverage * len(words) - 1e-9)
+        self.phrases = [(len(p), [k for k in range(len(words) - len(p) + 1) if words[k : k + len(p)] == p]) for p in phrases]
+
+    def aligned(self, ids: Sequence[int], low: int, high: int) -> list[tuple[int, int]]:
+        """The aligned words of ``ids[low:high]``, none without coverage or a phrase."""
+        inside = Counter(ids[low:high])
+        if sum(min(n, inside[w]) for w, n in self.counts.items()) < self.need:
+            return []
+        pairs = [(low + a, c) for a, c in aligned_words(ids[low:high], self.words)]
+        if len(pairs) < self.need:
+            return []
+        at = {c: a for a, c in pairs}
+        for length, starts in self.phrases:
+            if not any(s in at and all(at.get(s + k) == at[s] + k for k in range(1, length)) for s in starts):
+                return []
+        return pairs
+
+    def find(self, ids: Sequence[int], places: list[tuple[int, int]], alone: bool, width: int) -> list[Match]:
+        """``places``: text positions of ``width`` words and their places in the template. Each stands for a copy of its own
+        if ``alone``, so that no window holds two.
+        """
+        size, until, found = len(self.words), 0, []
+        for n, (at, place) in enumerate(places):
+            if at < until:
+                continue
+            low, high = until, len(ids)
+            if alone:
+                low = max(low, places[n - 1][0] + width if n else 0)
+                high = places[n + 1][0] if n + 1 < len(places) else high
+            best: list[tuple[int, int]] = []
+            for slack in (0, size // 4 + 1, size):
+                begin = at - place - slack
+                pairs = self.aligned(ids, min(at, max(low, begin)), max(at + width, min(high, begin + size + 2 * slack)))
+                if len(pairs) > len(best):
+                    best = pairs
+                if len(best) == size:
+                    break
+            if best:
+                until = best[-1][0] + 1
+                found.append((self.name, len(best), size, best[0][0], until, [a for a, _ in best]))
+        return found
+
+
 class Scanner:
-    def __init__(self, templates: dict[str, str], coverage: float) -> None:
-        self.coverage = coverage
-        split = {name: [w for w in map(plain, text.split()) if w] for name, text in templates.items()}
-        self.vocab = {w: k for k, w in enumerate(dict.fromkeys(w for words in split.values() for w in words))}
-        self.templates = [(name, [self.vocab[w] for w in words]) for name, words in split.items() if words]
+    def __init__(self, templates: Sequence[Template], coverage: float) -> None:
+        split = [(name, words_of(text), [words_of(k) for k in keys]) for name, text, keys in templates]
+        self.vocab = {w: k for k, w in enumerate(dict.fromkeys(w for _, words, _ in split for w in words))}
+        spread = Counter(w for _, words, _ in split for w in set(words))
+        names = list(self.vocab)
         self.known: dict[str, int] = {}
+        #: By the rarest word of a phrase: the pattern, the phrase, and the word's place in it.
+        self.by_phrase: dict[int, list[tuple[Pattern, list[int], int]]] = {}
+        #: Without phrases: by each of so many words that one of them is aligned in every copy.
+        self.by_word: dict[int, list[Pattern]] = {}
+        for name, words, keys in split:
+            if not words:
+                continue
+            phrases = [[self.vocab.get(w, -3) for w in key] for key in keys if key]
+            pattern = Pattern(name, [self.vocab[w] for w in words], phrases, coverage)
+            if not all(starts for _, starts in pattern.phrases):
+                raise ValueError(f"the template {name} lacks one of its phrases")
+            if phrases:
+                phrase = min(zip(phrases, pattern.phrases, strict=True), key=lambda p: (len(p[1][1]) > 1, -len(p[0])))[0]
+                place = min(range(len(phrase)), key=lambda k: spread[names[phrase[k]]])
+                self.by_phrase.setdefault(phrase[place], []).append((pattern, phrase, place))
+            else:
+                left = len(words) - pattern.need + 1
+                for word in sorted(pattern.counts, key=lambda w: pattern.counts[w]):
+                    if left <= 0:
+                        break
+                    left -= pattern.counts[word]
+                    self.by_word.setdefault(word, []).append(pattern)
 
-    def __call__(self, text: str) -> list[tuple[str, int, int, int, int]]:
-        """For each template found: name, aligned words, template words, and the words' range in the text."""
+    def words(self, text: str) -> list[int]:
         if len(self.known) > CACHE_WORDS:
             self.known = {}
         known, ids = self.known, []
@@ -114,56 +191,120 @@ class Scanner:
                 number = known[word] = self.vocab.get(bare, -1) if bare else -2
             if number != -2:
                 ids.append(number)
+        return ids
+
+    def __call__(self, text: str) -> list[Match]:
+        """All matches of each template, disjoint within a template."""
+        ids = self.words(text)
         present = set(ids)
-        found = []
-        for name, template in self.templates:
-            need = self.coverage * len(template)
-            words = Counter(template)
-            if sum(n for w, n in words.items() if w in present) < need:
-                continue
-            best = None
-            hits = [k for k, w in enumerate(ids) if w in words]
-            span, until = 3 * len(template), -1
-            for start in hits:
-                if start < until:
-                    continue
-                window = ids[start : start + span]
-                inside = Counter(window)
-                if sum(min(n, inside[w]) for w, n in words.items()) < need:
-                    continue
-                pairs = aligned_words(window, template)
-                if len(pairs) < need:
+        hot = present & (self.by_phrase.keys() | self.by_word.keys())
+        if not hot:
+            return []
+        where: dict[int, list[int]] = {}
+        for k, w in enumerate(ids):
+            if w in hot:
+                where.setdefault(w, []).append(k)
+        found: list[Match] = []
+        loose: dict[int, tuple[Pattern, set[tuple[int, int]]]] = {}
+        for word in sorted(hot):
+            for pattern, phrase, place in self.by_phrase.get(word, ()):
+                if sum(n for w, n in pattern.counts.items() if w in present) < pattern.need:
                     continue
-                # This window holds three template lengths; half of one further is soon enough for the next copy.
-                until = start + max(1, len(template) // 2)
-                if best is None or len(pairs) > best[0]:
-                    best = (len(pairs), start + pairs[0][0], start + pairs[-1][0] + 1)
-            if best:
-                found.append((name, best[0], len(template), best[1], best[2]))
+                begins = [k - place for k in where[word] if k >= place and ids[k - place : k - place + len(phrase)] == phrase]
+                if begins:
+                    starts = next(starts for length, starts in pattern.phrases if pattern.words[starts[0] : starts[0] + length] == phrase)
+                    places = [(k, s) for k in begins for s in starts]
+                    found += pattern.find(ids, places, len(starts) == 1, len(phrase))
+            for pattern in self.by_word.get(word, ()):
+                if sum(n for w, n in pattern.counts.items() if w in present) >= pattern.need:
+                    _, places_ = loose.setdefault(id(pattern), (pattern, set()))
+                    places_.update((k, s) for k in where[word] for s, w in enumerate(pattern.words) if w == word)
+        for pattern, places_ in loose.values():
+            found += pattern.find(ids, sorted(places_), False, 1)
         return found
 
 
-def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = MIN_COVERAGE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document and template found: ``row_id``, ``row_hash``, ``license``, ``matched``, ``template_words``,
+def template_table(spark: SparkSession) -> DataFrame:
+    """The built-in templates: ``license``, ``text`` and ``phrases``, which must be aligned as they are."""
+    return spark.createDataFrame([(n, t, list(k)) for n, t, k in all_templates()], "license string, text string, phrases array<string>")
+
+
+def scan(
+    docs: DataFrame,
+    templates: DataFrame | dict[str, str] | None = None,
+    coverage: float = MIN_COVERAGE,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    block_chars: int = BLOCK_CHARS,
+) -> DataFrame:
+    """One row per copy of a template found: ``row_id``, ``row_hash``, ``license``, ``matched``, ``template_words``,
     and the first and last word, counting from 0, the end exclusive.
+
+    ``templates`` is a table like ``template_table``, or texts by name, which have no phrases.
     """
-    templates = TEMPLATES if templates is None else templates
+    spark = docs.sparkSession
     rows = docs.select(docs[id_col].alias("row_id"), row_hash(docs, id_col, text_col).alias("row_hash"), text_of(docs, text_col).alias("text"))
     id_type = rows.schema["row_id"].dataType.simpleString()
+    if isinstance(templates, DataFrame):
+        table = templates.select("license", "text", "phrases").where("license IS NOT NULL AND text IS NOT NULL")
+        total = table.agg(F.sum(F.length("text"))).first()[0] or 0
+        blocks = max(1, -(-total // block_chars))
+        # About block_chars characters at any number of templates.
+        block = F.pmod(F.xxhash64("license", "text"), F.lit(blocks))
+        parts = lambda k: [(r["license"], r["text"], tuple(r["phrases"] or ())) for r in table.where(block == k).collect()]
+    else:
+        fixed: list[Template] = all_templates() if templates is None else [(name, text, ()) for name, text in templates.items()]
+        dealt: list[list[Template]] = [[]]
+        size = 0
+        for template in fixed:
+            if size and size + len(template[1]) > block_chars:
+                dealt.append([])
+                size = 0
+            dealt[-1].append(template)
+            size += len(template[1])
+        blocks, parts = len(dealt), dealt.__getitem__
+
+    def passed(rows: DataFrame, block: int, final: bool) -> DataFrame:
+        sent = spark.sparkContext.broadcast(parts(block))
+
+        def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+            scanner = Scanner(sent.value, coverage)
+
+            def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+                found = [(k, *hit) for k, text in enumerate(batch.column("text").to_pylist()) for hit in (disjoint(scanner(text)) if final else scanner(text))]
+                columns = list(zip(*found, strict=True)) if found else [()] * 7
+                take = pa.array(columns[0], pa.int64())
+                arrays = [batch.column("row_id").take(take), batch.column("row_hash").take(take), pa.array(columns[1], pa.string())]
+                arrays += [pa.array(c, pa.int64()) for c in columns[2:6]]
+                names = ["row_id", "row_hash", "license", "matched", "template_words", "first_word", "end_word"]
+                if not final:
+                    arrays += [pa.array(columns[6], pa.list_(pa.int64())), batch.column("row_no").take(take)]
+                    names += ["aligned", "row_no"]
+                return pa.RecordBatch.from_arrays(arrays, names=names)
+
+            return work
+
+        return map_slices(rows, make, f"row_id {id_type}, row_hash bigint, {MATCH}" + ("" if final else ", aligned array<bigint>, row_no bigint"))
 
-    def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        scanner = Scanner(templates, coverage)
+    if blocks == 1:
+        return passed(rows, 0, True)
+    rows = stored(rows.withColumn("row_no", F.monotonically_increasing_id()))
+    found = passed(rows, 0, False)
+    for block_no in range(1, blocks):
+        found = found.union(passed(rows, block_no, False))
+    # At most the copies within one text.
+    hits = F.collect_list(F.struct("license", "matched", "template_words", "first_word", "end_word", "aligned")).alias("hits")
+    gathered = found.groupBy("row_no").agg(F.first("row_id").alias("row_id"), F.first("row_hash").alias("row_hash"), hits)
 
+    def choose() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [(k, *hit) for k, text in enumerate(batch.column("text").to_pylist()) for hit in scanner(text)]
-            columns = list(zip(*found, strict=True)) if found else [()] * 6
+            kept = [(k, *m) for k, hits in enumerate(batch.column("hits").to_pylist()) for m in disjoint(tuple(h.values()) for h in hits)]
+            columns = list(zip(*kept, strict=True)) if kept else [()] * 7
             take = pa.array(columns[0], pa.int64())
-            return pa.RecordBatch.from_arrays(
-                [batch.column("row_id").take(take), batch.column("row_hash").take(take), pa.array(columns[1], pa.string())]
-                + [pa.array(c, pa.int64()) for c in columns[2:]],
-                names=["row_id", "row_hash", "license", "matched", "template_words", "first_word", "end_word"],
-            )
+            arrays = [batch.column("row_id").take(take), batch.column("row_hash").take(take), pa.array(columns[1], pa.string())]
+            arrays += [pa.array(c, pa.int64()) for c in columns[2:6]]
+            return pa.RecordBatch.from_arrays(arrays, names=["row_id", "row_hash", "license", "matched", "template_words", "first_word", "end_word"])
 
         return work
 
-    return map_slices(rows, make, f"row_id {id_type}, row_hash bigint, license string, matched bigint, template_words bigint, first_word bigint, end_word bigint")
+    return map_slices(gathered.withColumn("size", F.lit("")), choose, f"row_id {id_type}, row_hash bigint, {MATCH}", "size")
