@@ -5,9 +5,10 @@ segment with at most k edits leaves one piece as it is, so exact piece hits (one
 candidate place. Each place is verified with Myers' bit-parallel edit distance, many places at a time in numpy.
 
 Both sides are lower-cased and runs of white space count as one blank. Null and empty texts match nothing; items with
-fewer than ``MIN_CHARS`` characters are not searched, as they tell nothing about a leak. Repeated items count under each
-of their ids, repeated rows are all marked. Empty tables give an empty result. The items are a query set: they are read
-in blocks of bounded size, and each block is matched against all documents.
+fewer than ``MIN_CHARS`` characters are matched without edits and at word bounds only. Repeated items count under each
+of their ids, all items without an id together under the null id. Repeated rows each give a row. Empty tables give an
+empty result. The items are a query set: they are read in blocks of bounded size, and each block is matched against all
+documents; the result does not depend on the number of blocks.
 """
 
 from __future__ import annotations
@@ -19,12 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reportmill.llm.common import row_hash, ship_package, slices, text_of
+from reportmill.llm.common import row_hash, ship_package, slices, stored, text_of
 
 #: One edit is allowed for so many characters; pieces are about as long.
 CHARS_PER_EDIT = 16
 #: Segments have at least so many characters, unless the item is shorter.
 SEGMENT = 100
+#: Shorter items are matched as they are, as whole words.
 MIN_CHARS = 24
 #: Characters of test items that one pass over the documents handles.
 BLOCK_CHARS = 2_000_000
@@ -93,16 +95,27 @@ def myers(patterns: Sequence[str], windows: Sequence[str]) -> np.ndarray:
     return best
 
 
+def whole(text: str, start: int, end: int) -> bool:
+    """Whether no word goes on beyond either end of ``text[start:end]``."""
+    word = lambda k: 0 <= k < len(text) and (text[k].isalnum() or text[k] == "_")
+    return not (word(start - 1) and word(start)) and not (word(end - 1) and word(end))
+
+
 class Matcher:
     """Finds all (item, distance) that a text holds, for one block of items."""
 
-    def __init__(self, items: Sequence[tuple[int, str]], size: int, chars_per_edit: int) -> None:
+    def __init__(self, items: Sequence[tuple[int | None, str]], size: int, chars_per_edit: int) -> None:
         import ahocorasick
 
-        self.segments: list[tuple[str, int, list[int]]] = []
+        self.segments: list[tuple[str, int, list[int | None]]] = []
+        self.short: dict[str, set[int | None]] = {}
         known: dict[str, int] = {}
         places: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
+            if len(text) < MIN_CHARS:
+                if text:
+                    self.short.setdefault(text, set()).add(item_id)
+                continue
             for part in segments(text, size):
                 if part in known:
                     self.segments[known[part]][2].append(item_id)
@@ -113,21 +126,23 @@ class Matcher:
                 for offset, piece in cut:
                     places.setdefault(piece, []).append((number, offset))
         self.automaton = ahocorasick.Automaton()
-        for piece, where in places.items():
-            self.automaton.add_word(piece, (len(piece), where))
-        if places:
+        for piece in places.keys() | self.short.keys():
+            self.automaton.add_word(piece, (len(piece), places.get(piece, []), piece if piece in self.short else None))
+        if len(self.automaton):
             self.automaton.make_automaton()
 
-    def __call__(self, texts: Sequence[str]) -> list[dict[int, int]]:
+    def __call__(self, texts: Sequence[str]) -> list[dict[int | None, int]]:
         """For each text the items found and their smallest distance."""
-        found: list[dict[int, int]] = [{} for _ in texts]
-        if not self.segments:
+        found: list[dict[int | None, int]] = [{} for _ in texts]
+        if not len(self.automaton):
             return found
         open_: list[tuple[int, int, str]] = []
         for k, text in enumerate(map(normal, texts)):
             starts: set[tuple[int, int]] = set()
             exact: set[int] = set()
-            for end, (length, where) in self.automaton.iter(text):
+            for end, (length, where, short) in self.automaton.iter(text):
+                if short is not None and whole(text, end + 1 - length, end + 1):
+                    found[k].update(dict.fromkeys(self.short[short], 0))
                 for number, offset in where:
                     starts.add((number, end + 1 - length - offset))
             for number, start in starts:
@@ -145,11 +160,11 @@ class Matcher:
         self._verify(open_, found)
         return found
 
-    def _note(self, found: dict[int, int], number: int, distance: int) -> None:
+    def _note(self, found: dict[int | None, int], number: int, distance: int) -> None:
         for item_id in self.segments[number][2]:
             found[item_id] = min(distance, found.get(item_id, distance))
 
-    def _verify(self, places: list[tuple[int, int, str]], found: list[dict[int, int]]) -> None:
+    def _verify(self, places: list[tuple[int, int, str]], found: list[dict[int | None, int]]) -> None:
         places = sorted({p for p in places if p[2]}, key=lambda p: len(self.segments[p[1]][0]))
         for at in range(0, len(places), BATCH):
             part = places[at : at + BATCH]
@@ -159,6 +174,10 @@ class Matcher:
                     self._note(found[k], number, distance)
 
 
+def null_first(entry: tuple[int | None, int]) -> tuple[bool, int]:
+    return entry[0] is not None, entry[0] or 0
+
+
 def find_leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -172,19 +191,22 @@ def find_leaks(
 ) -> DataFrame:
     """``row_id``, ``row_hash`` and ``leaks``, an array of (item_id, distance), of the documents that hold a segment of an item."""
     spark = docs.sparkSession
-    wanted = items.select(items[item_id_col].cast("bigint").alias("item_id"), text_of(items, item_text_col).alias("text")).where("item_id IS NOT NULL")
+    wanted = items.select(items[item_id_col].cast("bigint").alias("item_id"), text_of(items, item_text_col).alias("text"))
     total = wanted.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_chars))
     rows = docs.select(docs[id_col].alias("row_id"), row_hash(docs, id_col, text_col).alias("row_hash"), text_of(docs, text_col).alias("text"))
-    id_type = rows.schema["row_id"].dataType.simpleString()
-    schema = f"row_id {id_type}, row_hash bigint, leaks array<struct<item_id:bigint,distance:int>>"
+    if blocks > 1:
+        rows = stored(rows.withColumn("row_no", F.monotonically_increasing_id()))
+    keys = [c for c in rows.columns if c != "text"]
+    leaks_type = "array<struct<item_id:bigint,distance:int>>"
+    schema = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys) + f", leaks {leaks_type}"
     leak = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32())]))
     ship_package(spark)
 
     def passed(block: int) -> DataFrame:
         # About block_chars characters at any size of the test set.
         part = [(r["item_id"], normal(r["text"])) for r in wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()]
-        sent = spark.sparkContext.broadcast([p for p in part if len(p[1]) >= MIN_CHARS])
+        sent = spark.sparkContext.broadcast(part)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             import pyarrow.compute  # noqa: F401
@@ -194,8 +216,8 @@ def find_leaks(
                 for rows in slices(batch):
                     leaks = matcher(rows.column("text").to_pylist())
                     hit = pa.array([bool(x) for x in leaks], pa.bool_())
-                    values = pa.array([[{"item_id": i, "distance": d} for i, d in sorted(x.items())] for x in leaks if x], leak)
-                    yield pa.RecordBatch.from_arrays([rows.column("row_id").filter(hit), rows.column("row_hash").filter(hit), values], names=["row_id", "row_hash", "leaks"])
+                    values = pa.array([[{"item_id": i, "distance": d} for i, d in sorted(x.items(), key=null_first)] for x in leaks if x], leak)
+                    yield pa.RecordBatch.from_arrays([*[rows.column(k).filter(hit) for k in keys], values], names=[*keys, "leaks"])
 
         return rows.mapInArrow(run, schema)
 
@@ -204,5 +226,9 @@ def find_leaks(
     out = passed(0)
     for block in range(1, blocks):
         out = out.union(passed(block))
-    # At most one entry per test item and row.
-    return out.groupBy("row_id", "row_hash").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("leaks")))).alias("leaks"))
+    # One entry per test item and row, with the smallest distance of all blocks.
+    each = out.select(*keys, F.inline("leaks")).groupBy(*keys, "item_id").agg(F.min("distance").alias("distance"))
+    gathered = each.groupBy("row_no").agg(
+        F.first("row_id").alias("row_id"), F.first("row_hash").alias("row_hash"), F.sort_array(F.collect_list(F.struct("item_id", "distance"))).alias("leaks")
+    )
+    return gathered.select("row_id", "row_hash", "leaks")
