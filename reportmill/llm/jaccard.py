@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reportmill.llm.common import hinted, map_slices, ship_package, stored, text_of
+from reportmill.llm.common import hinted, map_slices, row_hash, rows_without, ship_package, stored, text_of
 from reportmill.llm.components import connected
 
 GROUPS = 64
@@ -285,10 +285,10 @@ def digest(shingles: np.ndarray) -> int:
     return int(np.add.reduce(mix(shingles + U(7))).view(np.int64)) if len(shingles) else 0
 
 
-def features(docs: DataFrame, width: int, rule: Threshold, id_col: str, text_col: str) -> DataFrame:
-    """Per row: ``row_id``, set size ``n``, two 64-bit digests of the set, its ``cells`` and group ``counts``."""
-    rows = docs.select(docs[id_col].alias("row_id"), text_of(docs, text_col).alias("text"))
-    id_type = rows.schema["row_id"].dataType.simpleString()
+def features(docs: DataFrame, width: int, rule: Threshold, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: ``row_id``, set size ``n``, two 64-bit digests of the set, its ``cells``, group ``counts`` and the columns ``carry``."""
+    rows = docs.select(docs[id_col].alias("row_id"), text_of(docs, text_col).alias("text"), *[docs[c] for c in carry])
+    types = {c: rows.schema[c].dataType.simpleString() for c in ("row_id", *carry)}
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         shingle, starts = Shingler(width), rule.classes(1 << 12)
@@ -308,19 +308,21 @@ def features(docs: DataFrame, width: int, rule: Threshold, id_col: str, text_col
                 d2.append(int(np.bitwise_xor.reduce(mix(s ^ U(0x5851F42D4C957F2D))).view(np.int64)) if len(s) else 0)
                 cells.append(signatures(s, rule, starts, layouts) if len(s) else np.zeros(0, np.int64))
             arrays = [batch.column("row_id"), *[pa.array(v, pa.int64()) for v in (n, d1, d2)], pa.array(cells, pa.list_(pa.int64())), pa.array(counts, pa.binary())]
-            return pa.RecordBatch.from_arrays(arrays, names=["row_id", "n", "d1", "d2", "cells", "counts"])
+            arrays += [batch.column(c) for c in carry]
+            return pa.RecordBatch.from_arrays(arrays, names=["row_id", "n", "d1", "d2", "cells", "counts", *carry])
 
         return work
 
-    return map_slices(rows, make, f"row_id {id_type}, n bigint, d1 bigint, d2 bigint, cells array<bigint>, counts binary")
+    schema = f"row_id {types['row_id']}, n bigint, d1 bigint, d2 bigint, cells array<bigint>, counts binary"
+    return map_slices(rows, make, schema + "".join(f", {c} {types[c]}" for c in carry))
 
 
 def similar_components(
-    docs: DataFrame, width: int = 5, num: int = 8, den: int = 10, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK
+    docs: DataFrame, width: int = 5, num: int = 8, den: int = 10, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, carry: tuple[str, ...] = ()
 ) -> DataFrame:
-    """``row_id``, ``n`` (set size) and ``component``: the smallest id reachable by links of similarity >= num / den."""
+    """``row_id``, ``n`` (set size), ``component``, the smallest id reachable by links of similarity >= num / den, and the columns ``carry``."""
     rule = Threshold(num, den)
-    rows = stored(features(docs, width, rule, id_col, text_col))
+    rows = stored(features(docs, width, rule, id_col, text_col, carry))
     classes = stored(rows.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("row_id").cast("bigint").alias("node"), F.first("counts").alias("counts")))
     nodes = classes.where("node IS NOT NULL").select("d1", "node", "counts")
     texts = docs.select(docs[id_col].cast("bigint").alias("node"), text_of(docs, text_col).alias("text")).where("node IS NOT NULL")
@@ -379,15 +381,23 @@ def similar_components(
         F.col("n").alias("n_"), F.col("d1").alias("d1_"), F.col("d2").alias("d2_"), F.coalesce("label", "node").alias("component")
     )
     same = (rows.n == named.n_) & (rows.d1 == named.d1_) & (rows.d2 == named.d2_)
-    return rows.join(named, same, "left").select("row_id", "n", F.coalesce("component", F.col("row_id").cast("bigint")).alias("component"))
+    return rows.join(named, same, "left").select("row_id", "n", F.coalesce("component", F.col("row_id").cast("bigint")).alias("component"), *carry)
 
 
 def keep_one(docs: DataFrame, width: int = 5, num: int = 8, den: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents whose id is the smallest of their component, of repeated rows one. Rows without an id stay."""
-    found = stored(similar_components(docs, width, num, den, id_col, text_col))
-    dropped = found.where("row_id IS NOT NULL AND component <> row_id").select("row_id").distinct()
-    dropped = hinted(stored(dropped))
-    kept = docs.join(dropped, docs[id_col] == dropped["row_id"], "left_anti")
-    if found.where("row_id IS NOT NULL").groupBy("row_id").count().where("count > 1").isEmpty():
+    """Of each component the rows with the smallest id, one without an id only if there is no other; of repeated rows one.
+
+    Rows are told apart by id and text: components are linked by ``row_hash``, so an id that several texts share, or that
+    is null, neither joins texts nor drops one for the other.
+    """
+    rows = docs.select(row_hash(docs, id_col, text_col).alias("key"), docs[id_col].alias("own_id"), text_of(docs, text_col).alias("text"))
+    found = stored(similar_components(rows, width, num, den, "key", "text", carry=("own_id",)))
+    order = F.struct(F.col("own_id").isNull().alias("last"), "own_id", "row_id")
+    several = found.groupBy("component").agg(F.min("row_id").alias("a"), F.max("row_id").alias("b"), F.min(order).getField("row_id").alias("stays"))
+    several = hinted(stored(several.where("a <> b").select("component", "stays")))
+    dropped = found.join(several, "component").where("row_id <> stays")
+    kept = rows_without(docs, dropped.select(F.col("own_id").alias("row_id"), F.col("row_id").alias("row_hash")), id_col, text_col)
+    if found.groupBy("row_id").count().where("count > 1").isEmpty():
         return kept
-    return kept.where(docs[id_col].isNotNull()).dropDuplicates([id_col]).union(kept.where(docs[id_col].isNull()))
+    name = "_".join(["key", *docs.columns])  # clashes with no column
+    return kept.withColumn(name, row_hash(docs, id_col, text_col)).dropDuplicates([name]).select(*docs.columns)
