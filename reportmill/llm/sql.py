@@ -146,6 +146,14 @@ SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed
   sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE head || substr(h, 2 * last + 1) END)) AS kept_sha256
 FROM r_bytes LEFT JOIN r_cut USING (rid)"""
 
+COPIES = """
+WITH c_docs AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM c_docs"""
+
 SQL: dict[str, str] = {
     "op3_lyndon_suffix_dedup": REPEATS,
     "op8_host_quality_rules": f"""
@@ -157,4 +165,5 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM q_judged""",
     "op7_count_tree_jaccard": JACCARD,
     "op10_secret_ownership": SECRETS,
+    "op13_chunk_recipe_dedup": COPIES,
 }
