@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportmill.llm import bpe, chunk_recipes, decontaminate, jaccard, license_scan, quality_rules, secret_scan, sharding, substrings, token_counts, toxicity
+from reportmill.llm import bpe, chunk_recipes, decontaminate, jaccard, license_scan, quality_rules, secret_scan, sharding, spelling, substrings, token_counts, toxicity
 from reportmill.llm.common import read_table
 from reportmill.llm.sql import SQL
 
@@ -87,6 +87,11 @@ def op6_bounded_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_banded_list_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = spelling.count_words(read_table(spark, sf_dir, "documents"), damage=199)
+    return spelling.variants(counted.where("n >= 5"))
+
+
 def op13_chunk_recipe_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = chunk_recipes.find_copies(read_table(spark, sf_dir, "documents"))
     return found.select(F.col("row_id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
@@ -103,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_host_quality_rules": op8_host_quality_rules,
     "op9_patience_licenses": op9_patience_licenses,
     "op10_secret_ownership": op10_secret_ownership,
+    "op11_banded_list_variants": op11_banded_list_variants,
     "op13_chunk_recipe_dedup": op13_chunk_recipe_dedup,
 }
 ORACLE: dict[str, str] = {name: sql for name, sql in SQL.items() if name in QUERIES}

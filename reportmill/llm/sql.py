@@ -154,6 +154,48 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
   row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
 FROM c_docs"""
 
+#: CRC-32 goes byte by byte through its table; of two near words one is the other, or both are the same, without a letter.
+VARIANTS = """
+WITH RECURSIVE v_table AS (
+  SELECT list_transform(range(256), lambda k: list_reduce(list_concat([k], range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS crc_table
+), v_runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' AS head, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+  FROM documents
+), v_long AS (
+  SELECT head, run, count(*) AS n FROM v_runs WHERE length(run) >= 6 GROUP BY ALL
+), v_heads AS (
+  SELECT head, list_reduce(list_concat([4294967295], list_transform(string_split(head, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])) AS start
+  FROM (SELECT DISTINCT head FROM v_long), v_table
+), v_bytes AS (
+  SELECT run, flatten(list_transform(string_split(run, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT]
+    ELSE [192 + (unicode(x)::BIGINT >> 6), 128 + (unicode(x)::BIGINT & 63)] END)) AS codes FROM (SELECT DISTINCT run FROM v_long)
+), v_hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_concat([start], codes), lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1]))) AS h
+  FROM v_long JOIN v_heads USING (head) JOIN v_bytes USING (run), v_table
+), v_words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM v_hashed
+  ) WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), v_cuts AS (
+  SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v_words)
+), v_near AS (
+  SELECT x.word, y.word AS other FROM v_cuts x JOIN v_cuts y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word AND length(x.word) = length(y.word)
+  UNION SELECT word, rest FROM v_cuts WHERE rest IN (SELECT word FROM v_words)
+  UNION SELECT rest, word FROM v_cuts WHERE rest IN (SELECT word FROM v_words)
+), v_best AS (
+  SELECT v.word, v.n, count(*) AS n_near, max(o.n) AS best_n, (list(other ORDER BY o.n DESC, other))[1] AS best
+  FROM v_near JOIN v_words v USING (word) JOIN v_words o ON o.word = other GROUP BY v.word, v.n
+), v_forms AS (
+  SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN best_n >= 5 * v.n THEN best END AS form, CASE WHEN best_n >= 5 * v.n THEN best_n END AS form_n
+  FROM v_words v LEFT JOIN v_best USING (word)
+), v_ways AS (
+  SELECT word, word AS root, 0 AS step FROM v_forms
+  UNION ALL SELECT w.word, f.form, step + 1 FROM v_ways w JOIN v_forms f ON f.word = w.root WHERE f.form IS NOT NULL
+)
+SELECT word, form, root, n, n_near, form_n::BIGINT AS form_n
+FROM v_forms JOIN (SELECT word, arg_max(root, step) AS root FROM v_ways GROUP BY word) USING (word)"""
+
 SQL: dict[str, str] = {
     "op3_lyndon_suffix_dedup": REPEATS,
     "op8_host_quality_rules": f"""
@@ -165,5 +207,6 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM q_judged""",
     "op7_count_tree_jaccard": JACCARD,
     "op10_secret_ownership": SECRETS,
+    "op11_banded_list_variants": VARIANTS,
     "op13_chunk_recipe_dedup": COPIES,
 }
