@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportmill.llm import bpe, chunk_recipes, decontaminate, jaccard, license_scan, quality_rules, secret_scan, sharding, spelling, substrings, token_counts, toxicity
+from reportmill.llm import bpe, chunk_recipes, decontaminate, jaccard, license_scan, prefix_trie, quality_rules, secret_scan, sharding, spelling, substrings, token_counts, toxicity
 from reportmill.llm.common import read_table
 from reportmill.llm.sql import SQL
 
@@ -92,6 +92,12 @@ def op11_banded_list_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(counted.where("n >= 5"))
 
 
+def op12_block_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations")
+    convs = prefix_trie.conversations(turns)
+    return prefix_trie.trie_of(prefix_trie.borrow_starts(prefix_trie.turn_steps(turns), convs), convs)
+
+
 def op13_chunk_recipe_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = chunk_recipes.find_copies(read_table(spark, sf_dir, "documents"))
     return found.select(F.col("row_id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
@@ -109,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_patience_licenses": op9_patience_licenses,
     "op10_secret_ownership": op10_secret_ownership,
     "op11_banded_list_variants": op11_banded_list_variants,
+    "op12_block_prefix_trie": op12_block_prefix_trie,
     "op13_chunk_recipe_dedup": op13_chunk_recipe_dedup,
 }
 ORACLE: dict[str, str] = {name: sql for name, sql in SQL.items() if name in QUERIES}

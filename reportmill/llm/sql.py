@@ -196,6 +196,40 @@ WITH RECURSIVE v_table AS (
 SELECT word, form, root, n, n_near, form_n::BIGINT AS form_n
 FROM v_forms JOIN (SELECT word, arg_max(root, step) AS root FROM v_ways GROUP BY word) USING (word)"""
 
+TRIE = """
+WITH t_table AS (
+  SELECT list_transform(range(256), lambda k: list_reduce(list_concat([k], range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS crc_table
+), t_turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS t,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), t_convs AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base,
+    xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1]))) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM t_turns), t_table
+), t_rebuilt AS (
+  SELECT c.conv_id, 0 AS part, pos, role, t FROM t_convs c JOIN t_turns o ON o.conv_id = c.base AND pos <= h
+  UNION ALL SELECT conv_id, 1, pos, role, t FROM t_convs JOIN t_turns USING (conv_id) WHERE pos > h
+), t_paths AS (
+  SELECT conv_id, row_number() OVER w AS depth, strlen(t) AS bytes, string_agg(md5(length(role) || ':' || role || t), '') OVER w AS path
+  FROM t_rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM t_convs
+), t_nodes AS (
+  SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes FROM t_paths GROUP BY depth, path
+), t_kids AS (
+  SELECT left(path, length(path) - 32) AS path, count(*) AS n_children FROM t_nodes WHERE depth > 0 GROUP BY 1
+), t_ends AS (
+  SELECT path, string_agg(conv_id, ',' ORDER BY conv_id) AS ids FROM (SELECT conv_id, arg_max(path, depth) AS path FROM t_paths GROUP BY conv_id) GROUP BY path
+), t_sums AS (
+  SELECT left(n.path, 32 * up) AS path, count(*) FILTER (n_children IS NULL) AS n_leaves, sum((n_convs - 1) * bytes) AS saved
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM t_nodes) n LEFT JOIN t_kids k ON k.path = n.path GROUP BY 1
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs, coalesce(n_children, 0)::BIGINT AS n_children,
+  n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM t_nodes n JOIN t_sums s ON s.path = n.path LEFT JOIN t_kids k ON k.path = n.path LEFT JOIN t_ends e ON e.path = n.path
+LEFT JOIN t_nodes p ON n.depth > 0 AND p.path = left(n.path, length(n.path) - 32)"""
+
 SQL: dict[str, str] = {
     "op3_lyndon_suffix_dedup": REPEATS,
     "op8_host_quality_rules": f"""
@@ -208,5 +242,6 @@ FROM q_judged""",
     "op7_count_tree_jaccard": JACCARD,
     "op10_secret_ownership": SECRETS,
     "op11_banded_list_variants": VARIANTS,
+    "op12_block_prefix_trie": TRIE,
     "op13_chunk_recipe_dedup": COPIES,
 }
