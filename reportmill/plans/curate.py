@@ -36,4 +36,5 @@ def curate_report(
     """
     if first_file(spark, source) is None:
         return UpsertResult(0, 0, [])
-    return curate_frame(scan_delimited(spark, source, **read_options), spec, target, table)
+    options = {"multiLine": spec.multi_line, **read_options}
+    return curate_frame(scan_delimited(spark, source, **options), spec, target, table)

@@ -67,8 +67,12 @@ def run_family(
     curated_db: str = "curated",
     environments: tuple[str, ...] = ("dev", "prd"),
     at_once: int = 4,
+    run_one: Callable[..., ReportRun] = run_report,
 ) -> list[ReportRun]:
-    """All reports; they do not depend on each other, so a few are submitted side by side."""
+    """All reports; they do not depend on each other, so a few are submitted side by side.
+
+    ``run_one`` is :func:`run_report`, or ``refresh_report`` for tables that are kept up to date day by day.
+    """
     create_database(spark, curated_db, target_root)
     for environment in environments:
         create_database(spark, environment, marts_root)
@@ -76,7 +80,7 @@ def run_family(
     def run(spec: ReportSpec) -> ReportRun:
         source = source_of(spec) if source_of else report_path(source_root, platform, spec.report_type)
         target = report_path(target_root, platform, spec.report_type)
-        return run_report(
+        return run_one(
             spark, spec, platform, source, target, marts_root, curated_db, environments
         )
 

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 from py4j.java_gateway import JavaObject
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 MIB = 1 << 20
 
@@ -79,3 +79,10 @@ def work_dir(spark: SparkSession) -> str:
     files.mkdirs(location)
     files.deleteOnExit(location)
     return location.toString()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read again."""
+    path = f"{work_dir(df.sparkSession)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

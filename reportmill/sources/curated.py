@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from reportmill.session import hadoop_path, path_exists
 from reportmill.spec import PARTITIONS, ReportSpec
 
 LOOKUPS = 16
+# The name of a blank partition, and the characters that are escaped in directory names.
+BLANK = "__HIVE_DEFAULT_PARTITION__"
+ESCAPED = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
 
 
 def scan_curated(spark: SparkSession, spec: ReportSpec, path: str) -> DataFrame | None:
@@ -24,13 +29,42 @@ def scan_curated(spark: SparkSession, spec: ReportSpec, path: str) -> DataFrame
     return spark.read.schema(spec.curated_schema).parquet(path)
 
 
-def partition_dir(spark: SparkSession, path: str, partition: Row) -> str:
+def partition_path(path: str, partition: Row, keys: Sequence[str] = PARTITIONS) -> str:
     """The directory that Spark's writer gives a partition; a blank value has a name of its own."""
-    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    parts = [names.getPartitionPathString(name, partition[name]) for name in PARTITIONS]
+    parts = [f"{name}={escape_name(partition[name])}" for name in keys]
     return "/".join([path.rstrip("/"), *parts])
 
 
+def escape_name(value: str | None) -> str:
+    return ESCAPED.sub(lambda found: f"%{ord(found[0]):02X}", value) if value else BLANK
+
+
+def day_of_partition() -> Column:
+    return F.make_date(*[F.col(part).cast("int") for part in PARTITIONS[1:]])
+
+
+def scan_touched(table: DataFrame, touched: DataFrame, by: Column | None = None) -> DataFrame:
+    """The rows of a partitioned table whose partition columns occur in ``touched``, a stored table of such keys.
+
+    The range of ``by`` (the partition's day, unless another expression is given) bounds both sides; the partitions
+    within it are pruned by the join when the scan starts. So nothing is looked up or listed outside the range, and no
+    key comes to the driver.
+    """
+    value = day_of_partition() if by is None else by
+    bounds = touched.agg(F.min(value).alias("low"), F.max(value).alias("high")).first()
+    within = value.between(F.lit(bounds.low), F.lit(bounds.high))
+    rows, keys = table.where(within).alias("rows"), touched.where(within).distinct().alias("keys")
+    # A blank account is null; the other keys never are, and a plain equality prunes.
+    same = [
+        F.col(f"rows.{name}").eqNullSafe(F.col(f"keys.{name}")) if name == PARTITIONS[0] else F.col(f"rows.{name}") == F.col(f"keys.{name}")
+        for name in touched.columns
+    ]
+    condition = same[0]
+    for more in same[1:]:
+        condition = condition & more
+    return rows.join(keys, condition, "left_semi")
+
+
 def scan_partitions(
     spark: SparkSession, spec: ReportSpec, path: str, partitions: Sequence[Row]
 ) -> DataFrame | None:
@@ -40,7 +74,7 @@ def scan_partitions(
     """
     if not partitions or not path_exists(spark, path):
         return None
-    paths = [partition_dir(spark, path, partition) for partition in partitions]
+    paths = [partition_path(path, partition) for partition in partitions]
     _, files = hadoop_path(spark, path)
 
     def exists(directory: str) -> bool:

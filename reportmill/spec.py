@@ -91,6 +91,8 @@ class ReportSpec:
     date: str = "date_start"
     version: str = VERSION
     mart: bool = False
+    # Quoted values of the files may hold line breaks. Such a file is read by a single task.
+    multi_line: bool = False
 
     def __post_init__(self) -> None:
         missing = {self.account, self.date} - set(self.key)

@@ -30,8 +30,9 @@ def curate_new_files(
     file = first_file(spark, source)
     if file is None:
         return
-    header = schema or scan_delimited(spark, file, **read_options).schema
-    files = stream_delimited(spark, source, header, **read_options)
+    options = {"multiLine": spec.multi_line, **read_options}
+    header = schema or scan_delimited(spark, file, **options).schema
+    files = stream_delimited(spark, source, header, **options)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         curate_frame(batch, spec, target, table)
