@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -39,7 +41,8 @@ def table_location(spark: SparkSession, table: str) -> str | None:
     if not spark.catalog.tableExists(table):
         return None
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(*table.split('.'))}")
-    return described.where("col_name = 'Location'").first()["data_type"]
+    found = described.where("col_name = 'Location'").first()
+    return found["data_type"] if found else None
 
 
 def qualified(spark: SparkSession, path: str) -> str:
@@ -62,7 +65,7 @@ def register_table(
     """
     name = table_name(*table.split("."))
     if added is None or not spark.catalog.tableExists(table):
-        columns = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+        columns = column_list(schema)
         keys = ", ".join(quote(key) for key in partitions)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
@@ -87,33 +90,49 @@ def publish(
 ) -> list[str]:
     """Write a mart to the first environment and copy it on to the next ones.
 
-    The mart is computed once: later environments read the table published just before. Every
-    publication is written to a folder of its own and the table pointed to it afterwards, so a
-    write that fails leaves the last publication in place.
+    The mart is computed once: later environments read what was published just before. Every
+    publication is a table of its own, and ``model`` a view that is pointed to it in one step of
+    the catalog, so a write that fails leaves the last publication in place and the name is never
+    missing. The publication before the last one is kept for those who are still reading it.
     """
     spark = df.sparkSession
     published: list[str] = []
     for environment in environments:
         create_database(spark, environment, root)
-        table = f"{environment}.{model}"
+        view = f"{environment}.{model}"
         rows = spark.table(published[-1]) if published else df
-        path = f"{root.rstrip('/')}/{environment}/{model}/{uuid.uuid4().hex}"
-        rows.write.parquet(path)
-        point_table(spark, table, path, rows.schema)
-        published.append(table)
+        version = f"{model}__{time.time_ns():020d}{uuid.uuid4().hex[:8]}"
+        path = f"{root.rstrip('/')}/{environment}/{model}"
+        rows.write.parquet(f"{path}/{version}")
+        table, columns = table_name(environment, version), column_list(rows.schema)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION {literal(f'{path}/{version}')}")
+        point_view(spark, view, f"SELECT * FROM {table}")
+        drop_versions(spark, environment, model, path)
+        published.append(view)
     return published
 
 
-def point_table(spark: SparkSession, table: str, path: str, schema: T.StructType) -> None:
-    """Make ``table`` show the files at ``path``; the folder it showed before is removed."""
-    name, before = table_name(*table.split(".")), table_location(spark, table)
-    if before and spark.table(table).schema == schema:
-        spark.sql(f"ALTER TABLE {name} SET LOCATION {literal(path)}")
-    else:
-        columns = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION {literal(path)}")
-    spark.catalog.refreshTable(table)
-    if before and not qualified(spark, path).startswith(qualified(spark, before)):
-        location, files = hadoop_path(spark, before)
+def column_list(schema: T.StructType) -> str:
+    return ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def point_view(spark: SparkSession, view: str, query: str) -> None:
+    """Make ``view`` show ``query``. An existing view is altered, not dropped and made again."""
+    name = table_name(*view.split("."))
+    exists = spark.catalog.tableExists(view)
+    if exists and table_location(spark, view) is not None:
+        # A table of that name comes from a time before publications were views.
+        spark.sql(f"DROP TABLE {name}")
+        exists = False
+    spark.sql(f"ALTER VIEW {name} AS {query}" if exists else f"CREATE VIEW {name} AS {query}")
+
+
+def drop_versions(spark: SparkSession, environment: str, model: str, path: str, keep: int = 2) -> None:
+    """Remove all publications of ``model`` but the newest ones, tables and files."""
+    listed = spark.sql(f"SHOW TABLES IN {quote(environment)} LIKE {literal(model.lower() + '__*')}").collect()
+    pattern = re.compile(re.escape(model) + r"__[0-9a-f]{28}", re.IGNORECASE)
+    names = sorted(row.tableName for row in listed if pattern.fullmatch(row.tableName))
+    for name in names[:-keep]:
+        spark.sql(f"DROP TABLE IF EXISTS {table_name(environment, name)}")
+        location, files = hadoop_path(spark, f"{path}/{model}{name[len(model):]}")
         files.delete(location, True)

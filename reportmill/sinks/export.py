@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 from reportmill.functions import column, date_parts
 from reportmill.session import hadoop_path
+from reportmill.sources.curated import partition_path
 
 
 ARRIVAL = "__arrival"
-# Everything that is written reads back as it was: quotes, blanks at the ends, microseconds.
+# Files of rows without a day; a name that begins with an underscore would not be read.
+UNDATED = "undated"
+# Everything that is written reads back as it was: quotes, blanks at the ends, microseconds; line
+# breaks within a value if the reader is told so (``multiLine``).
 CSV_OPTIONS = {
     "header": True,
     "escape": '"',
@@ -49,21 +53,6 @@ def name_files(spark: SparkSession, path: str, day: str) -> None:
             raise OSError(f"cannot rename {path}/{part}")
 
 
-def day_directories(spark: SparkSession, path: str) -> list[str]:
-    """The year/month/day directories that hold parts of the write just done."""
-    location, files = hadoop_path(spark, path)
-    found, listed = set(), files.listFiles(location, True)
-    while listed.hasNext():
-        file = listed.next().getPath()
-        if file.getName().startswith("part-"):
-            found.add(file.getParent().toString())
-    return sorted(found)
-
-
-def day_of(directory: str) -> str:
-    return "-".join(part.split("=", 1)[1] for part in directory.rsplit("/", 3)[1:])
-
-
 def landing_dir(root: str, source: str, report: str, day: dt.date) -> str:
     return f"{root.rstrip('/')}/{source}/{report}/year={day:%Y}/month={day:%m}/day={day:%d}"
 
@@ -77,8 +66,14 @@ def land_report(df: DataFrame, root: str, source: str, report: str, day: dt.date
 
 
 def land_by_day(df: DataFrame, path: str, name: str) -> None:
-    """Every row into the directory of its own day, with two-digit months and days."""
+    """Every row into the directory of its own day, with two-digit months and days.
+
+    Rows without a day go into the directory for blank values, in files named ``undated``. The days
+    are taken from the rows, which are read a second time for that one column; nothing is listed
+    but the directories written.
+    """
     parts = date_parts(column(name), padded=True)
+    days = df.select(*[part.alias(key) for key, part in parts.items()]).distinct().collect()
     (
         df.withColumns(parts)
         .hint("rebalance", *parts)
@@ -88,5 +83,6 @@ def land_by_day(df: DataFrame, path: str, name: str) -> None:
         .options(**CSV_OPTIONS)
         .csv(path)
     )
-    for directory in day_directories(df.sparkSession, path):
-        name_files(df.sparkSession, directory, day_of(directory))
+    for day in days:
+        dated = "-".join(day) if all(day) else UNDATED
+        name_files(df.sparkSession, partition_path(path, day, list(parts)), dated)

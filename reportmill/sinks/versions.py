@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from reportmill.functions import literal, quote
 from reportmill.session import hadoop_path
-from reportmill.sinks.catalog import ADD_BATCH, check_location, partition_spec, table_name
+from reportmill.sinks.catalog import ADD_BATCH, check_location, column_list, partition_spec, table_name
 from reportmill.sources.curated import partition_path
 
 SWITCHES = 16
@@ -30,7 +30,7 @@ ROWS = "__rows"
 def create_versioned(spark: SparkSession, table: str, root: str, schema: T.StructType, keys: Sequence[str]) -> None:
     """An empty table at ``root`` whose partitions are only those that the catalog names."""
     check_location(spark, table, root)
-    columns = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+    columns = column_list(schema)
     parts = ", ".join(quote(key) for key in keys)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table_name(*table.split('.'))} ({columns}) USING parquet "

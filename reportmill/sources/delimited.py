@@ -28,7 +28,10 @@ def report_path(root: str, platform: str, report_type: str) -> str:
 def scan_delimited(
     spark: SparkSession, path: str, schema: T.StructType | None = None, **options: object
 ) -> DataFrame:
-    """All files under ``path``. Without a schema, the header of one file gives the names."""
+    """All files under ``path``. Without a schema, the header of one file gives the names.
+
+    Values with line breaks need ``multiLine=True``, with which a file is read by a single task.
+    """
     reader = spark.read.options(**{**CSV_OPTIONS, **options})
     return (reader.schema(schema) if schema else reader).csv(path)
 
@@ -38,14 +41,20 @@ def first_file(spark: SparkSession, path: str) -> str | None:
     location, files = hadoop_path(spark, path)
     if not files.exists(location):
         return None
-    found = files.listFiles(location, True)
+    root, found = files.makeQualified(location).toString(), files.listFiles(location, True)
     while found.hasNext():
         status = found.next()
-        if status.getPath().getName()[:1] not in ("_", ".") and status.getLen():
+        inside = status.getPath().toString().removeprefix(root)
+        if status.getLen() and not any(is_hidden(part) for part in inside.split("/")):
             return status.getPath().toString()
     return None
 
 
+def is_hidden(name: str) -> bool:
+    """What a scan leaves out, files as well as folders with all that they hold."""
+    return name.startswith(".") or name.endswith("._COPYING_") or (name.startswith("_") and "=" not in name)
+
+
 def scan_delimited_groups(
     spark: SparkSession, paths: Iterable[str], **options: object
 ) -> DataFrame:

@@ -156,6 +156,7 @@ ORACLE = {
     "upsert_out_of_order": CURATED,
     "upsert_idempotent": CURATED,
     "catalog_upsert": CURATED,
+    "curate_versioned": CURATED,
     "incremental_files": CURATED,
     "scan_recursive_csv": f"SELECT {EVENT_COLUMNS} FROM events",
     "scan_header_groups": """
@@ -172,6 +173,15 @@ ORACLE = {
             UNION ALL SELECT 'conversations', CAST(conv_id AS VARCHAR), text FROM conversations
         )
     """,
+    "scan_multiline_csv": """
+        SELECT 'documents' AS source, CAST(doc_id AS VARCHAR) AS id, text, 9 AS "after" FROM documents
+        UNION ALL SELECT 'conversations', CAST(conv_id AS VARCHAR), text, 9 FROM conversations
+    """,
+    "scan_mixed_headers": """
+        SELECT o_orderkey, o_custkey, o_orderstatus,
+            CASE WHEN o_orderstatus IN ('F', 'O') THEN o_orderpriority END AS o_orderpriority
+        FROM orders
+    """,
     "keep_latest_lineitem": """
         SELECT * FROM lineitem QUALIFY row_number() OVER (
             PARTITION BY l_orderkey, l_linenumber
@@ -228,6 +238,8 @@ ORACLE = {
         SELECT campaign_name, purchases, custom_value, spend FROM (SELECT {REPORT} FROM events)
     """,
     "warehouse_append": f"{AFFILIATE} UNION ALL {AFFILIATE}",
+    "warehouse_replayed": AFFILIATE,
+    "warehouse_new_files": AFFILIATE,
     "daily_media_spend": f"""
         SELECT {ISO("ts")} AS day, event_type AS medium,
             CAST(SUM(CAST(value AS {MONEY})) AS {SUM}) AS spend
@@ -277,6 +289,10 @@ ORACLE = {
             strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day
         FROM events
     """,
+    "landing_undated": """
+        SELECT event_id, event_type, t AS ts, strftime(t, '%Y') AS year, strftime(t, '%m') AS month, strftime(t, '%d') AS day
+        FROM (SELECT *, CASE WHEN event_type <> 'error' THEN ts END AS t FROM events)
+    """,
     "run_window": """
         SELECT event_id, '2024-01-08' AS first_day, '2024-03-12' AS last_day FROM events
         WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-03-12'
@@ -296,6 +312,10 @@ ORACLE = {
     "mart_by_type_day": mart(
         "'set-' || event_type AS adset_id, upper(event_type) AS adset_name", "events", "event_type"
     ),
+    "marts_refreshed": mart(
+        "'set-' || event_type AS adset_id, upper(event_type) AS adset_name", f"({newest("'all'")})", "event_type"
+    ),
+    "monitoring_refreshed": monitoring("events", f"({newest("'all'")})"),
     "region_mart": mart("breakdown AS region", f"({newest('r_name')})", "breakdown"),
     "monitoring_by_account_day": monitoring("events", "events"),
     "report_family": " UNION ALL ".join(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,15 +34,17 @@ from reportmill.operators.shape import (
     with_copies,
     with_partitions,
 )
+from reportmill.operators.versioned import upsert_versioned
 from reportmill.plans.curate import curate_report
 from reportmill.plans.family import ReportRun, run_family
+from reportmill.plans.refresh import refresh_mart, refresh_monitoring
 from reportmill.plans.spend import spend_summary
-from reportmill.plans.warehouse import load_report
+from reportmill.plans.warehouse import load_report, load_report_once
 from reportmill.session import work_dir
 from reportmill.sinks.catalog import publish, register_table
-from reportmill.sinks.export import export_sorted, land_by_day
+from reportmill.sinks.export import CSV_OPTIONS, export_sorted, land_by_day
 from reportmill.sinks.partitioned import write_partitions
-from reportmill.sinks.warehouse import append_table
+from reportmill.sinks.warehouse import LOAD, append_table
 from reportmill.sources import (
     parse_payloads,
     scan_curated,
@@ -50,8 +53,9 @@ from reportmill.sources import (
     scan_partitions,
     scan_payloads,
 )
+from reportmill.sources.headers import scan_by_header
 from reportmill.spec import AFFILIATE_MAPPING, PARTITIONS, REPORTS, ReportSpec
-from reportmill.streaming.incremental import curate_new_files
+from reportmill.streaming.incremental import curate_new_files, load_new_files
 from workloads import inputs
 from workloads.inputs import CUSTOM, HIGH_SPEND, MEDIA, MONEY, PURCHASE, table
 
@@ -124,6 +128,54 @@ def catalog_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_metrics(spark.table(name))
 
 
+def load_days(events: DataFrame) -> dict[str, DataFrame]:
+    """Events as three loads: the first half of each month, some later rows of few days, and the rest."""
+    early, few = F.dayofmonth("ts") <= 15, F.dayofmonth("ts").isin(3, 4) & ~inputs.is_morning()
+    return {"first": events.where(early & ~few), "few": events.where(few), "rest": events.where(~early)}
+
+
+def versioned_events(spark: SparkSession, sf_dir: str, after: Callable[[str, str], None] | None = None) -> tuple[str, str]:
+    """All events through a versioned table, in three loads; ``after`` is called with table and root after each."""
+    root = work_dir(spark)
+    name, target = f"versioned_events_{suffix(root)}", f"{root}/curated"
+    for load, rows in load_days(table(spark, sf_dir, "events")).items():
+        path = inputs.land_csv(inputs.raw_report(rows), f"{root}/raw/{load}")
+        upsert_versioned(drop_dirty(conform(scan_delimited(spark, path), EVENTS), EVENTS), EVENTS, name, target)
+        if after:
+            after(name, target)
+    return name, root
+
+
+def curate_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name, _ = versioned_events(spark, sf_dir)
+    return plain_metrics(spark.table(name))
+
+
+def marts_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart after three loads, the second of few days, each followed by a refresh of its days."""
+    published: list[str] = []
+
+    def refresh(name: str, target: str) -> None:
+        root, tag = target.rsplit("/", 1)[0], suffix(target.rsplit("/", 1)[0])
+        published[:] = refresh_mart(name, target, EVENTS, "events_mart", f"{root}/marts", (f"dev_{tag}", f"prd_{tag}"))
+
+    versioned_events(spark, sf_dir, refresh)
+    return plain_metrics(spark.table(published[-1])).select(
+        "adset_id", "adset_name", "date_start", "clicks", "impressions", "purchases", "custom_value", "spend"
+    )
+
+
+def monitoring_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    published: list[str] = []
+
+    def refresh(name: str, target: str) -> None:
+        root, tag = target.rsplit("/", 1)[0], suffix(target.rsplit("/", 1)[0])
+        published[:] = refresh_monitoring(name, target, EVENTS, "events_watch", f"{root}/marts", (f"dev_{tag}",))
+
+    versioned_events(spark, sf_dir, refresh)
+    return monitoring_columns(spark.table(published[0]))
+
+
 def incremental_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark)
     events = table(spark, sf_dir, "events")
@@ -160,6 +212,29 @@ def scan_quoted_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cast_all(scan_delimited(spark, path, maxCharsPerColumn=-1), {"after": "int"})
 
 
+def scan_multiline_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same texts with their line breaks."""
+    texts = [
+        table(spark, sf_dir, name).select(F.lit(name).alias("source"), F.col(key).cast("string").alias("id"), "text")
+        for name, key in (("documents", "doc_id"), ("conversations", "conv_id"))
+    ]
+    rows = texts[0].unionByName(texts[1]).withColumn("after", F.lit(9))
+    path = inputs.land_csv(rows, f"{work_dir(spark)}/lines")
+    return cast_all(scan_delimited(spark, path, multiLine=True, maxCharsPerColumn=-1), {"after": "int"})
+
+
+def scan_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with permuted and missing columns side by side in one folder."""
+    root = work_dir(spark)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+    status = F.coalesce("o_orderstatus", F.lit(""))
+    shapes = {"F": orders.columns, "O": orders.columns[::-1], "": ["o_orderstatus", "o_orderkey", "o_custkey"]}
+    for value, names in shapes.items():
+        rows = orders.where(status == value if value else ~status.isin(*filter(None, shapes)))
+        rows.select(*names).write.mode("append").options(**CSV_OPTIONS).csv(f"{root}/raw")
+    return cast_all(scan_by_header(spark, f"{root}/raw"), {"o_orderkey": "bigint", "o_custkey": "bigint"})
+
+
 def scan_header_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
@@ -309,6 +384,34 @@ def warehouse_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def affiliate_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    orders = table(spark, sf_dir, "orders")
+    closed = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    return {"closed": inputs.affiliate_report(orders.where(closed)), "open": inputs.affiliate_report(orders.where(~closed))}
+
+
+def warehouse_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads into a warehouse table, each run twice."""
+    root = work_dir(spark)
+    name = f"affiliate_{suffix(root)}"
+    for part, rows in affiliate_parts(spark, sf_dir).items():
+        landed = inputs.land_csv(rows, f"{root}/raw/{part}")
+        for _ in range(2):
+            load_report_once(spark, AFFILIATE_MAPPING, landed, name, f"{root}/warehouse")
+    return spark.table(name).drop(LOAD)
+
+
+def warehouse_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A growing folder loaded as it grows; the last run finds nothing new."""
+    root = work_dir(spark)
+    name = f"affiliate_{suffix(root)}"
+    for part, rows in {**affiliate_parts(spark, sf_dir), "none": None}.items():
+        if rows is not None:
+            inputs.land_csv(rows, f"{root}/raw/{part}")
+        load_new_files(spark, AFFILIATE_MAPPING, f"{root}/raw", name, f"{root}/warehouse", f"{root}/checkpoint")
+    return spark.table(name).drop(LOAD)
+
+
 def daily_media_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = daily_spend(
         table(spark, sf_dir, "events"), F.to_date("ts"), "event_type", F.col("value").cast(MONEY)
@@ -424,6 +527,15 @@ def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(stored).option("header", True).csv(path)
 
 
+def landing_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a day are landed too, and read back."""
+    path = f"{work_dir(spark)}/landing"
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    land_by_day(events.withColumn("ts", F.when(F.col("event_type") != "error", F.col("ts"))), path, "ts")
+    stored = "event_id bigint, event_type string, ts timestamp, year string, month string, day string"
+    return spark.read.schema(stored).option("header", True).csv(path)
+
+
 def run_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, last = month_window("2024-02-07")
     return in_month_window(table(spark, sf_dir, "events"), "ts", "2024-02-07").select(
@@ -558,10 +670,13 @@ QUERIES = {
     "upsert_out_of_order": upsert_out_of_order,
     "upsert_idempotent": upsert_idempotent,
     "catalog_upsert": catalog_upsert,
+    "curate_versioned": curate_versioned,
     "incremental_files": incremental_files,
     "scan_recursive_csv": scan_recursive_csv,
     "scan_header_groups": scan_header_groups,
+    "scan_mixed_headers": scan_mixed_headers,
     "scan_quoted_csv": scan_quoted_csv,
+    "scan_multiline_csv": scan_multiline_csv,
     "keep_latest_lineitem": keep_latest_lineitem,
     "latest_document_by_text": latest_document_by_text,
     "union_by_name_orders": union_by_name_orders,
@@ -575,6 +690,8 @@ QUERIES = {
     "constants_and_copies": constants_and_copies,
     "dotted_columns": dotted_columns,
     "warehouse_append": warehouse_append,
+    "warehouse_replayed": warehouse_replayed,
+    "warehouse_new_files": warehouse_new_files,
     "daily_media_spend": daily_media_spend,
     "map_flatten": map_flatten,
     "array_flatten": array_flatten,
@@ -587,13 +704,16 @@ QUERIES = {
     "sorted_export": sorted_export,
     "landing_layout": landing_layout,
     "landing_roundtrip": landing_roundtrip,
+    "landing_undated": landing_undated,
     "run_window": run_window,
     "run_week": run_week,
     "order_windows": order_windows,
     "catalog_refresh": catalog_refresh,
     "mart_by_type_day": mart_by_type_day,
     "region_mart": region_mart,
+    "marts_refreshed": marts_refreshed,
     "monitoring_by_account_day": monitoring_by_account_day,
+    "monitoring_refreshed": monitoring_refreshed,
     "report_family": report_family,
     "family_with_gap": family_with_gap,
     "family_marts": family_marts,
