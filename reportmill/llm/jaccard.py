@@ -14,7 +14,7 @@ what is not in the largest component is compared with all the others, chunk by c
 Sets: the distinct n-word shingles of the text with A-Z lower-cased; with fewer words the whole sequence as one
 shingle; null, empty and blank texts have an empty set, and are linked with nothing. Sets are compared through 64-bit
 shingle hashes. Equal sets are one node, so copies and repeated rows cost one signature. A row with a null id takes part
-with the others of its set. An empty table gives an empty result. Only the named columns of the input are read.
+like any other. An empty table gives an empty result. Only the named columns of the input are read.
 """
 
 from __future__ import annotations
@@ -23,15 +23,18 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reportmill.llm.chunk_recipes import MAP_BITS, bitmap
 from reportmill.llm.common import hinted, map_slices, row_hash, rows_without, ship_package, stored, text_of
 from reportmill.llm.components import connected
 
-GROUPS = 64
+#: Coordinates of a count vector, a byte each while no count is above 255.
+GROUPS = 256
 SEEDS = 6
 LEAF = 16
 #: Members of a cell that meet in one task; a task holds the sets of so many, and the first member's.
@@ -154,14 +157,20 @@ def signatures(shingles: np.ndarray, rule: Threshold, starts: np.ndarray, layout
 
 
 def group_counts(shingles: np.ndarray) -> np.ndarray:
-    return np.bincount((mix(shingles) >> U(58)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+    counts = np.bincount((mix(shingles) >> U(56)).astype(np.int64), minlength=GROUPS)
+    return counts.astype(np.uint8 if counts.max() < 256 else np.int32)
+
+
+def stored_counts(values: list[bytes]) -> np.ndarray:
+    """Count vectors from their bytes, which tell the width by their number."""
+    return np.stack([np.frombuffer(v, np.uint8 if len(v) == GROUPS else np.int32) for v in values])
 
 
 class CountTree:
     """R-tree over count vectors, packed by size and then by the coordinates that spread most."""
 
     def __init__(self, points: np.ndarray) -> None:
-        sizes = points.sum(axis=1)
+        sizes = points.sum(axis=1, dtype=np.int64)
         widest = np.argsort(-points.var(axis=0), kind="stable")[:2]
         self.order = np.lexsort((points[:, widest[1]], points[:, widest[0]], sizes))
         self.points, self.levels = points[self.order], []
@@ -173,16 +182,17 @@ class CountTree:
 
     def search(self, point: np.ndarray, rule: Threshold) -> np.ndarray:
         """Indexes of the points that the bound does not exclude."""
-        size = int(point.sum())
+        size = int(point.sum(dtype=np.int64))
         nodes = None
         for upper, lower in reversed(self.levels):
             at = np.arange(len(upper)) if nodes is None else np.concatenate([np.arange(n * LEAF, min(len(upper), (n + 1) * LEAF)) for n in nodes])
-            bound = np.minimum(upper[at], point).sum(axis=1)
+            bound = np.minimum(upper[at], point).sum(axis=1, dtype=np.int64)
             nodes = at[bound >= rule.needed(lower[at], size)]
             if not len(nodes):
                 return nodes
         at = np.arange(len(self.points)) if nodes is None else np.concatenate([np.arange(n * LEAF, min(len(self.points), (n + 1) * LEAF)) for n in nodes])
-        found = np.minimum(self.points[at], point).sum(axis=1) >= rule.needed(self.points[at].sum(axis=1), size)
+        near = self.points[at]
+        found = np.minimum(near, point).sum(axis=1, dtype=np.int64) >= rule.needed(near.sum(axis=1, dtype=np.int64), size)
         return self.order[at[found]]
 
 
@@ -224,15 +234,15 @@ def chunks_of(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[l
 
 
 def near_members(rows: DataFrame, rule: Threshold) -> DataFrame:
-    """Of rows sorted by chunk (chunk, node, d1, part, probe, head, counts) those that the tree's bound leaves a partner
+    """Of rows sorted by chunk (chunk, d1, place, part, probe, head, counts) those that the tree's bound leaves a partner
     of another part; either of the two is a probe. No text is read for the others.
     """
-    names = ["chunk", "node", "d1", "part", "probe", "head"]
-    schema = "chunk string, node bigint, d1 bigint, part bigint, probe boolean, head boolean"
+    names = ["chunk", "d1", "place", "part", "probe", "head"]
+    schema = "chunk string, d1 bigint, place bigint, part bigint, probe boolean, head boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in chunks_of(batches, [*names, "counts"]):
-            points = np.stack([np.frombuffer(row[6], np.int32) for row in group])
+            points = stored_counts([row[6] for row in group])
             parts = np.array([row[3] for row in group])
             tree, keep = CountTree(points), np.zeros(len(group), bool)
             for i in [k for k, row in enumerate(group) if row[4]]:
@@ -251,24 +261,24 @@ def near_members(rows: DataFrame, rule: Threshold) -> DataFrame:
 
 
 def link_chunks(rows: DataFrame, width: int, rule: Threshold) -> DataFrame:
-    """``rows``: chunk, node, d1, part, probe, text, sorted by chunk. Returns links (src, dst) between nodes.
+    """``rows``: chunk, d1, part, probe, text, sorted by chunk. Returns links (src, dst) between sets, named by ``d1``.
 
-    Texts that are not of the set with digest ``d1`` are left out: ids can repeat with other texts.
+    Texts that are not of the set with digest ``d1`` are left out, as places are hashes.
     """
     schema = "src bigint, dst bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(width)
-        for group in chunks_of(batches, ["chunk", "node", "d1", "part", "probe", "text"]):
+        for group in chunks_of(batches, ["chunk", "d1", "part", "probe", "text"]):
             nodes, parts, probes, sets, known = [], [], [], [], set()
-            for _, node, d1, part, probe, text in group:
-                if (node, d1) in known:
+            for _, d1, part, probe, text in group:
+                if d1 in known:
                     continue
                 found = shingle(text)
                 if digest(found) != d1:
                     continue
-                known.add((node, d1))
-                nodes.append(node)
+                known.add(d1)
+                nodes.append(d1)
                 parts.append(part)
                 probes.append(probe)
                 sets.append(found)
@@ -281,14 +291,31 @@ def link_chunks(rows: DataFrame, width: int, rule: Threshold) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def at_places(texts: DataFrame, places: DataFrame) -> DataFrame:
+    """Those of ``texts`` (place, text) whose place is marked in a bitmap of ``places``, and a few others.
+
+    The bitmap has a fixed size, so it can be broadcast at any number of places. What it lets through besides is dropped
+    by the join that follows; it keeps the other texts out of that join's shuffle.
+    """
+    spark = texts.sparkSession
+    ship_package(spark)
+    shared = spark.sparkContext.broadcast(bitmap(places.select(F.pmod("place", F.lit(MAP_BITS)).alias("recipe_key")), MAP_BITS))
+
+    @F.pandas_udf("boolean")
+    def marked(place: pd.Series) -> pd.Series:
+        at = place.to_numpy() % MAP_BITS
+        return pd.Series(shared.value[at >> 6] >> (at & 63).astype(np.uint64) & U(1) == 1)
+
+    return texts.where(marked("place"))
+
+
 def digest(shingles: np.ndarray) -> int:
     return int(np.add.reduce(mix(shingles + U(7))).view(np.int64)) if len(shingles) else 0
 
 
-def features(docs: DataFrame, width: int, rule: Threshold, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: ``row_id``, set size ``n``, two 64-bit digests of the set, its ``cells``, group ``counts`` and the columns ``carry``."""
-    rows = docs.select(docs[id_col].alias("row_id"), text_of(docs, text_col).alias("text"), *[docs[c] for c in carry])
-    types = {c: rows.schema[c].dataType.simpleString() for c in ("row_id", *carry)}
+def features(docs: DataFrame, width: int, rule: Threshold, id_col: str, text_col: str) -> DataFrame:
+    """Per row: ``row_id``, ``row_hash``, set size ``n``, two 64-bit digests of the set, its ``cells`` and group ``counts``."""
+    rows = docs.select(docs[id_col].alias("row_id"), row_hash(docs, id_col, text_col).alias("row_hash"), text_of(docs, text_col).alias("text"))
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         shingle, starts = Shingler(width), rule.classes(1 << 12)
@@ -307,97 +334,106 @@ def features(docs: DataFrame, width: int, rule: Threshold, id_col: str, text_col
                 d1.append(digest(s))
                 d2.append(int(np.bitwise_xor.reduce(mix(s ^ U(0x5851F42D4C957F2D))).view(np.int64)) if len(s) else 0)
                 cells.append(signatures(s, rule, starts, layouts) if len(s) else np.zeros(0, np.int64))
-            arrays = [batch.column("row_id"), *[pa.array(v, pa.int64()) for v in (n, d1, d2)], pa.array(cells, pa.list_(pa.int64())), pa.array(counts, pa.binary())]
-            arrays += [batch.column(c) for c in carry]
-            return pa.RecordBatch.from_arrays(arrays, names=["row_id", "n", "d1", "d2", "cells", "counts", *carry])
+            arrays = [batch.column("row_id"), batch.column("row_hash"), *[pa.array(v, pa.int64()) for v in (n, d1, d2)]]
+            arrays += [pa.array(cells, pa.list_(pa.int64())), pa.array(counts, pa.binary())]
+            return pa.RecordBatch.from_arrays(arrays, names=["row_id", "row_hash", "n", "d1", "d2", "cells", "counts"])
 
         return work
 
-    schema = f"row_id {types['row_id']}, n bigint, d1 bigint, d2 bigint, cells array<bigint>, counts binary"
-    return map_slices(rows, make, schema + "".join(f", {c} {types[c]}" for c in carry))
+    kind = rows.schema["row_id"].dataType.simpleString()
+    return map_slices(rows, make, f"row_id {kind}, row_hash bigint, n bigint, d1 bigint, d2 bigint, cells array<bigint>, counts binary")
 
 
-def similar_components(
-    docs: DataFrame, width: int = 5, num: int = 8, den: int = 10, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, carry: tuple[str, ...] = ()
-) -> DataFrame:
-    """``row_id``, ``n`` (set size), ``component``, the smallest id reachable by links of similarity >= num / den, and the columns ``carry``."""
+def linked_rows(docs: DataFrame, width: int, num: int, den: int, id_col: str, text_col: str, chunk: int = CHUNK) -> DataFrame:
+    """``row_id``, ``row_hash``, ``n`` (set size) and ``class``, the same for rows that links of similarity >= num / den connect.
+
+    Sets are named by their digest ``d1``, with or without an id, and each text is found at the smallest ``row_hash`` of
+    its set, its ``place``. The class of an empty set is null.
+    """
     rule = Threshold(num, den)
-    rows = stored(features(docs, width, rule, id_col, text_col, carry))
-    classes = stored(rows.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("row_id").cast("bigint").alias("node"), F.first("counts").alias("counts")))
-    nodes = classes.where("node IS NOT NULL").select("d1", "node", "counts")
-    texts = docs.select(docs[id_col].cast("bigint").alias("node"), text_of(docs, text_col).alias("text")).where("node IS NOT NULL")
+    rows = stored(features(docs, width, rule, id_col, text_col))
+    sets = stored(rows.where("n > 0").groupBy("d1").agg(F.min("row_hash").alias("place"), F.first("counts").alias("counts")))
+    texts = docs.select(row_hash(docs, id_col, text_col).alias("place"), text_of(docs, text_col).alias("text"))
     signed = rows.select("d1", F.explode("cells").alias("cell"))
     cells = signed.groupBy("cell").agg(F.min("d1").alias("first"), F.max("d1").alias("last")).where("first <> last").select("cell", "first")
     held = stored(signed.join(hinted(stored(cells), MAX_CELLS), "cell").select("cell", "first", "d1"))
 
     def linked(rows: DataFrame, key: list[str]) -> DataFrame:
-        rows = rows.select("node", "d1", "part", "probe", "head", "counts", F.concat_ws("/", *key).alias("chunk"))
+        # Chunks are dealt by keys alone; the counts join last.
+        rows = rows.select("d1", "part", "probe", "head", F.concat_ws("/", *key).alias("chunk")).join(sets, "d1")
         rows = stored(near_members(rows.repartition("chunk").sortWithinPartitions("chunk"), rule))
-        rows = texts.join(hinted(rows), "node").repartition("chunk").sortWithinPartitions("chunk", F.desc("head"), "node")
-        return stored(link_chunks(rows.select("chunk", "node", "d1", "part", "probe", "text"), width, rule))
+        rows = at_places(texts, rows).join(rows, "place").repartition("chunk").sortWithinPartitions("chunk", F.desc("head"), "d1")
+        return stored(link_chunks(rows.select("chunk", "d1", "part", "probe", "text"), width, rule))
 
-    # Round one: a node meets the smallest first member of all its cells, and whoever else does.
-    met = held.groupBy("d1").agg(F.min("first").alias("first")).where("first <> d1").join(nodes, "d1")
-    met = stored(met.select("first", "node", "d1", "counts"))
-    sizes = met.groupBy("first").agg(F.count("*").alias("members"))
+    # Round one: a set meets the smallest first member of all its cells, and whoever else does.
+    met = stored(held.groupBy("d1").agg(F.min("first").alias("first")).where("first <> d1"))
+    sizes = stored(met.groupBy("first").agg(F.count("*").alias("members")))
     spread = F.expr(f"cast(ceil(members / {chunk}) as bigint)")
-    member = met.join(sizes, "first").select(
-        "first", "node", "d1", "counts", F.pmod(F.xxhash64("node"), spread).alias("chunk_no"), F.lit(False).alias("head")
-    )
-    heads = (
-        sizes.withColumn("chunk_no", F.explode(F.sequence(F.lit(0).cast("bigint"), spread - 1)))
-        .join(nodes.withColumnRenamed("d1", "first"), "first")
-        .select("first", "node", F.col("first").alias("d1"), "counts", "chunk_no", F.lit(True).alias("head"))
-    )
-    both = member.unionByName(heads).withColumns({"part": F.col("node"), "probe": F.lit(True)})
-    links = linked(both, ["first", "chunk_no"])
+    member = met.join(sizes, "first").select("first", "d1", F.pmod(F.xxhash64("d1"), spread).alias("chunk_no"), F.lit(False).alias("head"))
+    heads = sizes.select("first", F.col("first").alias("d1"), F.explode(F.sequence(F.lit(0).cast("bigint"), spread - 1)).alias("chunk_no"), F.lit(True).alias("head"))
+    links = linked(member.unionByName(heads).withColumns({"part": F.col("d1"), "probe": F.lit(True)}), ["first", "chunk_no"])
     labels = connected(links)
     # Round two: the members of cells that still hold several components, each pair of components once more.
-    tagged = stored(labels.join(nodes.drop("counts"), "node"))
-    tags = tagged.groupBy("label").agg(F.min("d1").alias("tag"))
-    tags = stored(tagged.join(tags, "label").select("d1", "tag").distinct())
-    marked = held.join(hinted(tags), "d1", "left").select("cell", F.coalesce("tag", "d1").alias("tag"))
+    parts = hinted(stored(labels.select(F.col("node").alias("d1"), "label")))
+    marked = held.join(parts, "d1", "left").select("cell", F.coalesce("label", "d1").alias("tag"))
     open_cells = marked.groupBy("cell").agg(F.min("tag").alias("a"), F.max("tag").alias("b")).where("a <> b").select("cell")
-    again = held.join(hinted(stored(open_cells), MAX_CELLS), "cell").select("first", "d1").distinct().join(nodes, "d1")
-    again = stored(again.join(hinted(labels), "node", "left").select("first", "node", "d1", "counts", F.coalesce("label", "node").alias("part")))
-    sizes = again.groupBy("first").agg(F.count("*").alias("members"))
-    again = again.join(sizes, "first").withColumn("chunk_no", F.pmod(F.xxhash64("node"), spread))
-    small = again.where(f"members <= {chunk}").select("first", F.lit(-1).cast("bigint").alias("probe_no"), "chunk_no", "node", "d1", "counts", "part", F.lit(True).alias("probe"))
+    again = held.join(hinted(stored(open_cells), MAX_CELLS), "cell").select("first", "d1").distinct()
+    again = stored(again.join(parts, "d1", "left").select("first", "d1", F.coalesce("label", "d1").alias("part")))
+    sizes = stored(again.groupBy("first").agg(F.count("*").alias("members")))
+    again = again.join(sizes, "first").withColumn("chunk_no", F.pmod(F.xxhash64("d1"), spread))
+    small = again.where(f"members <= {chunk}").select("first", F.lit(-1).cast("bigint").alias("probe_no"), "chunk_no", "d1", "part", F.lit(True).alias("probe"))
     # In large groups what is not in the largest component is compared with all, chunk by chunk.
     large = stored(again.where(f"members > {chunk}"))
     counted = large.groupBy("first", "part").agg(F.count("*").alias("k"))
-    main = counted.groupBy("first").agg(F.max(F.struct("k", "part")).getField("part").alias("main"))
+    main = stored(counted.groupBy("first").agg(F.max(F.struct("k", "part")).getField("part").alias("main")))
     others = large.join(main, "first").where("part <> main").withColumn("probe_no", F.col("chunk_no")).drop("chunk_no")
     grid = others.select("first", "probe_no").distinct().join(large.select("first", "chunk_no").distinct(), "first")
-    asked = grid.join(others.select("first", "probe_no", "node", "d1", "counts", "part"), ["first", "probe_no"]).withColumn("probe", F.lit(True))
-    stay = grid.join(large.select("first", "chunk_no", "node", "d1", "counts", "part"), ["first", "chunk_no"]).withColumn("probe", F.lit(False))
-    dealt = asked.unionByName(stay).groupBy("first", "probe_no", "chunk_no", "node", "d1").agg(
-        F.max("probe").alias("probe"), F.first("part").alias("part"), F.first("counts").alias("counts")
-    )
+    asked = grid.join(others.select("first", "probe_no", "d1", "part"), ["first", "probe_no"]).withColumn("probe", F.lit(True))
+    stay = grid.join(large.select("first", "chunk_no", "d1", "part"), ["first", "chunk_no"]).withColumn("probe", F.lit(False))
+    dealt = asked.unionByName(stay).groupBy("first", "probe_no", "chunk_no", "d1").agg(F.max("probe").alias("probe"), F.first("part").alias("part"))
     more = linked(small.unionByName(dealt).withColumn("head", F.col("probe")), ["first", "probe_no", "chunk_no"])
     if not more.isEmpty():
-        labels = connected(links.unionByName(more))
-    named = classes.join(labels, "node", "left").select(
-        F.col("n").alias("n_"), F.col("d1").alias("d1_"), F.col("d2").alias("d2_"), F.coalesce("label", "node").alias("component")
-    )
-    same = (rows.n == named.n_) & (rows.d1 == named.d1_) & (rows.d2 == named.d2_)
-    return rows.join(named, same, "left").select("row_id", "n", F.coalesce("component", F.col("row_id").cast("bigint")).alias("component"), *carry)
+        parts = hinted(stored(connected(links.unionByName(more)).select(F.col("node").alias("d1"), "label")))
+    # Sets without a link are told apart by both digests and their size.
+    alone = F.struct(F.col("d1").alias("a"), F.col("d2").alias("b"), F.col("n").alias("c"))
+    none = F.lit(None).cast("bigint")
+    together = F.struct(F.col("label").alias("a"), none.alias("b"), none.alias("c"))
+    named = rows.select("row_id", "row_hash", "n", "d1", "d2").join(parts, "d1", "left")
+    return named.select("row_id", "row_hash", "n", F.when(F.col("n") > 0, F.when(F.col("label").isNull(), alone).otherwise(together)).alias("class"))
+
+
+def similar_components(
+    docs: DataFrame, width: int = 5, num: int = 8, den: int = 10, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK
+) -> DataFrame:
+    """``row_id``, ``n`` (set size) and ``component``, the smallest id reachable by links of similarity >= num / den, or null
+    where no row of the component has an id. Ids may be of any type that has an order.
+    """
+    found = stored(linked_rows(docs, width, num, den, id_col, text_col, chunk))
+    several = found.where("n > 0").groupBy("class").agg(F.min("row_id").alias("smallest"), F.count("*").alias("members"))
+    several = hinted(stored(several.where("members > 1").select(F.col("class").alias("class_"), "smallest")))
+    named = found.join(several, F.col("class").eqNullSafe(F.col("class_")) & (F.col("n") > 0), "left")
+    return named.select("row_id", "n", F.when(F.col("class_").isNull(), F.col("row_id")).otherwise(F.col("smallest")).alias("component"))
 
 
 def keep_one(docs: DataFrame, width: int = 5, num: int = 8, den: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Of each component the rows with the smallest id, one without an id only if there is no other; of repeated rows one.
+    """Of each component the row with the smallest id, one without an id only if there is no other; of repeated rows one.
 
-    Rows are told apart by id and text: components are linked by ``row_hash``, so an id that several texts share, or that
-    is null, neither joins texts nor drops one for the other.
+    Rows are told apart by id and text, so an id that several texts share, or that is null, neither joins texts nor drops
+    one for the other. Texts without a word are no copies; of such rows only repeated ones go.
     """
-    rows = docs.select(row_hash(docs, id_col, text_col).alias("key"), docs[id_col].alias("own_id"), text_of(docs, text_col).alias("text"))
-    found = stored(similar_components(rows, width, num, den, "key", "text", carry=("own_id",)))
-    order = F.struct(F.col("own_id").isNull().alias("last"), "own_id", "row_id")
-    several = found.groupBy("component").agg(F.min("row_id").alias("a"), F.max("row_id").alias("b"), F.min(order).getField("row_id").alias("stays"))
-    several = hinted(stored(several.where("a <> b").select("component", "stays")))
-    dropped = found.join(several, "component").where("row_id <> stays")
-    kept = rows_without(docs, dropped.select(F.col("own_id").alias("row_id"), F.col("row_id").alias("row_hash")), id_col, text_col)
-    if found.groupBy("row_id").count().where("count > 1").isEmpty():
+    found = stored(linked_rows(docs, width, num, den, id_col, text_col))
+    order = F.struct(F.col("row_id").isNull().alias("last"), "row_id", "row_hash")
+    several = found.where("n > 0").groupBy("class").agg(
+        F.min("row_hash").alias("a"), F.max("row_hash").alias("b"), F.min(order).getField("row_hash").alias("stays")
+    )
+    several = hinted(stored(several.where("a <> b").select(F.col("class").alias("class_"), "stays")))
+    dropped = found.join(several, F.col("class").eqNullSafe(F.col("class_")) & (F.col("n") > 0)).where("row_hash <> stays")
+    kept = rows_without(docs, dropped.select("row_id", "row_hash"), id_col, text_col)
+    repeated = stored(found.groupBy("row_hash").count().where("count > 1").select(F.col("row_hash").alias("key_")))
+    if repeated.isEmpty():
         return kept
-    name = "_".join(["key", *docs.columns])  # clashes with no column
-    return kept.withColumn(name, row_hash(docs, id_col, text_col)).dropDuplicates([name]).select(*docs.columns)
+    # Only repeated rows are moved to drop all but one of them.
+    keys, name = hinted(repeated), "_".join(["key", *docs.columns])  # clashes with no column
+    hashed = kept.withColumn(name, row_hash(docs, id_col, text_col))
+    once = hashed.join(keys, hashed[name] == keys["key_"], "left_semi").dropDuplicates([name])
+    return hashed.join(keys, hashed[name] == keys["key_"], "left_anti").unionByName(once).select(*docs.columns)

@@ -102,24 +102,26 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
 FROM s_docs LEFT JOIN s_sums USING (rid)"""
 
 JACCARD = rf"""
-WITH RECURSIVE j_words AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS ws
-  FROM documents
+WITH RECURSIVE j_docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
+), j_words AS (
+  SELECT rid, doc_id, regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS ws FROM j_docs
 ), j_sets AS (
-  SELECT DISTINCT doc_id, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS gram
-  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM j_words WHERE len(ws) >= 3)
-  UNION ALL SELECT doc_id, array_to_string(ws, ' ') FROM j_words WHERE len(ws) IN (1, 2)
+  SELECT DISTINCT rid, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS gram
+  FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM j_words WHERE len(ws) >= 3)
+  UNION ALL SELECT rid, array_to_string(ws, ' ') FROM j_words WHERE len(ws) IN (1, 2)
 ), j_sizes AS (
-  SELECT doc_id, count(*) AS n FROM j_sets GROUP BY doc_id
+  SELECT rid, count(*) AS n FROM j_sets GROUP BY rid
 ), j_links AS (
   SELECT x.a, x.b FROM (
-    SELECT l.doc_id AS a, r.doc_id AS b, count(*) AS c FROM j_sets l JOIN j_sets r ON l.gram = r.gram AND l.doc_id <> r.doc_id GROUP BY 1, 2
-  ) x JOIN j_sizes p ON p.doc_id = a JOIN j_sizes q ON q.doc_id = b WHERE 100 * c >= 90 * (p.n + q.n - c)
+    SELECT l.rid AS a, r.rid AS b, count(*) AS c FROM j_sets l JOIN j_sets r ON l.gram = r.gram AND l.rid <> r.rid GROUP BY 1, 2
+  ) x JOIN j_sizes p ON p.rid = a JOIN j_sizes q ON q.rid = b WHERE 100 * c >= 90 * (p.n + q.n - c)
 ), j_reach AS (
-  SELECT doc_id, doc_id AS other FROM j_words UNION SELECT r.doc_id, l.b FROM j_reach r JOIN j_links l ON l.a = r.other
+  SELECT rid, rid AS other FROM j_words UNION SELECT r.rid, l.b FROM j_reach r JOIN j_links l ON l.a = r.other
 )
 SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
-FROM j_words w LEFT JOIN j_sizes USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM j_reach GROUP BY doc_id) USING (doc_id)"""
+FROM j_words w LEFT JOIN j_sizes USING (rid)
+JOIN (SELECT r.rid, min(o.doc_id) AS component_id FROM j_reach r JOIN j_docs o ON o.rid = r.other GROUP BY r.rid) USING (rid)"""
 
 REPEATS = """
 WITH r_docs AS (
