@@ -31,13 +31,16 @@ CACHE_WORDS = 300_000
 STRIP = "\"'`.,;:!?()[]{}<>*#|&$%-_/\\"
 #: Characters of templates that one pass over the documents handles.
 BLOCK_CHARS = 4_000_000
-#: The first text of each name.
-TEMPLATES: dict[str, str] = {name: text for name, text, _ in reversed(all_templates())}
 #: Name, aligned words, template words, the words' range in the text, and the aligned words.
 Match = tuple[str, int, int, int, int, list[int]]
 MATCH = "license string, matched bigint, template_words bigint, first_word bigint, end_word bigint"
 
 
+def template_texts() -> dict[str, str]:
+    """The first text of each name. Templates are files, which are read on the driver alone."""
+    return {name: text for name, text, _ in reversed(all_templates())}
+
+
 def plain(word: str) -> str:
     return word.lower().strip(STRIP)
 

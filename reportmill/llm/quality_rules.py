@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reportmill.llm.common import WORD, row_hash, stored, text_of
+from reportmill.llm.common import WORD, hinted, row_hash, stored, text_of
 
 WHITE = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -109,7 +109,8 @@ def host_verdicts(measured: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataF
 def judge(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """One row per document: ``row_id``, ``row_hash``, ``host``, the measures, ``base_failed``, ``host_rejected``, ``kept``."""
     measured = stored(measure(docs, id_col, host_col, text_col))
-    verdicts = host_verdicts(measured, max_rate).select("host", "rejected")
+    # Only rejected hosts are joined, and stored, so that a host with very many documents can be split.
+    verdicts = hinted(stored(host_verdicts(measured, max_rate).where("rejected").select("host", "rejected")))
     base = F.expr(" OR ".join(RULES[name] for name in BASE_RULES))
     return (
         measured.join(verdicts, "host", "left")

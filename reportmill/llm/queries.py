@@ -70,7 +70,7 @@ def op3_lyndon_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_bigru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out = F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")) % 4 == 2
+    held_out = F.coalesce(F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")) % 4 == 2, F.lit(False))
     labels = read_table(spark, sf_dir, "labels").where(~held_out)
     scored = toxicity.score(read_table(spark, sf_dir, "documents"), labels).withColumnRenamed("row_id", "doc_id")
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

@@ -24,6 +24,8 @@ MIN_DISTINCT = 10
 LIVE = "live"
 #: A value looks live if at most so many owners hold it.
 MAX_OWNERS = 2
+#: A live value stands in so many documents (repositories) of its owners at most.
+MAX_REPOS = 20
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 MARK = "[SECRET]"
 
@@ -75,13 +77,16 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", owner_col: str = "source
         F.sort_array(F.concat(*kinds)).alias("base"),
         F.filter(spans_of(text, TOKEN, 0, len(KINDS)), lambda s: mixed(s["value"])).alias("tokens"),
     )
-    apart = lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"]))
-    return found.withColumn("tokens", F.filter("tokens", apart))
+    # A token that a base span covers is marked already; one that reaches beyond it is judged as a whole.
+    beyond = lambda t: ~F.exists("base", lambda b: (b["start"] <= t["start"]) & (b["end"] >= t["end"]))
+    return found.withColumn("tokens", F.filter("tokens", beyond))
 
 
-def ownership(candidates: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
+def ownership(candidates: DataFrame, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
     """``secret`` (a hash), ``owners``, ``repos`` and ``live``; ``candidates`` has secret, owner and repo.
 
+    A value of many owners is an example, and so is one that few owners have copied into many repositories.
+
     Counted in three steps, each combined before its shuffle, so a value that a third of all rows hold is no hot group.
     """
     return (
@@ -91,7 +96,7 @@ def ownership(candidates: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
         .agg(F.count("*").alias("repos"))
         .groupBy("secret")
         .agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"))
-        .withColumn("live", F.col("owners") <= max_owners)
+        .withColumn("live", (F.col("owners") <= max_owners) & (F.col("repos") <= max_repos))
     )
 
 
@@ -102,6 +107,7 @@ def scan(
     repo_col: str = "doc_id",
     text_col: str = "text",
     max_owners: int = MAX_OWNERS,
+    max_repos: int = MAX_REPOS,
 ) -> DataFrame:
     """One row per document: ``row_id``, ``row_hash``, ``base`` spans, ``spans`` (with live tokens), ``n_live``, ``n_example``."""
     found = stored(find_spans(docs, id_col, owner_col, repo_col, text_col))
@@ -109,7 +115,8 @@ def scan(
         "row_id", "row_hash", "owner", "repo", F.explode(F.concat("base", "tokens")).alias("span")
     )
     each = each.select("*", F.sha2("span.value", 256).alias("secret"))
-    verdicts = ownership(each, max_owners).select("secret", "live")
+    # Stored, so that both sides of the join are plain exchanges and a value that many documents hold can be split.
+    verdicts = stored(ownership(each, max_owners, max_repos).select("secret", "live"))
     marks = (
         each.join(verdicts, "secret")
         .select("row_id", "row_hash", F.struct("span.start", "span.kind", "span.end", "span.value").alias("span"), "live")
@@ -139,7 +146,8 @@ def named(spans: Column | str) -> Column:
 def redact(docs: DataFrame, id_col: str = "doc_id", owner_col: str = "source", repo_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """``docs`` with every span replaced by ``[SECRET]``, and the length of changed texts set anew."""
     spans = scan(docs, id_col, owner_col, repo_col, text_col).where(F.size("spans") > 0)
-    spans = hinted(stored(spans.groupBy("row_id", "row_hash").agg(F.first("spans").alias("spans_"))))
+    name = "_".join(["spans", *docs.columns])  # clashes with no column
+    spans = hinted(stored(spans.groupBy("row_id", "row_hash").agg(F.first("spans").alias(name))))
     hit = docs.join(spans, docs[id_col].eqNullSafe(spans["row_id"]) & (row_hash(docs, id_col, text_col) == spans["row_hash"]), "left")
     text = docs[text_col]
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
@@ -152,8 +160,8 @@ def redact(docs: DataFrame, id_col: str = "doc_id", owner_col: str = "source", r
             F.when(fresh, F.concat(state["text"], before, F.lit(MARK))).otherwise(state["text"]).alias("text"),
         )
 
-    cut = F.aggregate("spans_", start, step, lambda s: F.concat(s["text"], F.substring(text, s["at"] + 1, F.length(text))))
-    changed = F.col("spans_").isNotNull()
+    cut = F.aggregate(name, start, step, lambda s: F.concat(s["text"], F.substring(text, s["at"] + 1, F.length(text))))
+    changed = F.col(name).isNotNull()
     columns = {text_col: F.when(changed, cut).otherwise(text)}
     if length_col in docs.columns:
         columns[length_col] = F.when(changed, F.length(cut).cast(docs.schema[length_col].dataType)).otherwise(docs[length_col])

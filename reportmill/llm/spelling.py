@@ -78,6 +78,7 @@ def count_words(docs: DataFrame, least: int = 6, damage: int | None = None, id_c
                     counted = Counter()
         yield handed(counted)
 
+    ship_package(docs.sparkSession)
     return rows.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").cast("bigint").alias("n"))
 
 

@@ -82,11 +82,11 @@ s_base AS ({' UNION ALL '.join(_spans(k, *x) for k, x in enumerate(_PATTERNS[:3]
 s_tokens AS (
   SELECT * FROM ({_spans(3, *_PATTERNS[3])}) x
   WHERE regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AND len(list_distinct(string_split(value, ''))) >= 10
-    AND NOT EXISTS (SELECT 1 FROM s_base b WHERE b.rid = x.rid AND b.s < x.e AND b.e > x.s)
+    AND NOT EXISTS (SELECT 1 FROM s_base b WHERE b.rid = x.rid AND b.s <= x.s AND b.e >= x.e)
 ),
 s_all AS (SELECT * FROM s_base UNION ALL SELECT * FROM s_tokens),
 s_owned AS (
-  SELECT value, count(DISTINCT coalesce(source, chr(0))) <= 2 AS live FROM s_all JOIN s_docs USING (rid) GROUP BY value
+  SELECT value, count(DISTINCT coalesce(source, chr(0))) <= 2 AND count(DISTINCT (coalesce(source, chr(0)), doc_id)) <= 20 AS live FROM s_all JOIN s_docs USING (rid) GROUP BY value
 ),
 s_marks AS (SELECT a.*, live, kind || ':' || s || ':' || e AS name FROM s_all a JOIN s_owned USING (value)),
 s_sums AS (

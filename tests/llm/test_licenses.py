@@ -39,9 +39,9 @@ def test_every_template_finds_itself_alone():
 
 
 def test_every_disjoint_copy_is_found_for_any_number_of_blocks(spark):
-    mit, short = license_scan.TEMPLATES["MIT"], "Released under the MIT License."
-    rows = [(1, f"{short} Released the MIT License. Some text. {short}"), (2, f"{mit}\n{mit}\nand {short} {license_scan.TEMPLATES['Apache-2.0']}")]
-    rows += [rows[0], (None, short), (None, short), (3, None), (4, license_scan.TEMPLATES["BSD-3-Clause"])]
+    mit, short = license_scan.template_texts()["MIT"], "Released under the MIT License."
+    rows = [(1, f"{short} Released the MIT License. Some text. {short}"), (2, f"{mit}\n{mit}\nand {short} {license_scan.template_texts()['Apache-2.0']}")]
+    rows += [rows[0], (None, short), (None, short), (3, None), (4, license_scan.template_texts()["BSD-3-Clause"])]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = Counter(tuple(r) for r in license_scan.scan(docs).collect())
     names = Counter((r[0], r[2]) for r in got.elements())

@@ -73,6 +73,23 @@ def test_ownership_separates_copied_examples_from_live_values(spark):
     assert all(got[k]["names"] == "" and got[k]["n_example"] == 1 for k in range(5))
 
 
+def test_a_value_in_very_many_documents_of_one_owner_is_an_example(spark):
+    few, many = "q7Zp0Xk3Vb9Lm2Rt5Yw8", "A1b2C3d4E5F6G7h8I9j0"
+    rows = [(k, f"one {few}" if k < 5 else f"other {many}", "owner") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["row_id"]: (r["n_live"], r["n_example"]) for r in secret_scan.scan(docs).collect()}
+    assert got == {k: (1, 0) if k < 5 else (0, 1) for k in range(60)}
+
+
+def test_a_token_that_reaches_beyond_a_base_span_is_cut_as_a_whole(spark):
+    token = "Zk9" + "0123456789abcdef01234567" + "XyQ7Lm2Pw8"
+    rows = [(1, f"see {token} here", "a", "x"), (2, f"password={token[:30]} tail", "a", "x"), (3, "nothing", "a", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, spans_ string")
+    names = {r["row_id"]: r["names"] for r in secret_scan.scan(docs).select("row_id", secret_scan.named("spans").alias("names")).collect()}
+    assert names[1] == f"live:4:{4 + len(token)},hex:6:31" and names[2].startswith("assign:0:39")
+    assert {r["doc_id"]: r["text"] for r in secret_scan.redact(docs).collect()} == {1: "see [SECRET] here", 2: "[SECRET] tail", 3: "nothing"}
+
+
 def test_redaction_cuts_every_span_and_nothing_else(spark):
     docs = edge_docs(spark)
     out = secret_scan.redact(docs)

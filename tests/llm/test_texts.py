@@ -70,13 +70,13 @@ def test_trie_takes_ties_and_shared_prefixes():
 
 
 def test_patience_alignment_finds_edited_licenses(spark):
-    words = license_scan.TEMPLATES["MIT"].split()
+    words = license_scan.template_texts()["MIT"].split()
     edited = words[:20] + ["EXTRA", "words"] + words[20:40] + words[43:]
     rows = [
         (1, "Intro text of the work. " * 30 + " ".join(edited) + " and more."),
         (2, "// * Licensed under the Apache License,\n// * Version 2.0.\n"),
         (3, "The license of the work is under the version of the public in " * 20),
-        (4, None), (5, ""), (6, license_scan.TEMPLATES["MIT-notice"] + "\n" + license_scan.TEMPLATES["MIT-notice"]),
+        (4, None), (5, ""), (6, license_scan.template_texts()["MIT-notice"] + "\n" + license_scan.template_texts()["MIT-notice"]),
     ]
     found = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r["row_id"], r["license"]) for r in found} == {(1, "MIT"), (2, "Apache-2.0-notice"), (6, "MIT-notice")}
