@@ -39,6 +39,8 @@ SEEDS = 6
 LEAF = 16
 #: Members of a cell that meet in one task; a task holds the sets of so many, and the first member's.
 CHUNK = 256
+#: Chunks of the second round are so many times larger: it is mostly count vectors that meet there, few texts follow.
+GRID = 4
 CACHE_WORDS = 300_000
 #: So many shared cells, two numbers each, are broadcast; more are joined by a shuffle.
 MAX_CELLS = 4_000_000
@@ -380,10 +382,11 @@ def linked_rows(docs: DataFrame, width: int, num: int, den: int, id_col: str, te
     again = held.join(hinted(stored(open_cells), MAX_CELLS), "cell").select("first", "d1").distinct()
     again = stored(again.join(parts, "d1", "left").select("first", "d1", F.coalesce("label", "d1").alias("part")))
     sizes = stored(again.groupBy("first").agg(F.count("*").alias("members")))
-    again = again.join(sizes, "first").withColumn("chunk_no", F.pmod(F.xxhash64("d1"), spread))
-    small = again.where(f"members <= {chunk}").select("first", F.lit(-1).cast("bigint").alias("probe_no"), "chunk_no", "d1", "part", F.lit(True).alias("probe"))
+    wide = F.expr(f"cast(ceil(members / {GRID * chunk}) as bigint)")
+    again = again.join(sizes, "first").withColumn("chunk_no", F.pmod(F.xxhash64("d1"), wide))
+    small = again.where(f"members <= {GRID * chunk}").select("first", F.lit(-1).cast("bigint").alias("probe_no"), "chunk_no", "d1", "part", F.lit(True).alias("probe"))
     # In large groups what is not in the largest component is compared with all, chunk by chunk.
-    large = stored(again.where(f"members > {chunk}"))
+    large = stored(again.where(f"members > {GRID * chunk}"))
     counted = large.groupBy("first", "part").agg(F.count("*").alias("k"))
     main = stored(counted.groupBy("first").agg(F.max(F.struct("k", "part")).getField("part").alias("main")))
     others = large.join(main, "first").where("part <> main").withColumn("probe_no", F.col("chunk_no")).drop("chunk_no")
