@@ -4,6 +4,10 @@ Every shard owns virtual nodes on a ring of bins. A row starts at the shard of i
 continue clockwise to the next shard that has room. Only the number of rows per bin goes to the driver, at most one
 number for each of the fixed ``bins``; the rows are dealt within their bin by rank.
 
+One id, null included, may hold a third of all rows. Rows alike in id and text are counted before they are shuffled and
+written out in chunks by many tasks; others of one bin are ranked in ``SALTS`` parts by a hash of the text, whose counts
+give the rank at which each part begins.
+
 With ``slack`` 0 the capacities add up to the number of rows, so the shards' counts are at most one apart. Null ids and
 repeated rows have a bin like any other; rows alike in id and text are interchangeable. An empty table gives an empty
 result. Only the named columns of the input are read.
@@ -15,13 +19,16 @@ import hashlib
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reportmill.llm.common import text_of
+from reportmill.llm.common import stored, text_of
 
 BIN_BITS = 16
 VIRTUAL_NODES = 128
+SALTS = 256
+#: Rows alike are written out in chunks of so many.
+CHUNK = 1 << 16
 
 
 def ring_order(shards: int, bins: int, virtual_nodes: int) -> np.ndarray:
@@ -70,6 +77,13 @@ def deal(counts: np.ndarray, order: np.ndarray, room: np.ndarray) -> list[list[t
     return taken
 
 
+def before(count: str, within: str, order: str) -> Column:
+    """The sum of ``count`` over the rows that come earlier."""
+    return F.expr(
+        f"coalesce(sum({count}) OVER (PARTITION BY {within} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
+    )
+
+
 def assign(
     docs: DataFrame,
     shards: int,
@@ -82,15 +96,17 @@ def assign(
     """``row_id``, ``size`` (UTF-8 bytes plus 1), ``text_crc32``, ``shard`` and ``slot``, gapless within the shard."""
     spark, bins = docs.sparkSession, 1 << bin_bits
     text = text_of(docs, text_col)
+    place = F.xxhash64(docs[id_col])
     rows = docs.select(
         docs[id_col].alias("row_id"),
         (F.octet_length(text) + 1).cast("bigint").alias("size"),
         F.crc32(F.encode(text, "utf-8")).alias("text_crc32"),
-        F.xxhash64(docs[id_col]).alias("place"),
-    ).withColumn("bin", F.shiftrightunsigned("place", 64 - bin_bits).cast("int"))
+        F.shiftrightunsigned(place, 64 - bin_bits).cast("int").alias("bin"),
+    ).withColumn("salt", F.pmod(F.xxhash64("row_id", "text_crc32", "size"), F.lit(SALTS)).cast("int"))
+    alike = stored(rows.groupBy("bin", "salt", "row_id", "text_crc32", "size").agg(F.count("*").alias("n")))
     counts = np.zeros(bins, np.int64)
-    for row in docs.select(F.shiftrightunsigned(F.xxhash64(docs[id_col]), 64 - bin_bits).cast("int").alias("bin")).groupBy("bin").count().collect():
-        counts[row["bin"]] = row["count"]
+    for row in alike.groupBy("bin").agg(F.sum("n").alias("n")).collect():
+        counts[row["bin"]] = row["n"]
     taken = deal(counts, ring_order(shards, bins, virtual_nodes), capacities(int(counts.sum()), shards, slack))
     filled = [0] * shards
     table = []
@@ -104,10 +120,11 @@ def assign(
         if entry:
             table.append((at, entry))
     plan = spark.createDataFrame(table, "bin int, parts array<struct<upto:bigint,shard:int,shift:bigint>>")
-    rank = F.expr("row_number() OVER (PARTITION BY bin ORDER BY place, row_id, text_crc32, size) - 1")
+    parts = alike.groupBy("bin", "salt").agg(F.sum("n").alias("n"))
+    parts = parts.select("bin", "salt", before("n", "bin", "salt").alias("begin"))  # at most SALTS rows of a bin
+    ranked = alike.withColumn("from", before("n", "bin, salt", "row_id, text_crc32, size")).join(parts, ["bin", "salt"])
+    ranked = ranked.withColumn("from", F.col("from") + F.col("begin")).withColumn("upto", F.col("from") + F.col("n"))
+    chunks = ranked.withColumn("low", F.explode(F.expr(f"sequence(`from`, upto - 1, {CHUNK}L)"))).join(F.broadcast(plan), "bin")
+    rows = chunks.repartition("bin", "low").withColumn("rank", F.explode(F.expr(f"sequence(low, least(low + {CHUNK - 1}, upto - 1))")))
     part = F.get(F.filter("parts", lambda p: p["upto"] > F.col("rank")), F.lit(0))
-    return (
-        rows.withColumn("rank", rank.cast("bigint"))
-        .join(plan, "bin")
-        .select("row_id", "size", "text_crc32", part["shard"].alias("shard"), (F.col("rank") + part["shift"]).alias("slot"))
-    )
+    return rows.select("row_id", "size", "text_crc32", part["shard"].alias("shard"), (F.col("rank") + part["shift"]).alias("slot"))

@@ -168,6 +168,19 @@ def test_shards_are_balanced_and_slots_gapless(spark):
     assert sharding.assign(no_docs(spark), 8).count() == 0
 
 
+def test_shards_of_one_hot_id(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "CHUNK", 64)
+    docs = spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 5L ELSE id END AS doc_id",
+        "CASE WHEN id % 3 = 0 THEN cast(id % 700 AS string) WHEN id % 3 = 1 THEN 'same' ELSE 't' END AS text",
+    )
+    got = sharding.assign(docs, 8).collect()
+    for s in range(8):
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(375))
+    want = Counter((r["doc_id"], len(r["text"]) + 1, zlib.crc32(r["text"].encode())) for r in docs.collect())
+    assert Counter((r["row_id"], r["size"], r["text_crc32"]) for r in got) == want
+
+
 def test_shards_match_a_walk_key_by_key(spark):
     docs = spark.range(500).selectExpr("id AS doc_id", "'t' AS text")
     bins_of = {r["id"]: (r["b"], r["p"]) for r in spark.range(500).selectExpr("id", "xxhash64(id) p", "cast(shiftrightunsigned(xxhash64(id), 48) as int) b").collect()}
