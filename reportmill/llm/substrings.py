@@ -200,7 +200,8 @@ def repeated_runs(docs: DataFrame, length: int) -> DataFrame:
     """Runs [low, high] of window starts that also start elsewhere, for docs (row_id, row_hash, text as binary)."""
     rows = context_rows(docs, length)
     anchors = rows.groupBy("anchor").agg(F.count("*").alias("n"), F.min("whole").alias("a"), F.max("whole").alias("b")).where("n > 1")
-    anchors = anchors.select("anchor", (F.col("a") == F.col("b")).alias("alike"))
+    # Stored, so that both sides of the join are plain exchanges and a hot anchor can be split.
+    anchors = stored(anchors.select("anchor", (F.col("a") == F.col("b")).alias("alike")))
     shared = stored(rows.join(anchors, "anchor"))
     counted = shared.where("NOT alike").groupBy("anchor", "whole").agg(
         F.count("*").alias("n"), F.min(F.struct("row_id", "row_hash", "first", "last")).alias("one")
