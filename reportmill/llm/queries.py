@@ -16,9 +16,13 @@ SHARDS = 8
 
 
 def tokenizer_path(name: str) -> str:
-    """Where the public vocabulary files lie; ``TOKENIZER_DIR`` names another folder."""
-    folder = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
-    return os.path.join(folder, name)
+    """Where a public vocabulary file lies; ``TOKENIZER_DIR`` names another folder."""
+    folder = os.environ.get("TOKENIZER_DIR")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op7_count_tree_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
