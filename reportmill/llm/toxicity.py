@@ -2,8 +2,9 @@
 
 A word is the hashed embedding of its stem and what a small bidirectional network with attention reads from its characters; a second
 such network reads the words of a window. A text's score is the highest of its overlapping windows, which cover all of
-it. Words longer than ``WORD_CHARS`` are read as several. Labels are per document, so training picks the highest window
-of each document (first only documents of few windows) and learns from that.
+it. Words longer than ``WORD_CHARS`` are read as several. Labels are per document, so training picks the highest of all
+windows of each document (first only documents of few windows) and learns from that; the loss on documents held back
+from it says which state to keep.
 
 Null and blank texts get the score of a window without words. Repeated rows are scored alike; labels of unknown documents
 and null labels are left out; without a label of each kind every score is 0. An empty table gives an empty result. Only
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reportmill.llm.common import map_slices, row_hash, text_of
@@ -28,9 +29,12 @@ WORD_CHARS = 24
 CHAR_ROWS, CHAR_DIM, CHAR_HIDDEN = 512, 8, 8
 WORD_ROWS, WORD_DIM, HIDDEN = 4096, 8, 8
 STEM = 5
-#: At most so many labelled documents of each kind, and windows of each, are used for training.
-MAX_TOXIC, MAX_CLEAN, MAX_WINDOWS = 2000, 3000, 12
-STEPS, BATCH, RATE = 700, 48, 0.01
+#: At most so many labelled documents of each kind are used for training, whole, and no further ones after so many bytes.
+MAX_TOXIC, MAX_CLEAN, MAX_BYTES = 2000, 3000, 32 << 20
+#: Training begins with ``WARM`` steps on documents of few windows; the last quarter of ``STEPS`` goes at a lower rate. From
+#: then on the loss on held-back documents (one in ``HELD`` of each kind) is looked at after each pass and at the end, and the
+#: state with the lowest loss is taken.
+WARM, HELD, STEPS, BATCH, RATE = 120, 8, 1000, 48, 0.01
 #: In training, this share of the words is known by characters only, so that rare words are not learned by heart.
 UNKNOWN = 0.6
 CACHE_WORDS = 150_000
@@ -293,25 +297,55 @@ class Adam:
             p[k] = p[k] - np.float32(self.rate) * mean / (np.sqrt(square) + np.float32(1e-6))
 
 
-def fit(examples: Sequence[tuple[int, list[list[str]]]], steps: int = STEPS, seed: int = 7) -> Params | None:
+Examples = Sequence[tuple[int, list[list[str]]]]
+
+
+def highest(p: Params, examples: Examples) -> tuple[np.ndarray, np.ndarray]:
+    """For each document its highest window, and that window's score."""
+    scores, owner = Scorer(p).windows([w for _, windows in examples for w in windows])
+    del owner
+    at, best = 0, []
+    for _, windows in examples:
+        best.append(int(scores[at : at + len(windows)].argmax()))
+        at += len(windows)
+    starts = np.cumsum([0, *[len(windows) for _, windows in examples[:-1]]])
+    return np.array(best), scores[starts + best]
+
+
+def hold_back(examples: Examples, rng: np.random.Generator) -> tuple[Examples, Examples]:
+    """Documents to learn from, and those to look at. With too few of a kind, all serve for both."""
+    held: set[int] = set()
+    for kind in (0, 1):
+        mine = [k for k, (label, _) in enumerate(examples) if label == kind]
+        if len(mine) < 2 * HELD:
+            return examples, examples
+        held.update(rng.permutation(mine)[: len(mine) // HELD].tolist())
+    return [e for k, e in enumerate(examples) if k not in held], [examples[k] for k in sorted(held)]
+
+
+def fit(examples: Examples, steps: int = STEPS, seed: int = 7) -> Params | None:
     """``examples``: label and windows of each document. None where a label is missing."""
     if len({label for label, _ in examples}) < 2:
         return None
     rng, p, adam = np.random.default_rng(seed), init(seed), Adam(RATE)
     share = sum(label for label, _ in examples) / len(examples)
+    weight = min(1.0, 2.5 * share / (1 - share))
+    examples, held = hold_back(examples, rng)
+    held_labels = np.array([label for label, _ in held])
+
+    def held_loss() -> float:
+        scores = np.clip(highest(p, held)[1].astype(np.float64), 1e-4, 1 - 1e-4)
+        return -float(np.where(held_labels > 0, np.log(scores), weight * np.log(1 - scores)).sum())
+
+    best, lowest = p, np.inf
     while adam.step < steps:
         chosen: list[tuple[int, list[str]]] = []
-        if adam.step < steps // 6:
+        if adam.step < WARM:
             few = [e for e in examples if len(e[1]) <= 3] if any(label and len(w) <= 3 for label, w in examples) else examples
             chosen = [(label, w) for label, windows in few for w in windows]
         else:
-            scores, owner = Scorer(p).windows([w for _, windows in examples for w in windows])
-            del owner
-            at = 0
-            for label, windows in examples:
-                mine = scores[at : at + len(windows)]
-                at += len(windows)
-                chosen.append((label, windows[int(mine.argmax())]))
+            for (label, windows), top in zip(examples, highest(p, examples)[0], strict=True):
+                chosen.append((label, windows[top]))
                 if not label and len(windows) > 1:
                     chosen.append((label, windows[int(rng.integers(len(windows)))]))
         order = rng.permutation(len(chosen))
@@ -321,36 +355,39 @@ def fit(examples: Sequence[tuple[int, list[list[str]]]], steps: int = STEPS, see
             adam.rate = RATE * (1 if adam.step < 0.75 * steps else 0.25)
             part = [chosen[k] for k in order[at : at + BATCH]]
             labels = np.array([label for label, _ in part], np.float32)
-            weights = np.where(labels > 0, np.float32(1), np.float32(min(1.0, 2.5 * share / (1 - share)))) / len(part)
+            weights = np.where(labels > 0, np.float32(1), np.float32(weight)) / len(part)
             adam(p, gradients(p, [w for _, w in part], labels, weights, rng)[0])
-    return p
+        if adam.step >= 0.75 * steps:
+            loss = held_loss()
+            if loss < lowest:
+                best, lowest = dict(p), loss
+    return best
 
 
 def training_windows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> list[tuple[int, list[list[str]]]]:
-    """Windows of at most ``MAX_TOXIC`` and ``MAX_CLEAN`` documents, picked by a hash of their id."""
-    known = labels.where(labels[label_col].isin(0, 1)).select(labels[id_col].alias("label_id"), labels[label_col].alias("label"))
+    """All windows of at most ``MAX_TOXIC`` and ``MAX_CLEAN`` documents, picked by a hash of their id."""
+    known = labels.where(labels[label_col].isin(0, 1)).select(labels[id_col].alias("label_id"), labels[label_col].cast("int").alias("label"))
     picked = [known.where(F.col("label") == k).orderBy(F.xxhash64("label_id"), "label_id").limit(n) for k, n in ((1, MAX_TOXIC), (0, MAX_CLEAN))]
     sample = F.broadcast(picked[0].union(picked[1]))  # MAX_TOXIC + MAX_CLEAN rows
     texts = docs.select(docs[id_col].alias("row_id"), text_of(docs, text_col).alias("text"))
-    rows = texts.join(sample, F.col("row_id") == F.col("label_id")).select("row_id", "label", "text")
+    rows = texts.join(sample, F.col("row_id") == F.col("label_id")).select(F.col("row_id").cast("string"), "label", "text").distinct()
+    earlier = Window.partitionBy("label").orderBy(F.xxhash64("row_id"), "row_id", F.md5("text")).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("before", F.coalesce(F.sum(F.octet_length("text")).over(earlier), F.lit(0))).where(F.col("before") < MAX_BYTES)
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             out = []
             for text in batch.column("text").to_pylist():
                 words = words_of(text)
-                starts = window_starts(len(words))
-                if len(starts) > MAX_WINDOWS:
-                    starts = [starts[k * len(starts) // MAX_WINDOWS] for k in range(MAX_WINDOWS)]
-                out.append([" ".join(words[s : s + WINDOW]) for s in starts])
-            label = batch.column("label").cast(pa.int32())
-            return pa.RecordBatch.from_arrays([batch.column("row_id").cast(pa.int64()), label, pa.array(out, pa.list_(pa.string()))], names=["row_id", "label", "windows"])
+                out.append([" ".join(words[s : s + WINDOW]) for s in window_starts(len(words))])
+            return pa.RecordBatch.from_arrays([batch.column("row_id"), batch.column("label"), pa.array(out, pa.list_(pa.string()))], names=["row_id", "label", "windows"])
 
         return work
 
-    found = map_slices(rows, make, "row_id bigint, label int, windows array<string>").collect()
-    unique = {(r["row_id"], r["label"], tuple(r["windows"])) for r in found}
-    return [(label, [w.split() for w in windows]) for _, label, windows in sorted(unique)]
+    found = map_slices(rows.select("row_id", "label", "text"), make, "row_id string, label int, windows array<string>").collect()
+    word: dict[str, str] = {}  # each word is kept once
+    found = sorted((r["row_id"], r["label"], tuple(r["windows"])) for r in found)
+    return [(label, [[word.setdefault(w, w) for w in window.split()] for window in windows]) for _, label, windows in found]
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:

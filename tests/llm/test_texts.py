@@ -107,6 +107,60 @@ def test_toxicity_gradients():
         assert math.isclose((losses[0] - losses[1]) / (2 * step), grads[name][at], rel_tol=1e-2, abs_tol=1e-4), name
 
 
+def plain_state(p, level, way, inputs):
+    """The states of a gated network for one sequence, step by step."""
+    h = len(p[f"{level}{way}h"])
+    state, out = np.zeros(h), []
+    for x in inputs:
+        gate, up = x @ p[f"{level}{way}x"] + p[f"{level}{way}b"], state @ p[f"{level}{way}h"]
+        z, r = (1 / (1 + np.exp(-(gate[k * h : (k + 1) * h] + up[k * h : (k + 1) * h]))) for k in (0, 1))
+        state = (1 - z) * np.tanh(gate[2 * h :] + r * up[2 * h :]) + z * state
+        out.append(state)
+    return out
+
+
+def plain_read(p, level, inputs):
+    """Attention over both directions for one sequence."""
+    if not inputs:
+        return np.zeros(2 * len(p[f"{level}fh"]))
+    ahead, back = plain_state(p, level, "f", inputs), plain_state(p, level, "b", inputs[::-1])[::-1]
+    states = [np.concatenate(pair) for pair in zip(ahead, back)]
+    shares = np.exp([np.tanh(s @ p[f"{level}a"]) @ p[f"{level}v"] for s in states])
+    return sum(a * s for a, s in zip(shares / shares.sum(), states))
+
+
+def plain_score(p, text):
+    words = [w[i : i + 24] for w in text.lower().split() for i in range(0, len(w), 24)]
+    starts = [0] if len(words) <= 160 else [*range(0, len(words) - 160, 120), len(words) - 160]
+    scores = []
+    for start in starts:
+        inputs = []
+        for w in words[start : start + 160]:
+            read = plain_read(p, "c", [p["chars"][ord(c) % len(p["chars"])] for c in w])
+            inputs.append(np.concatenate([p["words"][zlib.crc32(w[:5].encode()) % len(p["words"])], read]))
+        scores.append(1 / (1 + np.exp(-(plain_read(p, "w", inputs) @ p["out"] + p["bias"][0]))))
+    return max(scores)
+
+
+def test_toxicity_scores_match_a_plain_network():
+    rng = random.Random(9)
+    texts = ["", " ", "a", "x" * 60 + " \u00e9t\u00e9 \U0001f600"]
+    texts += [" ".join("".join(rng.choice("abcde") for _ in range(rng.randint(1, 30))) for _ in range(n)) for n in (3, 160, 161, 410)]
+    p = {k: v.astype(np.float64) for k, v in toxicity.init(3).items()}
+    for got, text in zip(toxicity.Scorer(p)(texts), texts, strict=True):
+        assert math.isclose(got, plain_score(p, text), abs_tol=1e-4)
+
+
+def test_training_reads_whole_documents_up_to_a_size(spark, monkeypatch):
+    docs = spark.createDataFrame([(str(k), "w" + str(k) + " x" * (400 * k)) for k in range(12)], "doc_id string, text string")
+    labels = spark.createDataFrame([(str(k), k % 2) for k in range(12)], "doc_id string, toxic long")
+    read = toxicity.training_windows(docs, labels, "doc_id", "text", "toxic")
+    assert sorted(len(w) for _, w in read) == sorted(len(toxicity.window_starts(400 * k + 1)) for k in range(12))
+    monkeypatch.setattr(toxicity, "MAX_BYTES", 1)
+    assert sorted(label for label, _ in toxicity.training_windows(docs, labels, "doc_id", "text", "toxic")) == [0, 1]
+    assert toxicity.score(docs, labels).where("score BETWEEN 0 AND 1").count() == 12
+
+
 def test_toxicity_learns_marked_words(spark):
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("aeiourstlnm") for _ in range(rng.randint(2, 8)))
