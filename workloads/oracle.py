@@ -309,6 +309,9 @@ ORACLE = {
         FROM orders
     """,
     "catalog_refresh": f"SELECT {REPORT}, {PARTITION} FROM events",
+    "catalog_discovered": f"""
+        SELECT {REPORT}, CASE WHEN hour(ts) >= 12 THEN 'pm' END AS delivery, {PARTITION} FROM events
+    """,
     "mart_by_type_day": mart(
         "'set-' || event_type AS adset_id, upper(event_type) AS adset_name", "events", "event_type"
     ),

@@ -42,6 +42,7 @@ from reportmill.plans.spend import spend_summary
 from reportmill.plans.warehouse import load_report, load_report_once
 from reportmill.session import work_dir
 from reportmill.sinks.catalog import publish, register_table
+from reportmill.sinks.discovery import discover
 from reportmill.sinks.export import CSV_OPTIONS, export_sorted, land_by_day
 from reportmill.sinks.partitioned import write_partitions
 from reportmill.sinks.warehouse import LOAD, append_table
@@ -565,6 +566,23 @@ def catalog_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_metrics(spark.table(name))
 
 
+def catalog_discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registered table after another writer added the evening's rows, with a column of their own."""
+    root = work_dir(spark)
+    target, name = f"{root}/curated", f"events_{suffix(root)}"
+    events = table(spark, sf_dir, "events")
+
+    def typed(rows: DataFrame) -> DataFrame:
+        return with_partitions(conform(inputs.raw_report(rows), EVENTS), EVENTS)
+
+    write_partitions(typed(events.where(inputs.is_morning())), target, PARTITIONS)
+    register_table(spark, name, target, EVENTS.curated_schema, PARTITIONS)
+    foreign = typed(events.where(~inputs.is_morning())).withColumn("delivery", F.lit("pm"))
+    foreign.repartition(*PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).parquet(target)
+    discover(spark, name, target, PARTITIONS)
+    return plain_metrics(spark.table(name))
+
+
 def mart_by_type_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = conform(inputs.raw_report(table(spark, sf_dir, "events")), EVENTS)
     root = work_dir(spark)
@@ -709,6 +727,7 @@ QUERIES = {
     "run_week": run_week,
     "order_windows": order_windows,
     "catalog_refresh": catalog_refresh,
+    "catalog_discovered": catalog_discovered,
     "mart_by_type_day": mart_by_type_day,
     "region_mart": region_mart,
     "marts_refreshed": marts_refreshed,
