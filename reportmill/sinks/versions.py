@@ -4,50 +4,100 @@ A load is written to a folder of its own, ``versions/<name>``, and a marker says
 partitions of the table pointed at the new folders, each in one step of the catalog. Until the marker is set the table
 stays as it was; a load that is interrupted afterwards is finished by the next one. Readers see every partition either
 before or after the load. Folders that no partition points at any more are removed later, by :func:`remove_unused`.
+
+A table may be laid out in buckets. Its rows are then hashed by the bucket columns already, so a merge by these columns
+shuffles the incoming rows alone.
 """
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reportmill.functions import literal, quote
+from reportmill.functions import column, literal, quote
 from reportmill.session import hadoop_path
 from reportmill.sinks.catalog import ADD_BATCH, check_location, column_list, partition_spec, table_name
 from reportmill.sources.curated import partition_path
 
 SWITCHES = 16
 ROWS = "__rows"
+LOADING = "__load_"
+
+
+@dataclass(frozen=True)
+class Buckets:
+    """Every partition is stored in ``number`` files, by a hash of ``keys``, and sorted by them within a file."""
+
+    number: int
+    keys: tuple[str, ...]
 
 
-def create_versioned(spark: SparkSession, table: str, root: str, schema: T.StructType, keys: Sequence[str]) -> None:
-    """An empty table at ``root`` whose partitions are only those that the catalog names."""
+def create_versioned(
+    spark: SparkSession,
+    table: str,
+    root: str,
+    schema: T.StructType,
+    keys: Sequence[str],
+    buckets: Buckets | None = None,
+) -> None:
+    """An empty table at ``root`` whose partitions are only those that the catalog names.
+
+    A table that exists already keeps its layout, whatever ``buckets`` says.
+    """
     check_location(spark, table, root)
     columns = column_list(schema)
     parts = ", ".join(quote(key) for key in keys)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table_name(*table.split('.'))} ({columns}) USING parquet "
-        f"PARTITIONED BY ({parts}) LOCATION {literal(root)}"
+        f"PARTITIONED BY ({parts}) {clustered_by(buckets)}LOCATION {literal(root)}"
     )
 
 
-def replace_partitions(rows: DataFrame, table: str, root: str, keys: Sequence[str]) -> list[Row]:
+def clustered_by(buckets: Buckets | None) -> str:
+    if buckets is None:
+        return ""
+    names = ", ".join(quote(key) for key in buckets.keys)
+    return f"CLUSTERED BY ({names}) SORTED BY ({names}) INTO {buckets.number} BUCKETS "
+
+
+def table_buckets(spark: SparkSession, table: str) -> Buckets | None:
+    """The bucket layout that the catalog has for ``table``."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(*table.split('.'))}")
+    found = {row.col_name: row.data_type for row in described.where("col_name IN ('Num Buckets', 'Bucket Columns')").collect()}
+    if "Num Buckets" not in found:
+        return None
+    return Buckets(int(found["Num Buckets"]), tuple(re.findall("`([^`]+)`", found["Bucket Columns"])))
+
+
+def by_bucket(rows: DataFrame, buckets: Buckets) -> DataFrame:
+    """``rows`` with one task for each bucket, hashed as the stored files are."""
+    return rows.repartition(buckets.number, *[column(key) for key in buckets.keys])
+
+
+def replace_partitions(rows: DataFrame, table: str, root: str, keys: Sequence[str], placed: bool = False) -> list[Row]:
     """Replace the partitions that ``rows`` fall into. Returns their keys with the number of rows written to each.
 
     The numbers are read from the footers of the files that were committed, so they are exact after any retry.
+    Rows for a bucketed table are shuffled by bucket, unless they are ``placed`` so already.
     """
     spark = rows.sparkSession
     finish_pending(spark, table, root, keys)
     name = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     path = version_path(root, name)
-    rows.hint("rebalance", *keys).write.partitionBy(*keys).parquet(path)
+    buckets = table_buckets(spark, table)
+    if buckets is None:
+        rows.hint("rebalance", *keys).write.partitionBy(*keys).parquet(path)
+    else:
+        write_buckets(rows if placed else by_bucket(rows, buckets), f"{table}{LOADING}{name.replace('-', '_')}", path, keys, buckets)
     mark(spark, root, name)
     written = written_partitions(spark, table, path, keys)
     switch(spark, table, path, keys, written)
@@ -55,6 +105,26 @@ def replace_partitions(rows: DataFrame, table: str, root: str, keys: Sequence[st
     return written
 
 
+def write_buckets(rows: DataFrame, loading: str, path: str, keys: Sequence[str], buckets: Buckets) -> None:
+    """Write ``rows`` to ``path`` in buckets. Spark writes buckets only to tables, so a table ``loading`` exists meanwhile."""
+    writer = rows.write.format("parquet").option("path", path).partitionBy(*keys)
+    writer.bucketBy(buckets.number, *buckets.keys).sortBy(*buckets.keys).saveAsTable(table_name(*loading.split(".")))
+    # The table is external: its files stay.
+    rows.sparkSession.sql(f"DROP TABLE {table_name(*loading.split('.'))}")
+
+
+def drop_loading(spark: SparkSession, table: str, limit: str) -> None:
+    """Drop the tables of loads that died before ``limit`` while they were writing buckets."""
+    database, name = ([""] + table.split("."))[-2:]
+    within = f"IN {quote(database)} " if database else ""
+    listed = spark.sql(f"SHOW TABLES {within}LIKE {literal(f'{name}{LOADING}*'.lower())}").collect()
+    pattern = re.compile(re.escape(f"{name}{LOADING}") + r"(\d{20})_[0-9a-f]{8}", re.IGNORECASE)
+    for row in listed:
+        found = pattern.fullmatch(row.tableName)
+        if found and found[1] < limit:
+            spark.sql(f"DROP TABLE IF EXISTS {table_name(*[part for part in (database, row.tableName) if part])}")
+
+
 def version_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/versions/{name}"
 
@@ -138,6 +208,7 @@ def remove_unused(spark: SparkSession, table: str, root: str, older_than_hours:
     if not files.exists(location):
         return 0
     limit = f"{time.time_ns() - int(older_than_hours * 3.6e12):020d}"
+    drop_loading(spark, table, limit)
     used = spark.table(table).select(F.col("_metadata.file_path").alias("file")).distinct()
     stored = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(location.toString())
     stored = stored.where("path LIKE '%.parquet'").select("path", F.col("_metadata.file_path").alias("file"))

@@ -157,6 +157,7 @@ ORACLE = {
     "upsert_idempotent": CURATED,
     "catalog_upsert": CURATED,
     "curate_versioned": CURATED,
+    "curate_bucketed": CURATED,
     "incremental_files": CURATED,
     "scan_recursive_csv": f"SELECT {EVENT_COLUMNS} FROM events",
     "scan_header_groups": """
