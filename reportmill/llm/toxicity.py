@@ -38,7 +38,7 @@ WARM, HELD, STEPS, BATCH, RATE = 120, 8, 1000, 48, 0.01
 #: In training, this share of the words is known by characters only, so that rare words are not learned by heart.
 UNKNOWN = 0.6
 CACHE_WORDS = 150_000
-GROUP = 1024
+GROUP = 512
 Params = dict[str, np.ndarray]
 
 
@@ -72,92 +72,115 @@ def init(seed: int = 7) -> Params:
     return p | {"out": make(2 * HIDDEN), "bias": np.full(1, -1, np.float32)}
 
 
-def active(lengths: np.ndarray, steps: int) -> list[int]:
-    """How many rows have each step; rows come by falling length, so these are the first ones."""
-    return np.searchsorted(-lengths, -np.arange(steps), "left").tolist()
-
-
-def gru(gates: np.ndarray, lengths: np.ndarray, recur: np.ndarray, back: bool, trace: list | None = None) -> np.ndarray:
-    """Hidden states (time, rows, hidden) for input gates (time, rows, 3 hidden); rows come by falling length."""
-    steps, rows, width = gates.shape
-    h = width // 3
-    state, out = np.zeros((rows, h), gates.dtype), np.zeros((steps, rows, h), gates.dtype)
-    count = active(lengths, steps)
-    for t in range(steps - 1, -1, -1) if back else range(steps):
-        k = count[t]
-        old = state[:k]
-        up = old @ recur
-        zr = sigmoid(gates[t, :k, : 2 * h] + up[:, : 2 * h])
+class Steps:
+    """The steps of rows that come by falling length, without padding: all rows' first step, then all second steps.
+
+    Networks read arrays (values, steps) in this order; numpy is slow on slices of a few values each, so steps are last.
+    """
+
+    def __init__(self, lengths: np.ndarray) -> None:
+        self.rows, steps = len(lengths), max(1, int(lengths.max(initial=1)))
+        self.mask = np.arange(steps)[:, None] < lengths
+        self.count = np.searchsorted(-lengths, -np.arange(steps), "left")  # these are the first ones
+        self.first = np.cumsum(self.count) - self.count
+        time, self.row = np.nonzero(self.mask)
+        #: Where a step goes when every row is read from its end; the same way back.
+        self.turn = self.first[lengths[self.row] - 1 - time] + self.row
+        self.parts = [(k, slice(at, at + k)) for k, at in zip(self.count.tolist(), self.first.tolist(), strict=True) if k]
+
+
+def gru(gates: np.ndarray, at: Steps, recur: np.ndarray, trace: list | None = None) -> np.ndarray:
+    """Hidden states (way, hidden, steps) for input gates (way, 3 hidden, steps), both ways at once."""
+    h = recur.shape[1]
+    turned = np.ascontiguousarray(recur.transpose(0, 2, 1))
+    state, out = np.zeros((2, h, at.rows), gates.dtype), np.empty((2, h, gates.shape[2]), gates.dtype)
+    for k, part in at.parts:
+        old = state[:, :, :k]
+        up = turned @ old
+        zr = gates[:, : 2 * h, part] + up[:, : 2 * h]
+        zr *= 0.5
+        np.tanh(zr, out=zr)
+        zr *= 0.5
+        zr += 0.5
         z, r = zr[:, :h], zr[:, h:]
-        n = np.tanh(gates[t, :k, 2 * h :] + r * up[:, 2 * h :])
-        new = n + z * (old - n)
+        n = r * up[:, 2 * h :]
+        n += gates[:, 2 * h :, part]
+        np.tanh(n, out=n)
         if trace is not None:
-            trace.append((t, old.copy(), z, r, n, up[:, 2 * h :]))
-        state[:k] = out[t, :k] = new
+            trace.append((k, part, old.copy(), z, r, n, up[:, 2 * h :]))
+        new = old - n
+        new *= z
+        new += n
+        state[:, :, :k] = out[:, :, part] = new
     return out
 
 
-def gru_back(grad: np.ndarray, trace: list, recur: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def gru_back(grad: np.ndarray, at: Steps, trace: list, recur: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Gradients of the input gates and of the recurrent weights."""
-    h = grad.shape[2]
-    d_gates, d_recur = np.zeros((*grad.shape[:2], 3 * h), grad.dtype), np.zeros_like(recur)
-    carry = np.zeros(grad.shape[1:], grad.dtype)
-    for t, state, z, r, n, un in reversed(trace):
-        k = len(state)
-        d = grad[t, :k] + carry[:k]
-        dn = d * (1 - z) * (1 - n * n)
-        dz = d * (state - n) * z * (1 - z)
-        dr = dn * un * r * (1 - r)
-        d_up = np.concatenate([dz, dr, dn * r], axis=1)
-        d_gates[t, :k, : 2 * h] = d_up[:, : 2 * h]
-        d_gates[t, :k, 2 * h :] = dn
-        d_recur += state.T @ d_up
-        carry[:k] = d * z + d_up @ recur.T
+    h = recur.shape[1]
+    d_gates, d_recur = np.empty((2, 3 * h, grad.shape[2]), grad.dtype), np.zeros_like(recur)
+    carry = np.zeros((2, h, at.rows), grad.dtype)
+    for k, part, state, z, r, n, un in reversed(trace):
+        d = grad[:, :, part] + carry[:, :, :k]
+        rest = 1 - z
+        d_up = np.empty((2, 3 * h, k), grad.dtype)
+        d_up[:, :h] = (state - n) * z * d * rest
+        dn = (1 - n * n) * rest * d
+        d_up[:, h : 2 * h] = (r - r * r) * un * dn
+        d_up[:, 2 * h :] = dn * r
+        d_gates[:, : 2 * h, part] = d_up[:, : 2 * h]
+        d_gates[:, 2 * h :, part] = dn
+        d_recur += state @ d_up.transpose(0, 2, 1)
+        d *= z
+        d += recur @ d_up
+        carry[:, :, :k] = d
     return d_gates, d_recur
 
 
-def add_rows(shape: tuple[int, ...], rows: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Values summed by table row."""
-    order = np.argsort(rows, kind="stable")
-    rows = rows[order]
-    first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-    out = np.zeros(shape, values.dtype)
-    out[rows[first]] = np.add.reduceat(values[order], first, axis=0)
-    return out
+def summed(values: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Values (values, steps) summed by number, for the numbers 0 to ``n`` - 1."""
+    return np.stack([np.bincount(at, v, n) for v in values]).astype(values.dtype)
+
 
+def both_ways(values: np.ndarray, at: Steps) -> np.ndarray:
+    """Values (two times some, steps) as (way, some, steps), each way in the order in which it is read."""
+    half = len(values) // 2
+    return np.stack([values[:half], values[half:][:, at.turn]])
 
-def read(p: Params, level: str, gates: tuple[np.ndarray, np.ndarray], lengths: np.ndarray, trace: dict | None = None) -> np.ndarray:
-    """Both directions and attention pooling: one vector per row."""
-    traces = ([], []) if trace is not None else (None, None)
-    states = np.concatenate([gru(gates[k], lengths, p[f"{level}{way}h"], k == 1, traces[k]) for k, way in enumerate("fb")], axis=2)
-    steps, rows, width = states.shape
-    u = np.tanh(states.reshape(-1, width) @ p[f"{level}a"]).reshape(steps, rows, -1)
-    mask = np.arange(steps)[:, None] < lengths
-    e = np.where(mask, u @ p[f"{level}v"], np.float32(-1e9))
-    a = np.exp(e - e.max(axis=0)) * mask
+
+def read(p: Params, level: str, gates: np.ndarray, at: Steps, trace: dict | None = None) -> np.ndarray:
+    """Both directions and attention pooling: one vector per row. ``gates``: (6 hidden, steps)."""
+    ways = [] if trace is not None else None
+    states = gru(both_ways(gates, at), at, np.stack([p[f"{level}{way}h"] for way in "fb"]), ways)
+    states = np.concatenate([states[0], states[1][:, at.turn]])
+    u = np.tanh(p[f"{level}a"].T @ states)
+    e = np.full(at.mask.shape, -1e9, states.dtype)
+    e[at.mask] = p[f"{level}v"] @ u
+    a = np.exp(e - e.max(axis=0)) * at.mask
     a /= np.maximum(a.sum(axis=0), np.float32(1e-9))
-    pooled = np.einsum("tr,trh->rh", a, states)
+    a = a[at.mask]
+    weighed, pooled = states * a, np.zeros((len(states), at.rows), states.dtype)
+    for k, part in at.parts:
+        pooled[:, :k] += weighed[:, part]
     if trace is not None:
-        trace |= {"traces": traces, "states": states, "u": u, "a": a}
-    return pooled
+        trace |= {"ways": ways, "states": states, "u": u, "a": a}
+    return pooled.T
 
 
-def read_back(p: Params, level: str, d_pooled: np.ndarray, trace: dict, grads: Params) -> tuple[np.ndarray, np.ndarray]:
+def read_back(p: Params, level: str, d_pooled: np.ndarray, at: Steps, trace: dict, grads: Params) -> np.ndarray:
+    """Gradients of the input gates (6 hidden, steps)."""
     states, u, a = trace["states"], trace["u"], trace["a"]
-    h = states.shape[2] // 2
-    d_a = np.einsum("rh,trh->tr", d_pooled, states)
-    d_e = a * (d_a - (a * d_a).sum(axis=0))
-    grads[f"{level}v"] = np.einsum("tr,trh->h", d_e, u)
-    d_u = d_e[:, :, None] * p[f"{level}v"] * (1 - u * u)
-    flat = d_u.reshape(-1, u.shape[2])
-    grads[f"{level}a"] = states.reshape(-1, 2 * h).T @ flat
-    d_states = a[:, :, None] * d_pooled + (flat @ p[f"{level}a"].T).reshape(states.shape)
-    out = []
+    spread = np.take(np.ascontiguousarray(d_pooled.T), at.row, axis=1)
+    d_e = a * (spread * states).sum(axis=0)
+    d_e -= a * np.bincount(at.row, d_e, at.rows).astype(a.dtype)[at.row]
+    grads[f"{level}v"] = u @ d_e
+    d_u = (1 - u * u) * p[f"{level}v"][:, None] * d_e
+    grads[f"{level}a"] = states @ d_u.T
+    d_states = spread * a + p[f"{level}a"] @ d_u
+    d_gates, d_recur = gru_back(both_ways(d_states, at), at, trace["ways"], np.stack([p[f"{level}{way}h"] for way in "fb"]))
     for k, way in enumerate("fb"):
-        d_gates, grads[f"{level}{way}h"] = gru_back(d_states[:, :, k * h : (k + 1) * h], trace["traces"][k], p[f"{level}{way}h"])
-        grads[f"{level}{way}b"] = d_gates.sum(axis=(0, 1))
-        out.append(d_gates)
-    return out[0], out[1]
+        grads[f"{level}{way}h"], grads[f"{level}{way}b"] = d_recur[k], d_gates[k].sum(axis=1)
+    return np.concatenate([d_gates[0], d_gates[1][:, at.turn]])
 
 
 def char_rows(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -174,8 +197,17 @@ def word_rows(words: Sequence[str]) -> np.ndarray:
     return np.fromiter((zlib.crc32(w[:STEM].encode()) % WORD_ROWS for w in words), np.int64, len(words))
 
 
-def gates_of(p: Params, level: str, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return tuple(x @ p[f"{level}{way}x"] + p[f"{level}{way}b"] for way in "fb")
+def gates_of(p: Params, level: str, x: np.ndarray) -> np.ndarray:
+    """Input gates of both directions (rows, 6 hidden). Equal inputs have equal gates, so these are computed once and looked up."""
+    return np.concatenate([x @ p[f"{level}{way}x"] + p[f"{level}{way}b"] for way in "fb"], axis=1)
+
+
+def gates_back(p: Params, level: str, x: np.ndarray, d_gates: np.ndarray, at: np.ndarray, grads: Params) -> np.ndarray:
+    """Gradients of the inputs ``x``, whose numbers at each step are ``at``."""
+    d_rows = summed(d_gates, at, len(x)).T
+    half = d_rows.shape[1] // 2
+    grads[f"{level}fx"], grads[f"{level}bx"] = x.T @ d_rows[:, :half], x.T @ d_rows[:, half:]
+    return d_rows[:, :half] @ p[f"{level}fx"].T + d_rows[:, half:] @ p[f"{level}bx"].T
 
 
 class Scorer:
@@ -183,19 +215,20 @@ class Scorer:
 
     def __init__(self, p: Params) -> None:
         self.p = p
-        self.char_gates = gates_of(p, "c", p["chars"])
+        self.char_gates = np.ascontiguousarray(gates_of(p, "c", p["chars"]).T)
         self.known: dict[str, int] = {}
         self.table = np.zeros((1, 6 * HIDDEN), np.float32)
 
     def _learn(self, words: list[str]) -> None:
         words.sort(key=len, reverse=True)
         rows = []
-        for at in range(0, len(words), GROUP):
-            part = words[at : at + GROUP]
+        for start in range(0, len(words), GROUP):
+            part = words[start : start + GROUP]
             chars, lengths = char_rows(part)
-            vectors = read(self.p, "c", tuple(g[chars] for g in self.char_gates), lengths)
+            at = Steps(lengths)
+            vectors = read(self.p, "c", np.take(self.char_gates, chars[at.mask], axis=1), at)
             x = np.concatenate([self.p["words"][word_rows(part)], vectors], axis=1)
-            rows.append(np.concatenate(gates_of(self.p, "w", x), axis=1))
+            rows.append(gates_of(self.p, "w", x))
         self.known |= {w: len(self.table) + k for k, w in enumerate(words)}
         self.table = np.concatenate([self.table, *rows])
 
@@ -216,13 +249,12 @@ class Scorer:
         lengths = np.fromiter(map(len, index), np.int64, len(index))
         order = np.argsort(-lengths, kind="stable")
         scores = np.zeros(len(index), np.float32)
-        for at in range(0, len(order), GROUP):
-            mine = order[at : at + GROUP]
-            size = lengths[mine]
-            ids = np.zeros((len(mine), max(1, int(size.max()))), np.int64)
-            ids[np.arange(ids.shape[1]) < size[:, None]] = np.concatenate([index[k] for k in mine])
-            gates = self.table[ids.T]
-            pooled = read(self.p, "w", (gates[:, :, : 3 * HIDDEN], gates[:, :, 3 * HIDDEN :]), size)
+        for start in range(0, len(order), GROUP):
+            mine = order[start : start + GROUP]
+            at = Steps(lengths[mine])
+            ids = np.zeros(at.mask.T.shape, np.int64)
+            ids[at.mask.T] = np.concatenate([index[k] for k in mine])
+            pooled = read(self.p, "w", np.ascontiguousarray(self.table[ids.T[at.mask]].T), at)
             scores[mine] = sigmoid(pooled @ self.p["out"] + self.p["bias"])
         return scores, np.array(owner)
 
@@ -243,37 +275,28 @@ def gradients(
     number = {w: k for k, w in enumerate(distinct)}
     chars, char_lengths = char_rows(distinct)
     rows = word_rows(distinct)
-    char_x = p["chars"][chars]
+    char_at = Steps(char_lengths)
+    chars = chars[char_at.mask]
     char_trace: dict = {}
-    vectors = read(p, "c", gates_of(p, "c", char_x), char_lengths, char_trace)
+    vectors = read(p, "c", np.take(gates_of(p, "c", p["chars"]).T, chars, axis=1), char_at, char_trace)
     seen = np.ones((len(rows), 1), np.float32) if rng is None else (rng.random((len(rows), 1)) >= UNKNOWN).astype(np.float32)
-    x_words = np.concatenate([p["words"][rows] * seen, vectors], axis=1)
-    lengths = np.array([len(w) for w in windows])
-    ids = np.zeros((max(1, int(lengths.max())), len(windows)), np.int64)
+    x = np.concatenate([p["words"][rows] * seen, vectors], axis=1)
+    at = Steps(np.array([len(w) for w in windows]))
+    ids = np.zeros(at.mask.shape, np.int64)
     for k, words in enumerate(windows):
         ids[: len(words), k] = [number[w] for w in words]
-    x = x_words[ids]
+    ids = ids[at.mask]
     trace: dict = {}
-    pooled = read(p, "w", gates_of(p, "w", x), lengths, trace)
+    pooled = read(p, "w", np.take(gates_of(p, "w", x).T, ids, axis=1), at, trace)
     score = sigmoid(pooled @ p["out"] + p["bias"])
     loss = -float(np.sum(weights * (labels * np.log(score + 1e-7) + (1 - labels) * np.log(1 - score + 1e-7))))
     d = (weights * (score - labels)).astype(np.float32)
     grads: Params = {"out": pooled.T @ d, "bias": d.sum(keepdims=True)}
-    both = read_back(p, "w", d[:, None] * p["out"], trace, grads)
-    d_x = np.zeros_like(x)
-    for way, d_gates in zip("fb", both, strict=True):
-        flat = d_gates.reshape(-1, d_gates.shape[2])
-        grads[f"w{way}x"] = x.reshape(-1, x.shape[2]).T @ flat
-        d_x += (flat @ p[f"w{way}x"].T).reshape(x.shape)
-    d_words = add_rows(x_words.shape, ids.ravel(), d_x.reshape(-1, x.shape[2]))
-    grads["words"] = add_rows(p["words"].shape, rows, d_words[:, :WORD_DIM] * seen)
-    both = read_back(p, "c", d_words[:, WORD_DIM:], char_trace, grads)
-    d_char = np.zeros_like(char_x)
-    for way, d_gates in zip("fb", both, strict=True):
-        flat = d_gates.reshape(-1, d_gates.shape[2])
-        grads[f"c{way}x"] = char_x.reshape(-1, CHAR_DIM).T @ flat
-        d_char += (flat @ p[f"c{way}x"].T).reshape(char_x.shape)
-    grads["chars"] = add_rows(p["chars"].shape, chars.ravel(), d_char.reshape(-1, CHAR_DIM))
+    d_gates = read_back(p, "w", d[:, None] * p["out"], at, trace, grads)
+    d_x = gates_back(p, "w", x, d_gates, ids, grads)
+    grads["words"] = summed((d_x[:, :WORD_DIM] * seen).T, rows, len(p["words"])).T
+    d_gates = read_back(p, "c", d_x[:, WORD_DIM:], char_at, char_trace, grads)
+    grads["chars"] = gates_back(p, "c", p["chars"], d_gates, chars, grads)
     return grads, loss
 
 

@@ -142,6 +142,19 @@ def plain_score(p, text):
     return max(scores)
 
 
+def test_toxicity_works_on_no_padding(monkeypatch):
+    """One long word among short ones, and one long window among short ones, cost no more than their own steps."""
+    seen = []
+    once = toxicity.gru
+    monkeypatch.setattr(toxicity, "gru", lambda gates, *args: seen.append(gates.size) or once(gates, *args))
+    words = ["ab", "cd", "ef", "x" * 24]
+    windows = [[w] for w in words[:3]] + [words * 5, []]
+    toxicity.gradients(toxicity.init(), windows, np.ones(5, np.float32), np.ones(5, np.float32))
+    assert seen == [6 * toxicity.CHAR_HIDDEN * 30, 6 * toxicity.HIDDEN * 23]
+    at = toxicity.Steps(np.array([3, 1, 0]))
+    assert at.row.tolist() == [0, 1, 0, 0] and at.turn.tolist() == [3, 1, 2, 0]
+
+
 def test_toxicity_scores_match_a_plain_network():
     rng = random.Random(9)
     texts = ["", " ", "a", "x" * 60 + " \u00e9t\u00e9 \U0001f600"]
