@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from reportmill.operators.dedup import keep_latest
 from reportmill.operators.shape import project, with_partitions
+from reportmill.session import path_exists
 from reportmill.sinks.catalog import check_location, register_table
 from reportmill.sinks.partitioned import write_partitions
-from reportmill.sources.curated import scan_partitions
+from reportmill.sources.curated import scan_curated, scan_partitions
 from reportmill.spec import PARTITIONS, ReportSpec
 
 ORIGIN = "__is_incoming"
@@ -70,7 +71,9 @@ def upsert(
     Only partitions with incoming rows are read and replaced: their directories are looked up
     one by one, so the tree is never listed, at any number of them. Running it again with the
     same rows changes nothing, so a replayed batch is safe. The input is read a second time for
-    its account and date columns, so ``incoming`` must give the same rows each time.
+    its account and date columns, so ``incoming`` must give the same rows each time. A first load,
+    without a folder at ``target``, reads the input once: every key leaves a row in its partition,
+    so the partitions are read off the rows that were stored.
 
     With ``table``, the partitions written are added to the catalog table of that name, which
     must lie at ``target``; a new table gets all the partitions that are stored.
@@ -78,8 +81,9 @@ def upsert(
     spark = incoming.sparkSession
     if table is not None:
         check_location(spark, table, target)
-    partitions = list_partitions(touched_partitions(incoming, spec))
-    if not partitions:
+    first = not path_exists(spark, target)
+    partitions = [] if first else list_partitions(touched_partitions(incoming, spec))
+    if incoming.isEmpty() if first else not partitions:
         return UpsertResult(0, 0, [])
     read, written = Observation(), Observation()
     merged = project(incoming, spec.columns).observe(read, F.count(F.lit(1)).alias("n"))
@@ -90,6 +94,8 @@ def upsert(
         merged = merge_versions(merged, stored, spec)
     merged = merged.observe(written, F.count(F.lit(1)).alias("n"))
     write_partitions(with_partitions(merged, spec), target, PARTITIONS)
+    if first:
+        partitions = list_partitions(touched_partitions(scan_curated(spark, spec, target), spec))
     if table is not None:
         register_table(spark, table, target, spec.curated_schema, PARTITIONS, partitions)
     return UpsertResult(read.get["n"], written.get["n"], partitions)

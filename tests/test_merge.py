@@ -7,7 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from reportmill.plans.curate import curate_frame
+from reportmill.operators import merge
+from reportmill.plans.curate import curate_frame, curate_report
 from reportmill.operators.merge import list_partitions, touched_partitions, union_by_name
 from reportmill.operators.shape import conform
 from reportmill.session import work_dir
@@ -135,6 +136,32 @@ def test_no_input_writes_nothing(spark, target):
     assert files_of(target) == before
 
 
+def test_a_first_load_reads_its_partitions_off_the_stored_rows(spark, target, monkeypatch):
+    """The files are parsed once; a later load needs the partitions first, to know what to merge with."""
+    read = []
+
+    def spy(rows, spec):
+        read.append({name.rsplit("/part-", 1)[0].split("/account=")[0] for name in rows.inputFiles()})
+        return touched_partitions(rows, spec)
+
+    monkeypatch.setattr(merge, "touched_partitions", spy)
+    source = f"{work_dir(spark)}/raw"
+    names = ["A", "007", "a/b"]
+    rows = [{**row, "account_id": name} for row in STORED[:2] for name in names]
+    raw = raw_rows(spark, [*rows, {**rows[0], "date_start": "2024-02-01"}, *INCOMING[3:]])
+    raw.write.option("header", True).csv(source)
+    first, again = (curate_report(spark, SPEC, source, target) for _ in range(2))
+    assert [{path.split(":", 1)[1].replace("//", "") for path in paths} for paths in read] == [
+        {path.removeprefix("file:")} for path in (target, source)
+    ]
+    expected = [*((name, "2024", "1", "2") for name in names), ("A", "2024", "2", "1")]
+    assert (first.rows_read, first.rows_written) == (again.rows_read, again.rows_written) == (7, 7)
+    for result in (first, again):
+        assert sorted(tuple(p) for p in result.partitions) == sorted(expected)
+    blank = curate_frame(raw_rows(spark, [{**rows[0], "account_id": ""}]), SPEC, f"{target}-blank")
+    assert [tuple(p) for p in blank.partitions] == [(None, "2024", "1", "2")]
+
+
 def test_empty_existing_folder_counts_as_no_rows(spark):
     target = work_dir(spark)
     curate_frame(raw_rows(spark, STORED), SPEC, target)
