@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from reportmill.sinks.bounded import bounded
+
 
 def write_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
     """Replace exactly the partitions present in ``df`` and leave the others alone.
@@ -14,10 +16,11 @@ def write_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> Non
     adaptive execution split a partition that is too big for one task and merge small ones. The
     overwrite mode is set on the write itself because a static overwrite would wipe the table.
     """
-    (
+    writer = (
         df.hint("rebalance", *partitions)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
-        .parquet(path)
     )
+    with bounded(df):
+        writer.parquet(path)

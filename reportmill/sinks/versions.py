@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from reportmill.functions import column, literal, quote
 from reportmill.session import hadoop_path
+from reportmill.sinks.bounded import shuffles_dropped
 from reportmill.sinks.catalog import ADD_BATCH, check_location, column_list, partition_spec, table_name
 from reportmill.sources.curated import partition_path
 
@@ -94,10 +95,11 @@ def replace_partitions(rows: DataFrame, table: str, root: str, keys: Sequence[st
     name = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     path = version_path(root, name)
     buckets = table_buckets(spark, table)
-    if buckets is None:
-        rows.hint("rebalance", *keys).write.partitionBy(*keys).parquet(path)
-    else:
-        write_buckets(rows if placed else by_bucket(rows, buckets), f"{table}{LOADING}{name.replace('-', '_')}", path, keys, buckets)
+    with shuffles_dropped(spark):
+        if buckets is None:
+            rows.hint("rebalance", *keys).write.partitionBy(*keys).parquet(path)
+        else:
+            write_buckets(rows if placed else by_bucket(rows, buckets), f"{table}{LOADING}{name.replace('-', '_')}", path, keys, buckets)
     mark(spark, root, name)
     written = written_partitions(spark, table, path, keys)
     switch(spark, table, path, keys, written)

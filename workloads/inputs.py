@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reportmill.functions import iso_day
 from reportmill.operators.media import daily_spend
+from reportmill.sinks.bounded import shuffles_dropped
 from reportmill.sinks.export import CSV_OPTIONS
 
 PURCHASE = "actions.offsite_conversion.fb_pixel_purchase"
@@ -14,6 +15,8 @@ CUSTOM = "action_values.offsite_conversion.fb_pixel_custom"
 MEDIA = ("click", "error", "purchase", "signup", "view")
 MONEY = "decimal(18,5)"
 HIGH_SPEND = 250
+# A compressed file is read by a single task, so its rows are bounded.
+COMPRESSED = {"compression": "snappy", "maxRecordsPerFile": 100_000}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,8 +93,9 @@ def raw_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_report(events, *breakdown_columns())
 
 
-def land_csv(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+def land_csv(df: DataFrame, path: str, **options: object) -> str:
+    with shuffles_dropped(df.sparkSession):
+        df.write.mode("overwrite").options(**{**CSV_OPTIONS, **options}).csv(path)
     return path
 
 

@@ -626,7 +626,7 @@ def family_runs(
     spark: SparkSession, sf_dir: str, specs: tuple[ReportSpec, ...], without_files: tuple[str, ...] = ()
 ) -> list[ReportRun]:
     root = work_dir(spark)
-    landed = inputs.land_csv(inputs.raw_family(spark, sf_dir), f"{root}/raw")
+    landed = inputs.land_csv(inputs.raw_family(spark, sf_dir), f"{root}/raw", **inputs.COMPRESSED)
     tag = suffix(root)
     return run_family(
         spark,
